@@ -473,3 +473,272 @@ register(
         key_value="building",
     )
 )
+
+# ---------------------------------------------------------------- 2.8 splits
+from callcast.operators import evaluate as EV  # noqa: E402
+from callcast.operators import split as SP  # noqa: E402
+from callcast.operators import stats as ST  # noqa: E402
+
+_MD5 = "md5(concat(CAST(contact_id AS VARCHAR), '-{seed}'))"
+_RANKED = (
+    "ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY y ORDER BY " + _MD5.format(seed=42) + ", contact_id) AS rn, "
+    "COUNT(*) OVER (PARTITION BY y) AS n FROM contacts)"
+)
+_SPLIT_CASE = (
+    "CASE WHEN rn <= floor(n * CAST(0.6 AS DOUBLE) + 0.5) THEN 'train' "
+    "WHEN rn <= floor(n * CAST(0.8000000000000002 AS DOUBLE) + 0.5) THEN 'validation' ELSE 'test' END"
+)
+_SPLIT_CTE = _RANKED + f", split AS (SELECT contact_id, y, {_SPLIT_CASE} AS split FROM ranked)"
+
+
+def _split(spark, sf):
+    return SP.stratified_split(contacts(spark, sf))
+
+
+register("stratified_split", W("SELECT contact_id, y, split FROM split", _SPLIT_CTE))(
+    lambda spark, sf: _split(spark, sf).select("contact_id", "y", "split")
+)
+register(
+    "split_summary",
+    W("SELECT split, COUNT(*) AS rows, ROUND(AVG(CASE WHEN y = 'yes' THEN 1 ELSE 0 END), 4) AS positive_rate "
+      "FROM split GROUP BY split", _SPLIT_CTE),
+)(lambda spark, sf: SP.split_summary(_split(spark, sf)))
+
+
+def _integrity(spark, sf):
+    sp = _split(spark, sf).select("contact_id", "split")
+    return SP.split_integrity(SP.parts_of(sp), contacts(spark, sf))
+
+
+register(
+    "split_integrity",
+    W(
+        "SELECT 'no_overlap' AS \"check\", COUNT(*) = 0 AS passed, COUNT(*) AS offending_ids FROM "
+        "(SELECT contact_id FROM split GROUP BY contact_id HAVING COUNT(*) > 1) "
+        "UNION ALL SELECT 'covers_source', COUNT(*) = 0, COUNT(*) FROM contacts c WHERE NOT EXISTS "
+        "(SELECT 1 FROM split s WHERE s.contact_id = c.contact_id) "
+        "UNION ALL SELECT 'no_foreign_rows', COUNT(*) = 0, COUNT(*) FROM split s WHERE NOT EXISTS "
+        "(SELECT 1 FROM contacts c WHERE s.contact_id = c.contact_id)",
+        _SPLIT_CTE,
+    ),
+)(_integrity)
+register(
+    "kfold_5x2",
+    W(
+        "SELECT contact_id, CAST((ROW_NUMBER() OVER (PARTITION BY y ORDER BY " + _MD5.format(seed=42) + ", contact_id) - 1) % 5 AS INTEGER) AS fold_42, "
+        "CAST((ROW_NUMBER() OVER (PARTITION BY y ORDER BY " + _MD5.format(seed=43) + ", contact_id) - 1) % 5 AS INTEGER) AS fold_43 FROM contacts"
+    ),
+)(lambda spark, sf: SP.kfold_assign(contacts(spark, sf), k=5, seeds=(42, 43)).select("contact_id", "fold_42", "fold_43"))
+register(
+    "hash_split_60",
+    W("SELECT contact_id, y FROM contacts WHERE substr(" + _MD5.format(seed=42) + ", 1, 8) < '99999999'"),
+)(lambda spark, sf: SP.hash_split(contacts(spark, sf), 0.6).select("contact_id", "y"))
+register(
+    "fixed_sample_1200",
+    W(f"SELECT {ALL_COLS} FROM contacts ORDER BY " + _MD5.format(seed=42) + ", contact_id LIMIT 1200"),
+)(lambda spark, sf: SP.fixed_sample(contacts(spark, sf), 1200))
+register(
+    "development_union",
+    W(f"SELECT {ALL_COLS} FROM contacts WHERE contact_id IN (SELECT contact_id FROM split WHERE split <> 'test')", _SPLIT_CTE),
+)(
+    lambda spark, sf: (lambda parts: parts["train"].unionByName(parts["validation"]))(
+        SP.parts_of(SP.stratified_split(contacts(spark, sf)).select(*ALL_COLS.replace('"', "").split(", "), "split"))
+    )
+)
+
+# ---------------------------------------------------------------- 2.9 statistics
+register("corr_age_balance", W("SELECT ROUND(corr(age::DOUBLE, balance::DOUBLE), 10) AS age_balance_correlation FROM contacts"))(
+    lambda spark, sf: ST.corr(contacts(spark, sf))
+)
+_CM = list(ST.CORR_COLUMNS) + ["subscribed"]
+_CM_SRC = "cm AS (SELECT " + ", ".join(f"{c}::DOUBLE AS {c}" for c in ST.CORR_COLUMNS) + ", CASE WHEN y = 'yes' THEN 1.0 ELSE 0.0 END::DOUBLE AS subscribed FROM contacts)"
+register(
+    "corr_matrix",
+    W(
+        " UNION ALL ".join(
+            [f"SELECT '{a}' AS a, '{b}' AS b, ROUND(corr({a}, {b}), 9) AS corr FROM cm" for a in _CM for b in _CM if a != b]
+            + [f"SELECT '{a}', '{a}', 1.0::DOUBLE" for a in _CM]
+        ),
+        _CM_SRC,
+    ),
+)(lambda spark, sf: ST.corr_matrix(contacts(spark, sf)))
+_CHI_CTES = (
+    "cells AS (SELECT a.contact, b.y, CAST(coalesce(c.o, 0) AS DOUBLE) AS o FROM (SELECT DISTINCT contact FROM contacts) a "
+    "CROSS JOIN (SELECT DISTINCT y FROM contacts) b LEFT JOIN (SELECT contact, y, COUNT(*) AS o FROM contacts GROUP BY contact, y) c "
+    "ON a.contact = c.contact AND a.contact = c.contact AND b.y = c.y), "
+    "m AS (SELECT cells.*, SUM(o) OVER (PARTITION BY contact) AS r, SUM(o) OVER (PARTITION BY y) AS c, SUM(o) OVER () AS n FROM cells), "
+    "s AS (SELECT MAX(n) AS n, COUNT(DISTINCT contact) AS nr, COUNT(DISTINCT y) AS nc, "
+    "SUM((o - r * c / n) ^ 2 / (r * c / n)) AS chi2p, "
+    "SUM((abs(o - r * c / n) - least(0.5, abs(o - r * c / n))) ^ 2 / (r * c / n)) AS chi2y FROM m)"
+)
+register(
+    "chi_square_contact_y",
+    W(
+        "SELECT ROUND(CASE WHEN (nr - 1) * (nc - 1) = 1 THEN chi2y ELSE chi2p END, 10) AS chi2, "
+        "CAST((nr - 1) * (nc - 1) AS INTEGER) AS dof, "
+        "ROUND(sqrt(CASE WHEN (nr - 1) * (nc - 1) = 1 THEN chi2y ELSE chi2p END / (n * (least(nr, nc) - 1))), 10) AS cramers_v, "
+        "CAST(n AS BIGINT) AS n FROM s",
+        _CHI_CTES,
+    ),
+)(lambda spark, sf: ST.chi_square(contacts(spark, sf), "contact", "y").drop("p_value", "reject_h0"))
+register("chi_square_contact_y_test")(lambda spark, sf: ST.chi_square(contacts(spark, sf), "contact", "y"))
+
+
+def _mw_sql(x: str) -> str:
+    return W(
+        "SELECT CAST(n1 AS BIGINT) AS n_positive, CAST(n0 AS BIGINT) AS n_other, med1 AS median_positive, med0 AS median_other, "
+        "ROUND(u, 10) AS u_statistic, ROUND(2 * u / (n1 * n0) - 1, 10) AS rank_biserial, "
+        "ROUND((greatest(u, n1 * n0 - u) - n1 * n0 / 2 - 0.5) / sqrt(n1 * n0 / 12 * ((n1 + n0 + 1) - ties / ((n1 + n0) * (n1 + n0 - 1)))), 10) AS z "
+        "FROM agg, med",
+        f"g AS (SELECT {x}::DOUBLE AS v, SUM(CASE WHEN y = 'yes' THEN 1 ELSE 0 END)::DOUBLE AS n1v, "
+        f"SUM(CASE WHEN y = 'yes' THEN 0 ELSE 1 END)::DOUBLE AS n0v FROM contacts WHERE {x} IS NOT NULL GROUP BY 1), "
+        "c AS (SELECT *, SUM(n0v) OVER (ORDER BY v) AS cum0 FROM g), "
+        "agg AS (SELECT SUM(n1v) AS n1, SUM(n0v) AS n0, SUM(n1v * (cum0 - n0v / 2.0)) AS u, "
+        "SUM(power(n1v + n0v, 3) - (n1v + n0v)) AS ties FROM c), "
+        f"med AS (SELECT quantile_cont(CASE WHEN y = 'yes' THEN {x}::DOUBLE END, 0.5) AS med1, "
+        f"quantile_cont(CASE WHEN y = 'yes' THEN NULL ELSE {x}::DOUBLE END, 0.5) AS med0 FROM contacts)",
+    )
+
+
+for _x in ("balance", "campaign"):
+    register(f"mann_whitney_{_x}", _mw_sql(_x))(
+        (lambda x: lambda spark, sf: ST.mann_whitney(contacts(spark, sf), x).drop("p_value"))(_x)
+    )
+    register(f"mann_whitney_{_x}_test")((lambda x: lambda spark, sf: ST.mann_whitney(contacts(spark, sf), x))(_x))
+
+# ---------------------------------------------------------------- 2.11 evaluation (deterministic scores)
+_BP = "least(9990, 5 * ((contact_id * 7919) % 1000) + 10 * duration)"
+_SCORED = (
+    f"scored AS (SELECT contact_id, CASE WHEN y = 'yes' THEN 1 ELSE 0 END AS label, CAST({_BP} AS INTEGER) AS score_bp, "
+    f"CAST({_BP} AS DOUBLE) / 10000.0 AS p, age, contact, poutcome FROM contacts)"
+)
+_COUNTS = (
+    _SCORED + ", g AS (SELECT p, SUM(label)::DOUBLE AS pos, (COUNT(*) - SUM(label))::DOUBLE AS neg FROM scored GROUP BY p), "
+    "c AS (SELECT p, pos, neg, SUM(pos) OVER (ORDER BY p DESC) AS tp, SUM(neg) OVER (ORDER BY p DESC) AS fp FROM g)"
+)
+_PR = (
+    _COUNTS + ", pr AS (SELECT p AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, "
+    "ROUND(tp / (tp + fp), 10) AS precision, ROUND(tp / (SELECT SUM(pos) FROM g), 10) AS recall, "
+    "ROUND(2 * (tp / (tp + fp)) * (tp / (SELECT SUM(pos) FROM g)) / greatest(tp / (tp + fp) + tp / (SELECT SUM(pos) FROM g), 1e-12), 10) AS f1 FROM c)"
+)
+
+
+def _scored(spark, sf):
+    return EV.scored(contacts(spark, sf))
+
+
+register("scored", W("SELECT contact_id, label, score_bp, p FROM scored", _SCORED))(_scored)
+register(
+    "ranking_metrics",
+    W(
+        "SELECT CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives, "
+        "ROUND(SUM(pos * tp / (tp + fp)) / SUM(pos), 10) AS average_precision, "
+        "ROUND((SUM(neg) * SUM(pos) + SUM(pos * (neg / 2.0 - fp))) / (SUM(pos) * SUM(neg)), 10) AS roc_auc FROM c",
+        _COUNTS,
+    ),
+)(lambda spark, sf: EV.ranking_metrics(_scored(spark, sf)))
+register("pr_curve", W("SELECT * FROM pr", _PR))(lambda spark, sf: EV.pr_curve(_scored(spark, sf)))
+register("best_f1_threshold", W("SELECT * FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1", _PR))(
+    lambda spark, sf: EV.best_f1_threshold(_scored(spark, sf))
+)
+_RATES = (
+    "CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END", "CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END",
+    "CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END",
+)
+register(
+    "threshold_table",
+    W(
+        f"SELECT t AS threshold, ROUND({_RATES[0]}, 4) AS precision, ROUND({_RATES[1]}, 4) AS recall, ROUND({_RATES[2]}, 4) AS f1, "
+        "abs(t - (SELECT threshold FROM best)) <= 1e-8 AS selected FROM conf",
+        _PR + ", best AS (SELECT threshold FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1), "
+        "ts AS (SELECT DISTINCT t FROM (SELECT CAST(0.1 AS DOUBLE) AS t UNION ALL SELECT CAST(0.2 AS DOUBLE) UNION ALL "
+        "SELECT CAST(0.5 AS DOUBLE) UNION ALL SELECT threshold FROM best)), "
+        "conf AS (SELECT t, SUM(CASE WHEN p >= t AND label = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp, "
+        "SUM(CASE WHEN p >= t AND label = 0 THEN 1 ELSE 0 END)::DOUBLE AS fp, "
+        "SUM(CASE WHEN p < t AND label = 1 THEN 1 ELSE 0 END)::DOUBLE AS fn FROM ts, scored GROUP BY t)",
+    ),
+)(lambda spark, sf: EV.threshold_table(_scored(spark, sf)))
+_CONF05 = (
+    "conf AS (SELECT SUM(CASE WHEN p >= 0.5 AND label = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp, "
+    "SUM(CASE WHEN p >= 0.5 AND label = 0 THEN 1 ELSE 0 END)::DOUBLE AS fp, "
+    "SUM(CASE WHEN p < 0.5 AND label = 1 THEN 1 ELSE 0 END)::DOUBLE AS fn, "
+    "SUM(CASE WHEN p < 0.5 AND label = 0 THEN 1 ELSE 0 END)::DOUBLE AS tn FROM scored)"
+)
+register(
+    "classification_metrics",
+    W(
+        "SELECT r.*, CAST(0.5 AS DOUBLE) AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, "
+        f"CAST(fn AS BIGINT) AS fn, CAST(tn AS BIGINT) AS tn, ROUND({_RATES[0]}, 10) AS precision, "
+        f"ROUND({_RATES[1]}, 10) AS recall, ROUND({_RATES[2]}, 10) AS f1, "
+        f"ROUND((({_RATES[1]}) + (CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END)) / 2, 10) AS balanced_accuracy "
+        "FROM conf, r",
+        _COUNTS + ", " + _CONF05 + ", r AS (SELECT CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives, "
+        "ROUND(SUM(pos * tp / (tp + fp)) / SUM(pos), 10) AS average_precision, "
+        "ROUND((SUM(neg) * SUM(pos) + SUM(pos * (neg / 2.0 - fp))) / (SUM(pos) * SUM(neg)), 10) AS roc_auc FROM c)",
+    ),
+)(lambda spark, sf: EV.classification_metrics(_scored(spark, sf), 0.5))
+register(
+    "lift_table",
+    W(
+        "SELECT share AS contact_share, k AS customers_contacted, ROUND(t / k, 10) AS subscription_rate, "
+        "ROUND(t / k / (pos / n), 10) AS lift_over_random, ROUND(t / pos, 10) AS subscriber_capture_rate FROM ("
+        "SELECT share, k, SUM(CASE WHEN rn <= k THEN label ELSE 0 END)::DOUBLE AS t, SUM(label)::DOUBLE AS pos, COUNT(*)::DOUBLE AS n "
+        "FROM ranked, shares GROUP BY share, k)",
+        _SCORED + ", ranked AS (SELECT label, ROW_NUMBER() OVER (ORDER BY p DESC, contact_id) AS rn FROM scored), "
+        "shares AS (SELECT share, CAST(ceil((SELECT COUNT(*) FROM scored) * share) AS BIGINT) AS k FROM "
+        "(SELECT CAST(0.1 AS DOUBLE) AS share UNION ALL SELECT CAST(0.2 AS DOUBLE) UNION ALL SELECT CAST(0.3 AS DOUBLE)))",
+    ),
+)(lambda spark, sf: EV.lift_table(_scored(spark, sf)))
+_CR = (
+    "SELECT '0' AS class, ROUND(p0, 10) AS precision, ROUND(r0, 10) AS recall, ROUND(f0, 10) AS f1, CAST(tn + fp AS BIGINT) AS support FROM x "
+    "UNION ALL SELECT '1', ROUND(p1, 10), ROUND(r1, 10), ROUND(f1, 10), CAST(tp + fn AS BIGINT) FROM x "
+    "UNION ALL SELECT 'accuracy', NULL, NULL, ROUND((tp + tn) / (tp + tn + fp + fn), 10), CAST(tp + tn + fp + fn AS BIGINT) FROM x "
+    "UNION ALL SELECT 'macro avg', ROUND((p0 + p1) / 2, 10), ROUND((r0 + r1) / 2, 10), ROUND((f0 + f1) / 2, 10), CAST(tp + tn + fp + fn AS BIGINT) FROM x "
+    "UNION ALL SELECT 'weighted avg', ROUND((p0 * (tn + fp) + p1 * (tp + fn)) / (tp + tn + fp + fn), 10), "
+    "ROUND((r0 * (tn + fp) + r1 * (tp + fn)) / (tp + tn + fp + fn), 10), ROUND((f0 * (tn + fp) + f1 * (tp + fn)) / (tp + tn + fp + fn), 10), "
+    "CAST(tp + tn + fp + fn AS BIGINT) FROM x"
+)
+register(
+    "classification_report",
+    W(
+        _CR,
+        _SCORED + ", " + _CONF05 + ", x AS (SELECT *, "
+        f"{_RATES[0]} AS p1, {_RATES[1]} AS r1, {_RATES[2]} AS f1, "
+        "CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0, CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0, "
+        "CASE WHEN 2 * tn + fn + fp = 0 THEN 0.0 ELSE 2 * tn / (2 * tn + fn + fp) END AS f0 FROM conf)",
+    ),
+)(lambda spark, sf: EV.classification_report(_scored(spark, sf), 0.5))
+register(
+    "brier",
+    W(
+        "SELECT ROUND(b, 10) AS brier, ROUND(r * r - 2 * r * m + m, 10) AS brier_baseline, "
+        "ROUND(1 - b / (r * r - 2 * r * m + m), 10) AS brier_skill FROM (SELECT AVG(power(p - label, 2)) AS b, "
+        "AVG(label::DOUBLE) AS r, AVG(label::DOUBLE) AS m FROM scored)",
+        _SCORED,
+    ),
+)(lambda spark, sf: EV.brier(_scored(spark, sf)))
+register(
+    "calibration_curve",
+    W(
+        "SELECT bin, COUNT(*) AS rows, ROUND(AVG(p), 10) AS mean_predicted, ROUND(AVG(label::DOUBLE), 10) AS observed_rate FROM ("
+        "SELECT p, label, " + " + ".join(f"CAST(p > e[{i}] AS INTEGER)" for i in range(1, 8)) + " AS bin FROM scored, edges) GROUP BY bin",
+        _SCORED + ", edges AS (SELECT quantile_cont(p, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) AS e FROM scored)",
+    ),
+)(lambda spark, sf: EV.calibration_curve(_scored(spark, sf)))
+_AUDIT_BINS = AGE_BINS.format(hi="1e308")
+register(
+    "subgroup_audit",
+    W(
+        "SELECT coalesce(a.field, l.field) AS field, coalesce(a.grp, l.grp) AS grp, CAST(coalesce(a.rows, 0) AS BIGINT) AS rows, "
+        "ROUND(a.ar, 10) AS actual_positive_rate, ROUND(a.pr, 10) AS predicted_positive_rate, "
+        "ROUND(CASE WHEN coalesce(a.ap, 0) = 0 THEN NULL ELSE a.tp / a.ap END, 10) AS recall, "
+        "ROUND(CASE WHEN coalesce(a.pp, 0) = 0 THEN NULL ELSE a.tp / a.pp END, 10) AS precision, "
+        "coalesce(a.rows, 0) < 25 AS small_group FROM a FULL OUTER JOIN (VALUES ('age_band','18-29'),('age_band','30-39'),"
+        "('age_band','40-49'),('age_band','50-59'),('age_band','60+')) l(field, grp) ON a.field = l.field AND a.grp = l.grp",
+        _SCORED + ", st AS (SELECT 'contact' AS field, contact AS grp, label, CAST(p >= 0.5 AS INTEGER) AS pred FROM scored "
+        "UNION ALL SELECT 'poutcome', poutcome, label, CAST(p >= 0.5 AS INTEGER) FROM scored "
+        f"UNION ALL SELECT 'age_band', {_AUDIT_BINS}, label, CAST(p >= 0.5 AS INTEGER) FROM scored), "
+        "a AS (SELECT field, grp, COUNT(*) AS rows, AVG(label::DOUBLE) AS ar, AVG(pred::DOUBLE) AS pr, "
+        "SUM(label * pred)::DOUBLE AS tp, SUM(label)::DOUBLE AS ap, SUM(pred)::DOUBLE AS pp FROM st WHERE grp IS NOT NULL GROUP BY field, grp)",
+    ),
+)(lambda spark, sf: EV.subgroup_audit(contacts(spark, sf).join(_scored(spark, sf).select("contact_id", "label", "p"), "contact_id"), 0.5))
