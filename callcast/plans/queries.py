@@ -742,3 +742,11 @@ register(
         "SUM(label * pred)::DOUBLE AS tp, SUM(label)::DOUBLE AS ap, SUM(pred)::DOUBLE AS pp FROM st WHERE grp IS NOT NULL GROUP BY field, grp)",
     ),
 )(lambda spark, sf: EV.subgroup_audit(contacts(spark, sf).join(_scored(spark, sf).select("contact_id", "label", "p"), "contact_id"), 0.5))
+
+# ---------------------------------------------------------------- 2.14 UDF
+from callcast.functions.udfs import age_group_udf  # noqa: E402
+
+register(
+    "age_group_udf",
+    W(f"SELECT contact_id, age, CASE WHEN age IS NULL THEN NULL ELSE {AGE_GROUP3} END AS age_group_udf FROM contacts"),
+)(lambda spark, sf: contacts(spark, sf).select("contact_id", "age", age_group_udf("age").alias("age_group_udf")))
