@@ -750,3 +750,57 @@ register(
     "age_group_udf",
     W(f"SELECT contact_id, age, CASE WHEN age IS NULL THEN NULL ELSE {AGE_GROUP3} END AS age_group_udf FROM contacts"),
 )(lambda spark, sf: contacts(spark, sf).select("contact_id", "age", age_group_udf("age").alias("age_group_udf")))
+
+# ---------------------------------------------------------------- 2.12 streaming (drained with availableNow)
+from pyspark.sql import functions as _F  # noqa: E402
+
+from callcast.streaming import jobs as SJ  # noqa: E402
+
+_REPLAYS: dict = {}
+
+
+def _event_stream(spark, sf, files: int = 8):
+    """The driver's events, replayed as a file stream (slices written once per session)."""
+    ev = SJ.events_as_contacts(table(spark, sf, "events"))
+    key = (id(spark.sparkContext._jsc), sf, files)
+    if key not in _REPLAYS:
+        _REPLAYS[key] = SJ.write_replay_files(ev, files, "event_time", "events-replay")
+    return SJ.file_stream(spark, _REPLAYS[key], ev.schema, max_files_per_trigger=1)
+
+
+def _round_avgs(df):
+    return df.select(*[_F.round(c, 6).alias(c) if c.startswith("avg_") else _F.col(c) for c in df.columns])
+
+
+_EV = (
+    "ev AS (SELECT ts, event_type AS job, value AS balance, CAST(json_extract_string(props, '$.k') AS INTEGER) AS duration FROM events)"
+)
+register(
+    "stream_job_metrics",
+    W(
+        "SELECT job, ROUND(AVG(balance), 6) AS avg_balance, ROUND(AVG(duration), 6) AS avg_duration, "
+        "COUNT(*) AS transaction_count FROM ev GROUP BY job",
+        _EV,
+    ),
+)(lambda spark, sf: _round_avgs(SJ.drain(SJ.stream_job_metrics(_event_stream(spark, sf)), "complete")[0]))
+
+
+def _window_sql(width: str, streamed: bool) -> str:
+    having = (
+        f" HAVING time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' <= (SELECT MAX(ts) FROM ev) - INTERVAL '2 minutes'"
+        if streamed else ""
+    )
+    return W(
+        f"SELECT time_bucket(INTERVAL '{width}', ts) AS window_start, time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' AS window_end, "
+        f"COUNT(*) AS transaction_count, ROUND(AVG(balance), 6) AS avg_balance FROM ev GROUP BY 1, 2{having}",
+        _EV,
+    )
+
+
+for _w, _k in (("1 hour", "1h"), ("1 day", "1d")):
+    register(f"stream_window_{_k}", _window_sql(_w, True))(
+        (lambda w: lambda spark, sf: _round_avgs(SJ.drain(SJ.stream_window(_event_stream(spark, sf), w), "append")[0]))(_w)
+    )
+    register(f"window_batch_{_k}", _window_sql(_w, False))(
+        (lambda w: lambda spark, sf: _round_avgs(SJ.batch_window(SJ.events_as_contacts(table(spark, sf, "events")), w)))(_w)
+    )
