@@ -804,3 +804,136 @@ for _w, _k in (("1 hour", "1h"), ("1 day", "1d")):
     register(f"window_batch_{_k}", _window_sql(_w, False))(
         (lambda w: lambda spark, sf: _round_avgs(SJ.batch_window(SJ.events_as_contacts(table(spark, sf, "events")), w)))(_w)
     )
+
+# ---------------------------------------------------------------- 2.10 / 2.11 Spark ML (rows-only checks)
+from callcast.plans import ml as ML  # noqa: E402
+
+_FB_COLS = [
+    "previously_contacted", "days_since_previous_contact", "signed_log_balance", "log_campaign", "log_previous",
+    "contact_intensity", "log_contact_intensity", "month_sin", "month_cos", "day_sin", "day_cos",
+    "previous_campaign_success", "contact_channel_known",
+]
+
+
+def _feature_builder(spark, sf):
+    out = ML.FeatureBuilder().transform(contacts(spark, sf))
+    dbl = {c for c, t in out.dtypes if t == "double"}
+    return out.select("contact_id", *[_F.round(c, 9).alias(c) if c in dbl else _F.col(c) for c in _FB_COLS])
+
+
+register(
+    "feature_builder",
+    W(
+        "SELECT contact_id, CASE WHEN pdays = -1 THEN 'no' ELSE 'yes' END AS previously_contacted, "
+        "ROUND(CASE WHEN pdays >= 0 THEN pdays::DOUBLE END, 9) AS days_since_previous_contact, "
+        "ROUND(sign(balance::DOUBLE) * ln(1 + abs(balance::DOUBLE)), 9) AS signed_log_balance, "
+        "ROUND(ln(1 + campaign::DOUBLE), 9) AS log_campaign, ROUND(ln(1 + previous::DOUBLE), 9) AS log_previous, "
+        "campaign + previous AS contact_intensity, ROUND(ln(1 + (campaign + previous)::DOUBLE), 9) AS log_contact_intensity, "
+        f"ROUND(sin(2 * pi() * ({MONTH_NUM}) / 12), 9) AS month_sin, ROUND(cos(2 * pi() * ({MONTH_NUM}) / 12), 9) AS month_cos, "
+        "ROUND(sin(2 * pi() * day / 31), 9) AS day_sin, ROUND(cos(2 * pi() * day / 31), 9) AS day_cos, "
+        "CAST(poutcome = 'success' AS INTEGER) AS previous_campaign_success, CAST(contact <> 'unknown' AS INTEGER) AS contact_channel_known "
+        "FROM contacts"
+    ),
+)(_feature_builder)
+
+
+def _train_test(spark, sf):
+    """80/20 md5 split (stands in for randomSplit, independent of partitioning)."""
+    c = ML.with_label(contacts(spark, sf))
+    train = SP.hash_split(c, 0.8)
+    test = c.join(train.select("contact_id"), "contact_id", "left_anti")
+    return train, test
+
+
+register("clip_bounds")(
+    lambda spark, sf: ML.OutlierClipper().fit(contacts(spark, sf)).bounds(spark)
+)
+
+
+def _baseline_metrics(spark, sf):
+    train, test = _train_test(spark, sf)
+    frames = []
+    for kind in ("logistic", "tree"):
+        model = ML.build_pipeline(kind).fit(train)
+        frames.append(ML.six_metrics(model.transform(test), kind))
+    return frames[0].unionByName(frames[1])
+
+
+register("ml_baseline_metrics")(_baseline_metrics)
+
+
+def _tuned(spark, sf):
+    train, test = _train_test(spark, sf)
+    train = SP.kfold_assign(train, k=ML.CV_FOLDS, seeds=(ML.SEED,))
+    cvm = ML.tuned_logistic(train, fold_col=f"fold_{ML.SEED}")
+    return cvm.bestModel, test
+
+
+register("ml_tuned_lr_metrics")(lambda spark, sf: (lambda m, t: ML.six_metrics(m.transform(t), "tuned_logistic"))(*_tuned(spark, sf)))
+
+
+def _tree_importance(spark, sf):
+    train, _ = _train_test(spark, sf)
+    model = ML.build_pipeline("tree").fit(train)
+    pairs = ML.feature_importance(model, model.transform(train.limit(1)).schema)
+    return spark.createDataFrame(pairs, "feature_name string, importance double")
+
+
+register("tree_feature_importance")(_tree_importance)
+
+
+def _predictions(spark, sf):
+    train, test = _train_test(spark, sf)
+    model = ML.build_pipeline("logistic").fit(train)
+    return ML.positive_probability(model.transform(test)).select("contact_id", "label", "prediction", "p")
+
+
+register("predictions")(_predictions)
+register("confusion_counts")(
+    lambda spark, sf: (lambda tr_te: ML.confusion_counts(ML.build_pipeline("logistic", maxIter=ML.LR_MAX_ITER_STREAM).fit(tr_te[0]).transform(tr_te[1])))(_train_test(spark, sf))
+)
+
+
+def _oof(spark, sf):
+    c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(43,))
+    return ML.oof_predict(c, ML.build_pipeline("logistic", features=True, impute=True, clip=False,
+                                               numeric=[x for x in ML.NUMERIC_COLUMNS if x != "duration"]), "fold_43")
+
+
+register("oof_predictions")(_oof)
+
+
+def _cv_summary(spark, sf):
+    c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(42,))
+    pre = [x for x in ML.NUMERIC_COLUMNS if x != "duration"]
+    rows = []
+    for name, pipe in (("logistic", ML.build_pipeline("logistic", numeric=pre)), ("tree", ML.build_pipeline("tree", numeric=pre))):
+        oof = ML.oof_predict(c, pipe, "fold_42")
+        for f in range(5):
+            ap = EV.ranking_metrics(oof.where(_F.col("fold") == f)).first()["average_precision"]
+            rows.append((name, f, float(ap)))
+    # The prior baseline: every row gets the training prevalence of its fold.
+    prior = c.groupBy("fold_42").agg(_F.sum("label").alias("pos"), _F.count(_F.lit(1)).alias("n"))
+    for r in prior.collect():  # one row per fold
+        rows.append(("prior", int(r["fold_42"]), float(r["pos"]) / float(r["n"])))
+    return ML.cv_summary(spark.createDataFrame(rows, "model string, fold int, score double"))
+
+
+register("cv_summary")(_cv_summary)
+
+
+def _stream_predict(spark, sf):
+    c = ML.with_label(contacts(spark, sf))
+    model = ML.build_pipeline("logistic", maxIter=ML.LR_MAX_ITER_STREAM).fit(c)
+    orders = table(spark, sf, "orders").select(_F.col("o_orderkey").alias("contact_id"), _F.col("o_orderdate").cast("timestamp").alias("event_time"))
+    hist = c.join(orders, "contact_id").drop("label")
+    key = (id(spark.sparkContext._jsc), sf, "contacts")
+    if key not in _REPLAYS:
+        _REPLAYS[key] = SJ.write_replay_files(hist, 8, "event_time", "contacts-replay")
+    stream = SJ.file_stream(spark, _REPLAYS[key], hist.schema, max_files_per_trigger=2)
+    scored_stream = SJ.stream_predict(model, stream.withColumn("label", _F.when(_F.col("y") == "yes", 1.0).otherwise(0.0)),
+                                      keep=("contact_id", "event_time", "age", "job", "balance", "duration", "y"))
+    return SJ.drain(scored_stream, "append", sink="parquet")[0]
+
+
+register("stream_predict")(_stream_predict)
