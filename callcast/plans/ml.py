@@ -217,14 +217,24 @@ def with_label(df: DataFrame, label_col: str = "label") -> DataFrame:
 
 # ---------------------------------------------------------------- evaluation
 def six_metrics(predictions: DataFrame, model: str = "model", label_col: str = "label") -> DataFrame:
-    """accuracy, f1, weighted precision / recall, areaUnderROC, areaUnderPR (exact: numBins=0)."""
-    vals = {}
-    for name, metric in (("accuracy", "accuracy"), ("f1", "f1"), ("weighted_precision", "weightedPrecision"),
-                         ("weighted_recall", "weightedRecall")):
-        vals[name] = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="prediction", metricName=metric).evaluate(predictions)
-    for name, metric in (("area_under_roc", "areaUnderROC"), ("area_under_pr", "areaUnderPR")):
-        vals[name] = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction", metricName=metric,
-                                                   numBins=0).evaluate(predictions)
+    """accuracy, f1, weighted precision / recall, areaUnderROC, areaUnderPR (exact: numBins=0).
+
+    The scored frame is persisted for the six evaluator passes (the model's
+    transform runs once) and released afterwards.
+    """
+    from pyspark import StorageLevel
+
+    scored = predictions.select(label_col, "prediction", "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        vals = {}
+        for name, metric in (("accuracy", "accuracy"), ("f1", "f1"), ("weighted_precision", "weightedPrecision"),
+                             ("weighted_recall", "weightedRecall")):
+            vals[name] = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="prediction", metricName=metric).evaluate(scored)
+        for name, metric in (("area_under_roc", "areaUnderROC"), ("area_under_pr", "areaUnderPR")):
+            vals[name] = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction", metricName=metric,
+                                                       numBins=0).evaluate(scored)
+    finally:
+        scored.unpersist()
     spark = predictions.sparkSession
     return spark.createDataFrame([(model, *[float(vals[k]) for k in vals])], ["model", *vals.keys()])
 
