@@ -338,3 +338,31 @@ def subgroup_audit(
         F.round(F.try_divide(F.col("_tp").cast("double"), F.nullif(F.col("_pp"), F.lit(0))), digits).alias("precision"),
         (F.col("rows") < small).alias("small_group"),
     ).orderBy("field", "grp")
+
+
+def ranking_metrics_by(df: DataFrame, keys: Sequence[str], p: str = "p", label: str = "label") -> DataFrame:
+    """``ranking_metrics`` per group (e.g. per model, fold or permutation), in one job.
+
+    Score-grouped counts per (keys, p), then running totals inside each key
+    from ``ordered.running`` (a hot group is range-split like any other).
+    """
+    keys = list(keys)
+    g = df.groupBy(*[F.col(k) for k in keys], F.col(p).alias("p")).agg(
+        F.sum(F.col(label).cast("long")).alias("pos"),
+        F.sum((1 - F.col(label)).cast("long")).alias("neg"),
+    )
+    r = running(g.withColumn("_neg_p", -F.col("p")), keys=keys, order=["_neg_p"], sums=["pos", "neg"])
+    return (
+        r.groupBy(*keys)
+        .agg(
+            F.sum("pos").alias("P"),
+            F.sum("neg").alias("N"),
+            F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("ap_num"),
+            F.sum(F.col("pos") * (F.col("neg") / 2.0 - F.col("cum_neg"))).alias("u_part"),
+        )
+        .select(
+            *keys,
+            (F.col("ap_num") / F.col("P")).alias("average_precision"),
+            ((F.col("N") * F.col("P") + F.col("u_part")) / (F.col("P") * F.col("N"))).alias("roc_auc"),
+        )
+    )

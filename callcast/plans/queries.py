@@ -937,3 +937,111 @@ def _stream_predict(spark, sf):
 
 
 register("stream_predict")(_stream_predict)
+
+# ---------------------------------------------------------------- calibration, ablation, importance, bootstrap
+from callcast.operators import resample as RS  # noqa: E402
+from callcast.plans import calibrate as CAL  # noqa: E402
+
+_PRE_CALL_NUM = [x for x in ML.NUMERIC_COLUMNS if x != "duration"]
+
+
+# Multi-fit keys (dozens of fits) use light model sizes here, per the blueprint;
+# the library defaults keep the reference's sizes.
+_LIGHT = {"logistic": {"maxIter": 20}, "tree": {}, "forest": {"numTrees": 50}}
+
+
+def _pre_call_pipeline(kind: str, light: bool = False, **kw):
+    opts = {**(_LIGHT.get(kind, {}) if light else {}), **kw}
+    return ML.build_pipeline(kind, numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True, **opts)
+
+
+_SPLITS: dict = {}
+
+
+def _dev_test(spark, sf):
+    """Development (train + validation) and test parts, materialised once per session:
+    the many model fits below then read Parquet instead of replaying the split lineage."""
+    from callcast.session import materialize
+
+    key = (id(spark.sparkContext._jsc), sf)
+    if key not in _SPLITS:
+        s = materialize(SP.kfold_assign(SP.stratified_split(ML.with_label(contacts(spark, sf))), k=5, seeds=(43, 44)), "dev-test")
+        _SPLITS[key] = (s.where(_F.col("split") != "test").drop("split"), s.where(_F.col("split") == "test").drop("split", "fold_43", "fold_44"))
+    return _SPLITS[key]
+
+
+_CALIBRATIONS: dict = {}
+
+
+def _calibration(spark, sf):
+    key = (id(spark.sparkContext._jsc), sf)
+    if key in _CALIBRATIONS:
+        return _CALIBRATIONS[key]
+    dev, _ = _dev_test(spark, sf)
+    dev = dev.drop("fold_44")
+    pipes = {"logistic": _pre_call_pipeline("logistic", light=True), "tree": _pre_call_pipeline("tree", light=True)}
+    _CALIBRATIONS[key] = CAL.cross_fit_calibration(dev, pipes, "fold_43", outer_k=5, inner_k=4, inner_seed_base=62)
+    return _CALIBRATIONS[key]
+
+
+register("calibration_summary")(lambda spark, sf: _calibration(spark, sf)[1])
+register("calibration_strategy")(lambda spark, sf: CAL.choose_strategy(_calibration(spark, sf)[1]))
+
+
+def _align(spark, sf):
+    dev, _ = _dev_test(spark, sf)
+    return CAL.align_probabilities({m: ML.oof_predict(dev, _pre_call_pipeline(m, light=True), "fold_43") for m in ("logistic", "tree")})
+
+
+register("align_probabilities")(_align)
+register("ablation")(
+    lambda spark, sf: CAL.ablation(_dev_test(spark, sf)[0].drop("fold_43"), "fold_44", "forest", numTrees=50)
+)
+
+
+def _final(spark, sf):
+    dev, test = _dev_test(spark, sf)
+    return _pre_call_pipeline("logistic").fit(dev.drop("fold_43", "fold_44")), dev, test
+
+
+def _perm(spark, sf):
+    model, _, test = _final(spark, sf)
+    raw = [c for c in ML.NUMERIC_COLUMNS + ML.CATEGORICAL_COLUMNS if c != "duration"]
+    return CAL.permutation_importance(model, test, raw, repeats=10, top=12)
+
+
+register("permutation_importance")(_perm)
+
+
+def _boot(spark, sf):
+    model, dev, test = _final(spark, sf)
+    thr = EV.best_f1_threshold(ML.positive_probability(model.transform(dev))).first()["threshold"]
+    return RS.bootstrap_ci(ML.positive_probability(model.transform(test)).select("contact_id", "label", "p"), thr, n_boot=1000)
+
+
+register("bootstrap_ci")(_boot)
+
+
+def _roundtrip(spark, sf):
+    from callcast.session import scratch_path
+
+    model, _, test = _final(spark, sf)
+    return CAL.artifact_roundtrip(model, test, scratch_path(spark, "artifacts"),
+                                  {"threshold": 0.5, "strategy": "single", "columns": ML.CATEGORICAL_COLUMNS})
+
+
+register("artifact_roundtrip")(_roundtrip)
+
+# ---------------------------------------------------------------- 2.13 partitioning (result unchanged)
+from callcast.session import env_int  # noqa: E402
+
+
+def _partitioned_avg(spark, sf):
+    """Parallel module: repartition by job (cached) then average; same result as without."""
+    cores = env_int("CALLCAST_CORES", spark.sparkContext.defaultParallelism)
+    n = max(4, min(2 * cores, 16))
+    part = contacts(spark, sf).repartition(n, "job")
+    return R.avg_balance_by_job_desc(part)
+
+
+register("avg_balance_by_job_partitioned", W("SELECT job, AVG(balance) AS average_balance FROM contacts GROUP BY job"))(_partitioned_avg)
