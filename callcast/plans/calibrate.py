@@ -22,6 +22,7 @@ from callcast.operators import evaluate as EV
 from callcast.operators import split as SP
 from callcast.operators.resample import permute_columns
 from callcast.plans import ml as ML
+from callcast.session import materialize
 
 # Calibration and selection rules.
 CALIBRATION_C = 1.0
@@ -44,7 +45,7 @@ def _fit_calibrator(df: DataFrame, prob_cols: Sequence[str], n: int) -> Pipeline
     stages = [
         VectorAssembler(inputCols=[f"logit_{c}" for c in prob_cols], outputCol="features"),
         LogisticRegression(labelCol="label", featuresCol="features", regParam=1.0 / (CALIBRATION_C * n),
-                           elasticNetParam=0.0, standardization=False, maxIter=2000, tol=1e-10),
+                           elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-8),
     ]
     return Pipeline(stages=stages).fit(feats)
 
@@ -91,7 +92,7 @@ def cross_fit_calibration(
     for o in range(outer_k):
         train = dev.where(F.col(outer_col) != o)
         n_train = train.count()
-        inner = SP.kfold_assign(train, k=inner_k, seeds=(inner_seed_base + o,), prefix="_inner")
+        inner = SP.kfold_assign(train, k=inner_k, seeds=(inner_seed_base + o,), label_col="label", prefix="_inner")
         inner_col = f"_inner_{inner_seed_base + o}"
         inner_oof = align_probabilities({m: ML.oof_predict(inner, pipelines[m], inner_col, id_col, inner_k) for m in names}, id_col)
         cal_single = _fit_calibrator(inner_oof, single_cols, n_train)
@@ -163,7 +164,10 @@ def ablation(dev: DataFrame, fold_col: str, model_type: str = "forest", k: int =
         num = [c for c in numeric if c not in removed]
         cat = [c for c in CATEGORICAL_COLUMNS if c not in removed]
         pipe = ML.build_pipeline(model_type, numeric=num, categorical=cat, clip=False, features=True, impute=True, **estimator_kw)
-        oof = ML.oof_predict(dev.drop(*removed), pipe, fold_col, k=k)
+        # Preprocessing fitted once per feature set; only the estimator is refit per fold.
+        _, feats = ML.featurize(dev.drop(*removed), pipe, ["contact_id", "label", fold_col])
+        feats = materialize(feats, "ablation-features")
+        oof = ML.oof_predict(feats, ML.split_pipeline(pipe)[1], fold_col, k=k)
         for r in EV.ranking_metrics_by(oof, ["fold"]).collect():  # k rows
             rows.append((name, int(r["fold"]), float(r["average_precision"])))
     scores = spark.createDataFrame(rows, "feature_set string, fold int, ap double")

@@ -151,6 +151,23 @@ class ModeImputerModel(Model, HasInputCols, DefaultParamsReadable, DefaultParams
 
 
 # ---------------------------------------------------------------- pipelines
+# Numeric features the FeatureBuilder derives, and the raw columns each needs.
+DERIVED_SOURCES = {
+    "days_since_previous_contact": ("pdays",),
+    "signed_log_balance": ("balance",),
+    "log_campaign": ("campaign",),
+    "log_previous": ("previous",),
+    "contact_intensity": ("campaign", "previous"),
+    "log_contact_intensity": ("campaign", "previous"),
+    "month_sin": ("month",),
+    "month_cos": ("month",),
+    "day_sin": ("day",),
+    "day_cos": ("day",),
+    "previous_campaign_success": ("poutcome",),
+    "contact_channel_known": ("contact",),
+}
+
+
 def make_estimator(model_type: str, label_col: str = "label", features_col: str = "features", weight_col: str | None = None, **kw):
     common = {"labelCol": label_col, "featuresCol": features_col}
     if weight_col:
@@ -190,11 +207,11 @@ def build_pipeline(
         stages.append(OutlierClipper(inputCols=[c for c in numeric if c != "pdays" or not features]))
     if features:
         stages.append(FeatureBuilder())
-        derived_num = ["days_since_previous_contact", "signed_log_balance", "log_campaign", "log_previous",
-                       "contact_intensity", "log_contact_intensity", "month_sin", "month_cos", "day_sin", "day_cos",
-                       "previous_campaign_success", "contact_channel_known"]
-        numeric = [c for c in numeric if c != "pdays"] + derived_num
-        categorical = categorical + ["previously_contacted"]
+        present = set(numeric) | set(categorical)
+        derived = [d for d, src in DERIVED_SOURCES.items() if set(src) <= present]
+        numeric = [c for c in numeric if c != "pdays"] + derived
+        if "pdays" in present:
+            categorical = categorical + ["previously_contacted"]
     if impute:
         stages.append(Imputer(inputCols=numeric, outputCols=numeric, strategy="median"))
         stages.append(ModeImputer(inputCols=categorical))
@@ -211,6 +228,24 @@ def build_pipeline(
     return Pipeline(stages=stages)
 
 
+def split_pipeline(pipeline: Pipeline) -> tuple[Pipeline, Pipeline]:
+    """(preprocessing stages, estimator only) of a ``build_pipeline`` result."""
+    stages = pipeline.getStages()
+    return Pipeline(stages=stages[:-1]), Pipeline(stages=stages[-1:])
+
+
+def featurize(df: DataFrame, pipeline: Pipeline, keep: Sequence[str]) -> tuple[PipelineModel, DataFrame]:
+    """Fit the preprocessing once and return (model, frame of ``keep`` + features).
+
+    Multi-fit procedures (cross-fitting, OOF, ablation) then refit only the
+    estimator on the cached feature vectors.  The preprocessing learns no
+    target information (medians, modes, category indexes, clip bounds).
+    """
+    prep, _ = split_pipeline(pipeline)
+    model = prep.fit(df)
+    return model, model.transform(df).select(*keep, "features")
+
+
 def with_label(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.withColumn(label_col, F.when(F.col("y") == "yes", 1.0).otherwise(0.0))
 

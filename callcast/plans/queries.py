@@ -971,15 +971,34 @@ def _dev_test(spark, sf):
 
 
 _CALIBRATIONS: dict = {}
+_FEATURIZED: dict = {}
+
+
+def _featurized_dev(spark, sf, drop: tuple = ()):
+    """Development rows with folds and pre-call feature vectors, materialised once."""
+    from callcast.session import materialize
+
+    key = (id(spark.sparkContext._jsc), sf, drop)
+    if key not in _FEATURIZED:
+        dev, _ = _dev_test(spark, sf)
+        num = [c for c in _PRE_CALL_NUM if c not in drop]
+        cat = [c for c in ML.CATEGORICAL_COLUMNS if c not in drop]
+        pipe = ML.build_pipeline("logistic", numeric=num, categorical=cat, clip=False, features=True, impute=True)
+        _, feats = ML.featurize(dev.drop(*drop), pipe, ["contact_id", "label", "fold_43", "fold_44"])
+        _FEATURIZED[key] = materialize(feats, "dev-features")
+    return _FEATURIZED[key]
+
+
+def _estimator(kind: str, light: bool = True):
+    return ML.split_pipeline(_pre_call_pipeline(kind, light=light))[1]
 
 
 def _calibration(spark, sf):
     key = (id(spark.sparkContext._jsc), sf)
     if key in _CALIBRATIONS:
         return _CALIBRATIONS[key]
-    dev, _ = _dev_test(spark, sf)
-    dev = dev.drop("fold_44")
-    pipes = {"logistic": _pre_call_pipeline("logistic", light=True), "tree": _pre_call_pipeline("tree", light=True)}
+    dev = _featurized_dev(spark, sf).drop("fold_44")
+    pipes = {"logistic": _estimator("logistic"), "tree": _estimator("tree")}
     _CALIBRATIONS[key] = CAL.cross_fit_calibration(dev, pipes, "fold_43", outer_k=5, inner_k=4, inner_seed_base=62)
     return _CALIBRATIONS[key]
 
@@ -989,8 +1008,8 @@ register("calibration_strategy")(lambda spark, sf: CAL.choose_strategy(_calibrat
 
 
 def _align(spark, sf):
-    dev, _ = _dev_test(spark, sf)
-    return CAL.align_probabilities({m: ML.oof_predict(dev, _pre_call_pipeline(m, light=True), "fold_43") for m in ("logistic", "tree")})
+    dev = _featurized_dev(spark, sf)
+    return CAL.align_probabilities({m: ML.oof_predict(dev, _estimator(m), "fold_43") for m in ("logistic", "tree")})
 
 
 register("align_probabilities")(_align)
