@@ -1064,3 +1064,57 @@ def _partitioned_avg(spark, sf):
 
 
 register("avg_balance_by_job_partitioned", W("SELECT job, AVG(balance) AS average_balance FROM contacts GROUP BY job"))(_partitioned_avg)
+
+# ---------------------------------------------------------------- CSV sources over derived data
+from callcast.sources.strict import scan_strict  # noqa: E402
+from callcast.sources.tables import scan_contacts  # noqa: E402
+
+_CSV: dict = {}
+_BANK_COLS = ALL_COLS.replace("contact_id, ", "")
+
+
+def _contacts_csv(spark, sf):
+    """The contacts table written as one header CSV folder (17 columns, file layout)."""
+    from callcast.schema import CONTACT_COLUMNS
+    from callcast.session import scratch_path
+
+    key = (id(spark.sparkContext._jsc), sf)
+    if key not in _CSV:
+        path = scratch_path(spark, "contacts-csv")
+        contacts(spark, sf).select(*CONTACT_COLUMNS).write.option("header", True).csv(path)
+        _CSV[key] = path
+    return _CSV[key]
+
+
+register("scan_contacts_csv", W(f"SELECT {_BANK_COLS} FROM contacts"))(
+    lambda spark, sf: scan_contacts(spark, _contacts_csv(spark, sf), with_id=False)
+)
+register("scan_strict_csv", W(f"SELECT {_BANK_COLS} FROM contacts"))(
+    lambda spark, sf: scan_strict(spark, _contacts_csv(spark, sf))[0]
+)
+
+
+def _eda_summary(spark, sf):
+    """Headline values (correlation, busiest month, best channel) as one row."""
+    c = contacts(spark, sf)
+    corr_v = ST.corr(c).first()[0]
+    m = R.month_contact_summary(c).orderBy(_F.col("contact_count").desc(), "month").first()
+    b = R.best_contact_method(c).first()
+    return spark.createDataFrame(
+        [(corr_v, m["month"], int(m["contact_count"]), round(float(m["success_rate"]), 6), b["contact"], round(float(b["success_rate"]), 6))],
+        "age_balance_correlation double, highest_contact_month string, contact_count long, month_success_rate double, "
+        "best_contact_method string, contact_success_rate double",
+    )
+
+
+register(
+    "eda_summary",
+    W(
+        "SELECT (SELECT ROUND(corr(age::DOUBLE, balance::DOUBLE), 10) FROM contacts) AS age_balance_correlation, "
+        "m.month AS highest_contact_month, m.contact_count, ROUND(m.success_rate, 6) AS month_success_rate, "
+        "b.contact AS best_contact_method, ROUND(b.success_rate, 6) AS contact_success_rate FROM "
+        f"(SELECT month, COUNT(*) AS contact_count, AVG({YES}) * 100 AS success_rate FROM contacts GROUP BY month "
+        "ORDER BY contact_count DESC, month LIMIT 1) m, "
+        f"(SELECT contact, AVG({YES}) * 100 AS success_rate FROM contacts GROUP BY contact ORDER BY success_rate DESC, contact LIMIT 1) b"
+    ),
+)(_eda_summary)
