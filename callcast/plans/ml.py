@@ -19,13 +19,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, RobustScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from callcast.functions.exprs import logit, month_order, signed_log
@@ -192,6 +192,7 @@ def build_pipeline(
     clip: bool = True,
     features: bool = False,
     impute: bool = False,
+    scale: bool = False,
     **estimator_kw,
 ) -> Pipeline:
     """[clip] -> [feature builder] -> [impute] -> index -> [one-hot] -> assemble -> estimator.
@@ -217,12 +218,18 @@ def build_pipeline(
         stages.append(ModeImputer(inputCols=categorical))
     idx = [f"{c}_idx" for c in categorical]
     stages.append(StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep"))
+    numeric_block = numeric
+    if scale:
+        # Robust scaling (median centre, IQR scale) of the numeric block.
+        stages.append(VectorAssembler(inputCols=numeric, outputCol="_num_vec", handleInvalid="keep"))
+        stages.append(RobustScaler(inputCol="_num_vec", outputCol="_num_scaled", withCentering=True, withScaling=True))
+        numeric_block = ["_num_scaled"]
     if one_hot:
         ohe = [f"{c}_ohe" for c in categorical]
         stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe, handleInvalid="keep"))
-        assembled = numeric + ohe
+        assembled = numeric_block + ohe
     else:
-        assembled = numeric + idx
+        assembled = numeric_block + idx
     stages.append(VectorAssembler(inputCols=assembled, outputCol="features", handleInvalid="keep"))
     stages.append(make_estimator(model_type, **estimator_kw))
     return Pipeline(stages=stages)
@@ -341,6 +348,51 @@ def oof_predict(df: DataFrame, pipeline: Pipeline, fold_col: str, id_col: str =
     return out
 
 
+def balanced_weights(df: DataFrame, label_col: str = "label", weight_col: str = "weight") -> DataFrame:
+    """Class weight n / (2 n_class) per row (scikit-learn's ``balanced``).
+
+    The class counts are one aggregate (two rows), broadcast into the rows.
+    """
+    n = F.sum("_c").over(Window.partitionBy())  # over the two class rows
+    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_c")).select(
+        label_col, (n / (2.0 * F.col("_c"))).alias(weight_col)
+    )
+    return df.join(F.broadcast(counts), label_col)
+
+
+def c_to_reg_param(C: float, n: int) -> float:
+    """scikit-learn's inverse strength C (penalty on the summed loss) as Spark's regParam (mean loss)."""
+    return 1.0 / (C * n)
+
+
+def model_selection(
+    dev: DataFrame,
+    candidates: dict,
+    fold_cols: Sequence[str],
+    k: int = 5,
+    id_col: str = "contact_id",
+) -> DataFrame:
+    """Fold AP of every candidate over every repeat of stratified folds.
+
+    ``candidates`` maps a name to an estimator-only Pipeline (``dev`` holds
+    the cached features and, for weighted models, the weight column).
+    Returns (candidate, repeat, fold, ap) rows; summarise with ``cv_summary``.
+    """
+    from callcast.operators.evaluate import ranking_metrics_by
+
+    frames = []
+    for name, pipe in candidates.items():
+        for rep in fold_cols:
+            oof = oof_predict(dev, pipe, rep, id_col, k)
+            frames.append(ranking_metrics_by(oof, ["fold"]).select(
+                F.lit(name).alias("model"), F.lit(rep).alias("repeat"), "fold", F.col("average_precision").alias("score")
+            ))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def cv_summary(fold_scores: DataFrame, model_col: str = "model", score_col: str = "score") -> DataFrame:
     """model -> mean score, population std, folds; best first."""
     return (

@@ -983,7 +983,7 @@ def _featurized_dev(spark, sf, drop: tuple = ()):
         dev, _ = _dev_test(spark, sf)
         num = [c for c in _PRE_CALL_NUM if c not in drop]
         cat = [c for c in ML.CATEGORICAL_COLUMNS if c not in drop]
-        pipe = ML.build_pipeline("logistic", numeric=num, categorical=cat, clip=False, features=True, impute=True)
+        pipe = ML.build_pipeline("logistic", numeric=num, categorical=cat, clip=False, features=True, impute=True, scale=True)
         _, feats = ML.featurize(dev.drop(*drop), pipe, ["contact_id", "label", "fold_43", "fold_44"])
         _FEATURIZED[key] = materialize(feats, "dev-features")
     return _FEATURIZED[key]
@@ -1118,3 +1118,26 @@ register(
         f"(SELECT contact, AVG({YES}) * 100 AS success_rate FROM contacts GROUP BY contact ORDER BY success_rate DESC, contact LIMIT 1) b"
     ),
 )(_eda_summary)
+
+
+# The class-weighted logistic grid of inverse strengths.
+WEIGHTED_LR_C = (0.05, 0.2, 1.0, 5.0)
+# End of fixed values.
+
+
+def _model_selection(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    dev = ML.balanced_weights(_featurized_dev(spark, sf))
+    n = dev.count()
+    cands = {
+        f"weighted_logistic_C={c}": Pipeline(stages=[LogisticRegression(
+            labelCol="label", featuresCol="features", weightCol="weight", regParam=ML.c_to_reg_param(c, n),
+            elasticNetParam=0.0, standardization=False, **_LIGHT["logistic"])])
+        for c in WEIGHTED_LR_C
+    }
+    return ML.cv_summary(ML.model_selection(dev, cands, ["fold_43"], k=5))
+
+
+register("model_selection")(_model_selection)

@@ -108,3 +108,12 @@ def test_feature_builder_skips_missing_columns(spark, small):
     pipe = ML.build_pipeline("logistic", numeric=["age", "balance"], categorical=["job"], features=True, maxIter=5)
     model = pipe.fit(ML.with_label(small))
     assert model.transform(ML.with_label(small)).count() == 12
+
+
+def test_balanced_weights(spark, small):
+    w = ML.balanced_weights(ML.with_label(small))
+    got = {r.label: r.weight for r in w.select("label", "weight").distinct().collect()}
+    # 5 yes and 7 no of 12: weights 12 / (2 * count)
+    assert got == {1.0: 12 / 10, 0.0: 12 / 14}
+    assert abs(sum(r.weight for r in w.collect()) - 12) < 1e-9
+    assert ML.c_to_reg_param(0.2, 1000) == 1 / 200
