@@ -22,15 +22,33 @@ from pyspark.sql.types import StructType
 from callcast.session import checkpoint_root, scratch_path
 
 
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
+def ntz_as_utc(col: str, df: DataFrame):
+    """TIMESTAMP_NTZ -> TIMESTAMP instant whose UTC wall time is the NTZ value.
+
+    Watermarks need TIMESTAMP; reading the wall time as UTC keeps window
+    boundaries (aligned in UTC) independent of the session time zone.
+    """
+    return F.from_utc_timestamp(F.col(col).cast("timestamp"), _session_tz(df))
+
+
+def _utc_wall(c, df: DataFrame):
+    """Inverse of ``ntz_as_utc`` for output columns: the instant's UTC wall time as NTZ."""
+    return F.to_utc_timestamp(c, _session_tz(df)).cast("timestamp_ntz")
+
+
 def events_as_contacts(events: DataFrame) -> DataFrame:
     """Map the driver's ``events`` rows onto the stream columns.
 
-    event_time = ts as TIMESTAMP (a watermark needs TIMESTAMP, not NTZ),
+    event_time = ts as a TIMESTAMP (a watermark needs TIMESTAMP, not NTZ),
     job = event_type, balance = value, duration = INT of props.k.
     """
     return events.select(
         F.col("event_id"),
-        F.col("ts").cast("timestamp").alias("event_time"),
+        ntz_as_utc("ts", events).alias("event_time"),
         F.col("event_type").alias("job"),
         F.col("value").alias("balance"),
         F.get_json_object("props", "$.k").cast("int").alias("duration"),
@@ -61,15 +79,16 @@ def stream_window(stream: DataFrame, width: str, watermark: str = "2 minutes", t
     """Tumbling event-time windows: count and average balance (append mode).
 
     Rows older than the watermark are dropped and closed windows leave the
-    state store.  Window bounds are returned as TIMESTAMP_NTZ columns.
+    state store.  Window bounds are returned as TIMESTAMP_NTZ (UTC wall time,
+    see ``ntz_as_utc``).
     """
     return (
         stream.withWatermark(time_col, watermark)
         .groupBy(F.window(time_col, width).alias("window"))
         .agg(F.count(F.lit(1)).alias("transaction_count"), F.avg("balance").alias("avg_balance"))
         .select(
-            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            _utc_wall(F.col("window.start"), stream).alias("window_start"),
+            _utc_wall(F.col("window.end"), stream).alias("window_end"),
             "transaction_count",
             "avg_balance",
         )
@@ -82,8 +101,8 @@ def batch_window(df: DataFrame, width: str, time_col: str = "event_time") -> Dat
         df.groupBy(F.window(time_col, width).alias("window"))
         .agg(F.count(F.lit(1)).alias("transaction_count"), F.avg("balance").alias("avg_balance"))
         .select(
-            F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            _utc_wall(F.col("window.start"), df).alias("window_start"),
+            _utc_wall(F.col("window.end"), df).alias("window_end"),
             "transaction_count",
             "avg_balance",
         )

@@ -117,3 +117,29 @@ def test_balanced_weights(spark, small):
     assert got == {1.0: 12 / 10, 0.0: 12 / 14}
     assert abs(sum(r.weight for r in w.collect()) - 12) < 1e-9
     assert ML.c_to_reg_param(0.2, 1000) == 1 / 200
+
+
+def test_windows_do_not_depend_on_session_time_zone(spark):
+    from callcast.sources.tables import table
+
+    def windows():
+        ev = SJ.events_as_contacts(table(spark, SF, "events"))
+        return sorted((r.window_start, r.transaction_count) for r in SJ.batch_window(ev, "1 day").collect())
+
+    utc = windows()
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        other = windows()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == other
+    assert all(w.hour == 0 and w.minute == 0 for w, _ in utc)
+
+
+def test_json_summary_sink(spark):
+    from callcast.sources.sinks import save_summary
+
+    path = scratch_path(spark, "summary")
+    save_summary(spark, {"age_balance_correlation": 0.5, "best_contact_method": "cellular"}, path)
+    row = spark.read.json(path).first()
+    assert row.best_contact_method == "cellular" and row.age_balance_correlation == 0.5
