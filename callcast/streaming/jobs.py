@@ -154,13 +154,28 @@ def _progress(q) -> dict:
     return {"batches": batches, "rows_dropped_by_watermark": dropped}
 
 
+def write_replay(df: DataFrame, order_col: str, name: str = "replay", partitions: int | None = None) -> str:
+    """A (derived) table as a stream source folder, range-partitioned on time.
+
+    Written by all tasks in parallel; read it without ``maxFilesPerTrigger``
+    (one ``availableNow`` batch) so file modification times do not matter.
+    Safe at any size: no slice passes through one task.
+    """
+    path = scratch_path(df.sparkSession, name)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, order_col).sortWithinPartitions(order_col).write.parquet(path)
+    return path
+
+
 def write_replay_files(df: DataFrame, n_files: int, order_col: str, name: str = "replay") -> str:
-    """Cut a (derived) table into ``n_files`` time slices, one file each, oldest first.
+    """Cut a SMALL table into ``n_files`` time slices, one file each, oldest first.
 
     A file source replays files by modification time, so the slices are
     written one after another (slice k = rows between the k-th and (k+1)-th
-    quantile of ``order_col``; the quantiles are one aggregate).  For bounded
-    replays (tests, demos); a live producer writes its own files.
+    quantile of ``order_col``; the quantiles are one aggregate).  Each slice
+    is one file written by one task: for bounded fixture replays that exercise
+    micro-batches and the watermark (tests); use ``write_replay`` for data
+    of any size.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
