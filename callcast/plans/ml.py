@@ -306,14 +306,23 @@ def tuned_logistic(train: DataFrame, fold_col: str | None = None, numeric=NUMERI
                    parallelism: int = CV_PARALLELISM):
     """3x3 grid (regParam x elasticNetParam), 3 folds, ROC-AUC.
 
-    With ``fold_col`` (from ``kfold_assign``) the folds are deterministic and
-    independent of partitioning; otherwise CrossValidator's seeded random folds.
+    The preprocessing (clip bounds, indexes, encoders) is fitted once on the
+    training rows and its feature vectors are cached for the 27 fits; only the
+    logistic layer is cross-validated.  With ``fold_col`` (from
+    ``kfold_assign``) the folds are deterministic and independent of
+    partitioning; otherwise CrossValidator's seeded random folds.
+    Returns (CrossValidatorModel, PipelineModel of preprocessing + best model).
     """
-    pipe = build_pipeline("logistic", numeric, categorical)
-    est = pipe.getStages()[-1]
+    from pyspark import StorageLevel
+
+    prep, est_only = split_pipeline(build_pipeline("logistic", numeric, categorical))
+    prep_model = prep.fit(train)
+    keep = ["label", "features"] + ([fold_col] if fold_col else [])
+    feats = prep_model.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    est = est_only.getStages()[0]
     grid = ParamGridBuilder().addGrid(est.regParam, LR_GRID["regParam"]).addGrid(est.elasticNetParam, LR_GRID["elasticNetParam"]).build()
     cv = CrossValidator(
-        estimator=pipe,
+        estimator=est,
         estimatorParamMaps=grid,
         evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"),
         numFolds=CV_FOLDS,
@@ -321,7 +330,11 @@ def tuned_logistic(train: DataFrame, fold_col: str | None = None, numeric=NUMERI
         seed=SEED,
         **({"foldCol": fold_col} if fold_col else {}),
     )
-    return cv.fit(train)
+    try:
+        cvm = cv.fit(feats)
+    finally:
+        feats.unpersist()
+    return cvm, PipelineModel(stages=list(prep_model.stages) + [cvm.bestModel])
 
 
 def oof_predict(df: DataFrame, pipeline: Pipeline, fold_col: str, id_col: str = "contact_id", k: int | None = None) -> DataFrame:

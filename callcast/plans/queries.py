@@ -865,8 +865,8 @@ register("ml_baseline_metrics")(_baseline_metrics)
 def _tuned(spark, sf):
     train, test = _train_test(spark, sf)
     train = SP.kfold_assign(train, k=ML.CV_FOLDS, seeds=(ML.SEED,))
-    cvm = ML.tuned_logistic(train, fold_col=f"fold_{ML.SEED}")
-    return cvm.bestModel, test
+    _, best = ML.tuned_logistic(train, fold_col=f"fold_{ML.SEED}")
+    return best, test
 
 
 register("ml_tuned_lr_metrics")(lambda spark, sf: (lambda m, t: ML.six_metrics(m.transform(t), "tuned_logistic"))(*_tuned(spark, sf)))
@@ -894,25 +894,38 @@ register("confusion_counts")(
 )
 
 
+_CONTACT_FEATURES: dict = {}
+
+
+def _contact_features(spark, sf):
+    """All contacts with folds (seeds 42, 43) and pre-call feature vectors, materialised once."""
+    from callcast.session import materialize
+
+    key = (id(spark.sparkContext._jsc), sf)
+    if key not in _CONTACT_FEATURES:
+        c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(42, 43))
+        pipe = ML.build_pipeline("logistic", numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True)
+        _, feats = ML.featurize(c, pipe, ["contact_id", "label", "fold_42", "fold_43"])
+        _CONTACT_FEATURES[key] = materialize(feats, "contact-features")
+    return _CONTACT_FEATURES[key]
+
+
 def _oof(spark, sf):
-    c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(43,))
-    return ML.oof_predict(c, ML.build_pipeline("logistic", features=True, impute=True, clip=False,
-                                               numeric=[x for x in ML.NUMERIC_COLUMNS if x != "duration"]), "fold_43")
+    return ML.oof_predict(_contact_features(spark, sf), _estimator("logistic", light=False), "fold_43")
 
 
 register("oof_predictions")(_oof)
 
 
 def _cv_summary(spark, sf):
-    c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(42,))
-    pre = [x for x in ML.NUMERIC_COLUMNS if x != "duration"]
+    c = _contact_features(spark, sf)
     rows = []
-    for name, pipe in (("logistic", ML.build_pipeline("logistic", numeric=pre)), ("tree", ML.build_pipeline("tree", numeric=pre))):
-        oof = ML.oof_predict(c, pipe, "fold_42")
-        for f in range(5):
-            ap = EV.ranking_metrics(oof.where(_F.col("fold") == f)).first()["average_precision"]
-            rows.append((name, f, float(ap)))
-    # The prior baseline: every row gets the training prevalence of its fold.
+    for name in ("logistic", "tree"):
+        oof = ML.oof_predict(c, _estimator(name, light=False), "fold_42")
+        for r in EV.ranking_metrics_by(oof, ["fold"]).collect():  # one row per fold
+            rows.append((name, int(r["fold"]), float(r["average_precision"])))
+    # The prior baseline: every row of a fold gets the prevalence of the other folds;
+    # a constant score has AP equal to the fold's own positive rate.
     prior = c.groupBy("fold_42").agg(_F.sum("label").alias("pos"), _F.count(_F.lit(1)).alias("n"))
     for r in prior.collect():  # one row per fold
         rows.append(("prior", int(r["fold_42"]), float(r["pos"]) / float(r["n"])))
