@@ -125,9 +125,14 @@ def running(
     keys, order, sums, lags = list(keys), list(order), list(sums), list(lags)
     spark = df.sparkSession
     ship_package(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_spec = [F.col(c).asc() for c in keys + order]
-    sorted_df = df.repartitionByRange(n, *sort_spec).sortWithinPartitions(*sort_spec)
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *sort_spec)
+    else:
+        # No fixed count: spark.sql.shuffle.partitions ranges, which AQE may
+        # coalesce into contiguous (still ordered) groups when they are small.
+        ranged = df.repartitionByRange(*sort_spec)
+    sorted_df = ranged.sortWithinPartitions(*sort_spec)
 
     base = df.schema
     extra = [T.StructField(_RN, T.LongType(), False)]

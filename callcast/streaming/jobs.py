@@ -162,8 +162,8 @@ def write_replay(df: DataFrame, order_col: str, name: str = "replay", partitions
     Safe at any size: no slice passes through one task.
     """
     path = scratch_path(df.sparkSession, name)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(n, order_col).sortWithinPartitions(order_col).write.parquet(path)
+    ranged = df.repartitionByRange(partitions, order_col) if partitions else df.repartitionByRange(order_col)
+    ranged.sortWithinPartitions(order_col).write.parquet(path)
     return path
 
 
