@@ -25,14 +25,17 @@ def md5_key(id_col: str = "contact_id", seed: int = 42) -> Column:
     return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}")))
 
 
-def hash_split(df: DataFrame, fraction: float, seed: int = 42, id_col: str = "contact_id") -> DataFrame:
+def hash_split(df: DataFrame, fraction: float, seed: int = 42, id_col: str = "contact_id", complement: bool = False) -> DataFrame:
     """Rows whose md5 prefix falls under ``fraction`` of the 32-bit range.
 
     Approximate fraction, no shuffle: a narrow filter (stands in for
     ``randomSplit``).  ``fraction=0.6`` gives the prefix bound '99999999'.
+    ``complement=True`` returns the other rows (the held-out part), also
+    without a join.
     """
     bound = format(min(int(fraction * 16**8), 16**8 - 1), "08x")
-    return df.where(F.substring(md5_key(id_col, seed), 1, 8) < F.lit(bound))
+    inside = F.substring(md5_key(id_col, seed), 1, 8) < F.lit(bound)
+    return df.where(~inside if complement else inside)
 
 
 def _class_ranks(df: DataFrame, label_col: str, seed: int, id_col: str) -> DataFrame:
