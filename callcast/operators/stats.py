@@ -28,17 +28,30 @@ def corr(df: DataFrame, a: str = "age", b: str = "balance", digits: int = 10) ->
 def corr_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLUMNS, target: str | None = "y", digits: int = 9) -> DataFrame:
     """Long-form Pearson matrix (a, b, corr) of ``cols`` plus a 0/1 ``subscribed``.
 
-    All pairs in one aggregate pass; the diagonal is 1.
+    Two passes whatever the column count: the means (one aggregate, read as
+    literals), then one aggregate of centered cross products (plain sums,
+    codegen-friendly and numerically stable).  When a column holds NULLs the
+    pairwise-complete ``corr`` aggregate is used instead.  Diagonal is 1.
     """
     frame = df.select(*[F.col(c).cast("double").alias(c) for c in cols], *(
         [F.when(F.col(target) == "yes", 1.0).otherwise(0.0).alias("subscribed")] if target else []
     ))
     names = list(cols) + (["subscribed"] if target else [])
     pairs = list(combinations(names, 2))
-    wide = frame.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    first = frame.agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(f"m_{c}") for c in names],
+                      *[F.count(c).alias(f"c_{c}") for c in names]).first()
+    if all(first[f"c_{c}"] == first["_n"] for c in names):
+        d = {c: F.col(c) - F.lit(first[f"m_{c}"]) for c in names}
+        sums = frame.agg(*[F.sum(d[c] * d[c]).alias(f"ss_{c}") for c in names],
+                         *[F.sum(d[a] * d[b]).alias(f"{a}|{b}") for a, b in pairs])
+        value = lambda a, b: F.col(f"`{a}|{b}`") / F.sqrt(F.col(f"ss_{a}") * F.col(f"ss_{b}"))
+        wide = sums
+    else:
+        wide = frame.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+        value = lambda a, b: F.col(f"`{a}|{b}`")
     cells = []
     for a, b in pairs:
-        v = F.round(F.col(f"`{a}|{b}`"), digits)
+        v = F.round(value(a, b), digits)
         cells += [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), v.alias("corr")),
                   F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), v.alias("corr"))]
     cells += [F.struct(F.lit(n).alias("a"), F.lit(n).alias("b"), F.lit(1.0).alias("corr")) for n in names]

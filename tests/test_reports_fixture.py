@@ -94,3 +94,15 @@ def test_group_rates_lists_empty_bins(small):
     assert rows[("campaign_group", "11+")] == (1, 0.0)
     assert rows[("age_group", "60+")][0] == 2  # ages 60 and 61 fall in (59, 100]
     assert ("job", "unknown") in rows
+
+
+def test_corr_matrix_both_paths(small):
+    from pyspark.sql import functions as F
+
+    full = {(r.a, r.b): r.corr for r in ST.corr_matrix(small).collect()}
+    assert full[("age", "balance")] == pytest.approx(0.5849098904, abs=1e-9)
+    assert full[("balance", "age")] == full[("age", "balance")] and full[("age", "age")] == 1.0
+    # a NULL switches to the pairwise-complete aggregate; other pairs are unchanged
+    with_null = small.withColumn("day", F.when(F.col("contact_id") == 1, None).otherwise(F.col("day")))
+    part = {(r.a, r.b): r.corr for r in ST.corr_matrix(with_null).collect()}
+    assert part[("age", "balance")] == pytest.approx(full[("age", "balance")], abs=1e-9)
