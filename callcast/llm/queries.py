@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import langid
+from callcast.llm import decontaminate, langid
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_language_id"] = op7_language_id
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every occurrence of a benchmark item in a document, with its edits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op4_decontamination"] = op4_decontamination

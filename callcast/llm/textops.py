@@ -49,7 +49,9 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     if n < width:
         return np.empty(0, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        power = {1: mix(values.astype(np.uint64) + np.uint64(1))}
+        first = (values.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        first ^= first >> np.uint64(32)
+        power = {1: first}
         factor, size = MUL, 1
         mult = {1: factor}
         while size * 2 <= width:

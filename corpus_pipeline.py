@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callcast.llm import langid
+from callcast.llm import decontaminate, langid
 from callcast.session import materialize
 from callcast.sources.tables import table
 
@@ -18,8 +18,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs).where("NOT rejected").select(*docs.columns)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 STAGES = [
     ("language_id", language_id),
+    ("benchmark_decontamination", decontamination),
 ]
 
 ORACLE_SQL = None
