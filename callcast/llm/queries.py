@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, langid
+from callcast.llm import decontaminate, jaccard_join, langid
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_decontamination"] = op4_decontamination
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document (five-word shingles, Jaccard 0.8)."""
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op9_jaccard_join"] = op9_jaccard_join

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callcast.llm import decontaminate, langid
+from callcast.llm import decontaminate, jaccard_join, langid
 from callcast.session import materialize
 from callcast.sources.tables import table
 
@@ -18,6 +18,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs).where("NOT rejected").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicate documents the one with the smallest doc_id stays."""
+    return jaccard_join.keep_first(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -25,6 +30,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 STAGES = [
     ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", decontamination),
 ]
 
