@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, jaccard_join, langid
+from callcast.llm import decontaminate, jaccard_join, langid, suffix_dedup
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,12 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_jaccard_join"] = op9_jaccard_join
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that are left without the 400-byte strings that start twice or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.deduplicate(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES["op8_suffix_dedup"] = op8_suffix_dedup

@@ -7,8 +7,9 @@ as Parquet and read again as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, jaccard_join, langid
+from callcast.llm import decontaminate, jaccard_join, langid, suffix_dedup
 from callcast.session import materialize
 from callcast.sources.tables import table
 
@@ -23,6 +24,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard_join.keep_first(docs)
 
 
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts lose every passage of 400 bytes or more that occurs again; documents of which nothing is left go."""
+    cut = suffix_dedup.deduplicate(docs, as_text=True)
+    left = cut.where((F.col("n_removed") == 0) | (F.length("kept") > 0))
+    changed = F.col("n_removed") > 0
+    return left.withColumns(
+        {"text": F.when(changed, F.col("kept")).otherwise(F.col("text")), "n_chars": F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars"))}
+    ).select(*docs.columns)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
@@ -31,6 +42,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 STAGES = [
     ("language_id", language_id),
     ("near_duplicates", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
     ("benchmark_decontamination", decontamination),
 ]
 
