@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, jaccard_join, langid, suffix_dedup
+from callcast.llm import decontaminate, jaccard_join, langid, mixing, suffix_dedup, url_filter
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,104 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_suffix_dedup"] = op8_suffix_dedup
+
+
+# The path rules (host, path, verdict), and terms of hosts whose pages are listed.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+LISTED_TERMS = ["pills", "casino", "bets", "spam", "adult", "ads-"]
+# End of fixed values.
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page URL; listed are the canonical URLs of all pages on hosts with a listed term."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(url_filter.host_of(F.col("url")).rlike("|".join(LISTED_TERMS))).select("url")
+    return url_filter.judge(pages, "url", listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+QUERIES["op2_url_filter"] = op2_url_filter
+
+
+def _url_sql() -> str:
+    rules = " UNION ALL ".join(f"SELECT '{h}{p}' AS r, '{v}' AS v, '{h}' AS h, '{p}' AS p" for h, p, v in URL_RULES)
+    return f"""
+WITH parts AS (
+  SELECT page_id, url,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+canon AS (
+  SELECT *, CASE WHEN contains(url, '://') THEN regexp_replace(host, '^(www|m|blog)\.', '') || regexp_replace(path, '(/index)?(\.html?)?/*$', '') ELSE url END AS c
+  FROM parts),
+listed AS (SELECT DISTINCT c FROM canon WHERE regexp_matches(host, '{"|".join(LISTED_TERMS)}')),
+rules AS ({rules}),
+fit AS (
+  SELECT page_id, arg_max(r, length(r)) AS rule, arg_max(v, length(r)) AS rule_verdict
+  FROM parts, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN l.c IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, l.c IS NOT NULL AS listed
+FROM canon LEFT JOIN fit USING (page_id) LEFT JOIN listed l ON canon.c = l.c"""
+
+
+ORACLE["op2_url_filter"] = _url_sql()
+
+# Parameters of the mixture: tempering powers of the three margins.
+MIX_POWERS = {"source": 0.7, "lang": 0.5, "topic": 0.8}
+MIX_KEEP, MIX_ROUNDS, MIX_SEED = 0.5, 12, 11
+
+
+def with_topic(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"topic": mixing.topic_of(F.coalesce("text", F.lit(""))), "tokens": mixing.token_count(F.col("text"))})
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance and draw of every document, with token weights raked to source, language and topic shares."""
+    docs = with_topic(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", "source", "lang", "topic", "tokens")
+    return mixing.sample(docs, list(MIX_POWERS), MIX_POWERS, keep_share=MIX_KEEP, rounds=MIX_ROUNDS, seed=MIX_SEED)
+
+
+QUERIES["op5_mixing"] = op5_mixing
+
+
+def _mix_sql() -> str:
+    """The same raking, written out round by round over the cells."""
+    margins = list(MIX_POWERS)
+    steps = []
+    for m, power in MIX_POWERS.items():
+        steps.append(f"share_{m} AS (SELECT {m}, t / SUM(t) OVER () AS share FROM (SELECT {m}, pow(SUM(tokens), {power}) AS t FROM cells GROUP BY {m}))")
+    last = "start"
+    shares = ", ".join(f"share_{m}.share AS s_{m}" for m in margins)
+    joins = " ".join(f"JOIN share_{m} ON cells.{m} IS NOT DISTINCT FROM share_{m}.{m}" for m in margins)
+    steps.append(f"start AS (SELECT cells.*, cells.tokens AS weight, SUM(cells.tokens) OVER () AS whole, {shares} FROM cells {joins})")
+    for r in range(MIX_ROUNDS):
+        for m in margins:
+            steps.append(f"r{r}_{m} AS (SELECT * REPLACE (weight * s_{m} * whole / SUM(weight) OVER (PARTITION BY {m}) AS weight) FROM {last})")
+            last = f"r{r}_{m}"
+    steps.append(f"f0 AS (SELECT {MIX_KEEP} * SUM(tokens) / SUM(weight) AS f, {MIX_KEEP} * SUM(tokens) AS goal FROM {last})")
+    for i in range(1, 15):
+        steps.append(
+            f"f{i} AS (SELECT greatest(any_value(f), coalesce((any_value(goal) - coalesce(SUM(tokens) FILTER (weight / tokens * f >= 1), 0)) / SUM(weight) FILTER (weight / tokens * f < 1), any_value(f))) AS f, "
+            f"any_value(goal) AS goal FROM {last}, f{i - 1})"
+        )
+    steps.append(f"chance AS (SELECT source, lang, topic, round(least(1.0, weight / tokens * f), 9) AS prob FROM {last}, f14)")
+    same = " AND ".join(f"d.{m} IS NOT DISTINCT FROM chance.{m}" for m in margins)
+    return f"""
+WITH d AS (
+  SELECT doc_id, source, lang,
+    CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN contains(coalesce(text, ''), '!!') THEN 'shout'
+         WHEN contains(coalesce(text, ''), 'icense') THEN 'licensed' WHEN contains(coalesce(text, ''), '@') THEN 'contact' ELSE 'prose' END AS topic,
+    greatest(len(regexp_extract_all(coalesce(text, ''), '\S+')), 1)::BIGINT AS tokens
+  FROM documents),
+cells AS (SELECT source, lang, topic, SUM(tokens)::DOUBLE AS tokens FROM d GROUP BY source, lang, topic),
+{", ".join(steps)}
+SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, prob,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':{MIX_SEED}'), 1, 13))::BIGINT / 4503599627370496.0 < prob AS kept
+FROM d LEFT JOIN chance ON {same}"""
+
+
+ORACLE["op5_mixing"] = _mix_sql()

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, jaccard_join, langid, suffix_dedup
+from callcast.llm import decontaminate, jaccard_join, langid, mixing, suffix_dedup
+from callcast.llm.queries import MIX_KEEP, MIX_POWERS, MIX_ROUNDS, MIX_SEED, with_topic
 from callcast.session import materialize
 from callcast.sources.tables import table
 
@@ -39,11 +40,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A sample whose source, language and topic shares follow the target weights; adds topic, tokens and prob."""
+    drawn = mixing.sample(with_topic(docs), list(MIX_POWERS), MIX_POWERS, keep_share=MIX_KEEP, rounds=MIX_ROUNDS, seed=MIX_SEED)
+    return drawn.where("kept").drop("kept")
+
+
 STAGES = [
     ("language_id", language_id),
     ("near_duplicates", near_duplicates),
     ("suffix_array_dedup", repeated_passages),
     ("benchmark_decontamination", decontamination),
+    ("source_mixture", mixture),
 ]
 
 ORACLE_SQL = None
