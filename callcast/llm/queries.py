@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, jaccard_join, langid, mixing, suffix_dedup, url_filter
+from callcast.llm import decontaminate, jaccard_join, langid, mixing, suffix_dedup, url_filter, warc
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,7 +79,7 @@ QUERIES["op2_url_filter"] = op2_url_filter
 
 def _url_sql() -> str:
     rules = " UNION ALL ".join(f"SELECT '{h}{p}' AS r, '{v}' AS v, '{h}' AS h, '{p}' AS p" for h, p, v in URL_RULES)
-    return f"""
+    return rf"""
 WITH parts AS (
   SELECT page_id, url,
     translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -139,7 +139,7 @@ def _mix_sql() -> str:
         )
     steps.append(f"chance AS (SELECT source, lang, topic, round(least(1.0, weight / tokens * f), 9) AS prob FROM {last}, f14)")
     same = " AND ".join(f"d.{m} IS NOT DISTINCT FROM chance.{m}" for m in margins)
-    return f"""
+    return rf"""
 WITH d AS (
   SELECT doc_id, source, lang,
     CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN contains(coalesce(text, ''), '!!') THEN 'shout'
@@ -154,3 +154,28 @@ FROM d LEFT JOIN chance ON {same}"""
 
 
 ORACLE["op5_mixing"] = _mix_sql()
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page from the merged index of its archives; position is its place in the global order."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.archive_and_index(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "position")
+
+
+QUERIES["op10_warc"] = op10_warc
+ORACLE["op10_warc"] = rf"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, lower(coalesce(url, '')) AS u FROM pages),
+k AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+    CASE WHEN contains(u, '://') THEN
+      array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(u, '^(?s:.*?)://([^/?#]*)', 1), '^www\.', ''), '.')), ',')
+      || ')' || regexp_extract(u, '^(?s:.*?)://[^/?#]*([^#]*)', 1) ELSE u END AS url_key,
+    strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id % 31536000), '%Y%m%d%H%M%S') AS captured
+  FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS response FROM k)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> response THEN response END AS refers_to,
+  url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) AS position
+FROM r"""
