@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, jaccard_join, langid, mixing, suffix_dedup, url_filter, warc
+from callcast.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, suffix_dedup, url_filter, warc
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,11 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= {warc.REVISIT_BYTES} AND page_id <> response THEN response END AS refers_to,
   url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) AS position
 FROM r"""
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how alike neighbours are."""
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op3_fingerprints"] = op3_fingerprints
