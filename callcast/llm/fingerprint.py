@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 
 WIDTH = 5
 BINS = 128
+#: A heavier term is cut into parts of this weight, which leaves every likeness as it is (the sum of the smaller parts is
+#: the smaller weight) and spreads the term over several bins.
+_PART = 4
 _BLOCK_BITS = 10
 _FIRST = -(1 << 63)
 
@@ -56,8 +59,11 @@ def _counted(hashes: Column) -> Column:
 
 
 def _runs(s: Column) -> Column:
+    """Distinct values of a sorted array with their counts, a count over _PART in parts of _PART."""
     starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-    return F.transform(F.array(starts), lambda p: F.transform(p, lambda a, k: F.struct(F.get(s, a).alias("term"), (F.coalesce(F.get(p, k + 1), F.size(s)) - a).alias("weight"))))[0]
+    counted = F.transform(F.array(starts), lambda p: F.transform(p, lambda a, k: F.struct(F.get(s, a).alias("h"), (F.coalesce(F.get(p, k + 1), F.size(s)) - a).alias("n"))))[0]
+    part = lambda e, j: F.struct(F.when(j == 0, e["h"]).otherwise(F.xxhash64(e["h"], j)).alias("term"), F.least(F.lit(_PART), e["n"] - j * _PART).alias("weight"))
+    return F.flatten(F.transform(counted, lambda e: F.transform(F.sequence(F.lit(0), F.floor((e["n"] - 1) / _PART).cast("int")), lambda j: part(e, j))))
 
 
 def _uniform(term: Column, salt: int) -> Column:
