@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import decontaminate, fingerprint, jaccard_join, langid, mixing, suffix_dedup, url_filter, warc
+from callcast.llm import chat, decontaminate, fingerprint, jaccard_join, langid, licenses, mixing, suffix_dedup, url_filter, warc
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,63 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_fingerprints"] = op3_fingerprints
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every license notice found in a document."""
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _license_sql() -> str:
+    """The same windows with plain set containment, without sketches."""
+    quoted = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES)
+    words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '')"
+    w = licenses.WIDTH
+
+    def shingled(k: str, t: str) -> str:
+        return (
+            f"SELECT {k}, i - 1 AS pos, array_to_string(ws[i:i + {w - 1}], ' ') AS h FROM (SELECT {k}, ws, unnest(range(1, len(ws) - {w - 2})) AS i "
+            f"FROM (SELECT {k}, {words} AS ws FROM {t}) q) r"
+        )
+
+    return f"""
+WITH templates(license_id, text) AS (VALUES {quoted}),
+ts AS (SELECT DISTINCT license_id, pos // {licenses.PIECE} AS piece, h FROM ({shingled("license_id", "templates")}) s),
+known AS (SELECT license_id, piece, COUNT(*) AS m, pow(2, ceil(log2(COUNT(*))))::BIGINT AS class FROM ts GROUP BY 1, 2),
+whole AS (SELECT license_id, SUM(m) AS n FROM known GROUP BY 1),
+ds AS ({shingled("doc_id", "documents")}),
+hit AS (SELECT DISTINCT doc_id, pos, ds.h, license_id, piece, class, m FROM ds JOIN ts USING (h) JOIN known USING (license_id, piece)),
+held AS (
+  SELECT doc_id, license_id, piece, m, pos // class - o AS win, COUNT(DISTINCT h) AS n, MIN(pos) AS first
+  FROM hit, (SELECT unnest([0, 1, 2]) AS o) GROUP BY 1, 2, 3, 4, 5),
+best AS (SELECT doc_id, license_id, piece, m, MAX(n / m) AS part, MIN(first) AS first FROM held GROUP BY 1, 2, 3, 4),
+found AS (SELECT doc_id, license_id, round(SUM(part * m / whole.n), 6) AS containment, MIN(first)::BIGINT AS first_shingle FROM best JOIN whole USING (license_id) GROUP BY 1, 2)
+SELECT * FROM found WHERE containment >= 0.8"""
+
+
+QUERIES["op1_license_scan"] = op1_license_scan
+ORACLE["op1_license_scan"] = _license_sql()
+
+
+def op6_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from the perspective of each participant; the mask as start:end pairs."""
+    shown = chat.perspectives(table(spark, sf_dir, "conversations"))
+    pairs = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return shown.select("conv_id", "speaker", F.col("part")[0].alias("part"), "n_turns", "n_spoken", "text", F.array_join(pairs, ",").alias("mask"))
+
+
+QUERIES["op6_chat_perspectives"] = op6_chat_perspectives
+ORACLE["op6_chat_perspectives"] = f"""
+WITH u AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+who AS (SELECT DISTINCT conv_id, role AS speaker FROM u WHERE role <> 'system'),
+p AS (
+  SELECT conv_id, speaker, turn // {chat.PART_TURNS} AS part, turn, role = speaker AS own,
+    '{chat.START}' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN role ELSE 'user name=' || role END || chr(10) AS head,
+    replace(replace(text, '{chat.START}', '<|im_start |>'), '{chat.END}', '<|im_end |>') || '{chat.END}' || chr(10) AS body
+  FROM u JOIN who USING (conv_id)),
+o AS (
+  SELECT *, SUM(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn) AS stop FROM p)
+SELECT conv_id, speaker, part, COUNT(*) AS n_turns, COUNT(*) FILTER (own) AS n_spoken, string_agg(head || body, '' ORDER BY turn) AS text,
+  coalesce(string_agg((stop - length(body))::BIGINT || ':' || (stop - 1)::BIGINT, ',' ORDER BY turn) FILTER (own), '') AS mask
+FROM o GROUP BY conv_id, speaker, part"""
