@@ -197,7 +197,7 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _license_sql() -> str:
     """The same windows with plain set containment, without sketches."""
     quoted = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES)
-    words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '')"
+    words = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
     w = licenses.WIDTH
 
     def shingled(k: str, t: str) -> str:
