@@ -11,7 +11,8 @@ and then by the order of ties.  So a dialogue that holds a large share of all
 rows is spread over many tasks, and the parts of a perspective, in order, give
 its whole text.  Only DataFrame functions are used.
 
-Defined results: turns are in ascending order (a null turn first); ties are
+Defined results: turns are in ascending order (a null turn first, in a part of
+its own); ties are
 ordered by a hash of role and text; rows that repeat (dialogue, turn, role and
 text) are one utterance; a null text is empty, a null role is the participant
 ``unknown``, a null dialogue id is a dialogue of its own; a dialogue of narrators
