@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 # Month labels in calendar order, numbered 1..12.
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-# Quarter of each month number.
-QUARTERS = {"Q1": (1, 2, 3), "Q2": (4, 5, 6), "Q3": (7, 8, 9)}  # everything else -> Q4
 # Campaign bins (right-closed) and their labels.
 CAMPAIGN_EDGES = [0, 1, 2, 3, 5, 10, math.inf]
 CAMPAIGN_LABELS = ["1", "2", "3", "4-5", "6-10", "11+"]
@@ -31,20 +29,14 @@ def month_order(col: str | Column = "month", default: int | None = 99) -> Column
 
     The reference uses 99 in Spark, 13 in HiveQL and NULL in pandas.
     """
-    pairs = []
-    for i, m in enumerate(MONTHS, start=1):
-        pairs += [F.lit(m), F.lit(i)]
-    looked_up = F.create_map(*pairs)[_col(col)]
-    return looked_up if default is None else F.coalesce(looked_up, F.lit(default))
+    place = F.array_position(F.lit(MONTHS), _col(col))  # 0 if it is no month
+    return F.when(place > 0, place.cast("int")).otherwise(F.lit(default))
 
 
 def quarter(col: str | Column = "month") -> Column:
     """Q1..Q4 from the month label; unknown months fall into Q4."""
-    m = month_order(col)
-    expr = None
-    for label, months in QUARTERS.items():
-        expr = F.when(m.isin(*months), F.lit(label)) if expr is None else expr.when(m.isin(*months), F.lit(label))
-    return expr.otherwise(F.lit("Q4"))
+    number = F.least(F.ceil(month_order(col, 12) / 3), F.lit(4))
+    return F.concat(F.lit("Q"), number.cast("string"))
 
 
 def age_group3(col: str | Column = "age", null_safe: bool = False) -> Column:
@@ -61,16 +53,16 @@ def age_group3(col: str | Column = "age", null_safe: bool = False) -> Column:
 
 def age_band5(col: str | Column = "age", null_safe: bool = False) -> Column:
     """Decade bands ``18-29 .. 60+`` (60 belongs to ``60+``)."""
-    a = _col(col)
-    expr = (
-        F.when(a < 30, "18-29")
-        .when((a >= 30) & (a < 40), "30-39")
-        .when((a >= 40) & (a < 50), "40-49")
-        .when((a >= 50) & (a < 60), "50-59")
-    )
-    if null_safe:
-        expr = expr.when(a.isNull(), F.lit(None))
-    return expr.otherwise("60+")
+    band = bucketize_left(col, [30, 40, 50, 60], AGE_LABELS)
+    return F.when(_col(col).isNotNull(), band) if null_safe else F.coalesce(F.when(_col(col).isNotNull(), band), F.lit(AGE_LABELS[-1]))
+
+
+def bucketize_left(col: str | Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
+    """Left-closed bins below, between and above ``edges``: one label more than edges."""
+    if len(labels) != len(edges) + 1:
+        raise ValueError("need one label more than edges")
+    above = sum((_col(col) >= F.lit(e)).cast("int") for e in edges)
+    return F.get(F.lit(list(labels)), above)
 
 
 def bucketize_right(col: str | Column, edges: Sequence[float], labels: Sequence[str]) -> Column:

@@ -24,12 +24,14 @@ from pyspark.sql import functions as F
 
 from callcast.functions.exprs import AGE_LABELS, age_bins
 from callcast.operators.ordered import running
+from callcast.operators.quantiles import exact_percentiles
 
 
-def scored(contacts: DataFrame) -> DataFrame:
+def scored(contacts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Deterministic scores for testing metrics against SQL (FIXTURES ``scored``).
 
-    Integer basis points keep sums exact in every engine.
+    Integer basis points keep sums exact in every engine.  ``keep`` names
+    contact columns to carry along.
     """
     bp = F.least(F.lit(9990), F.lit(5) * ((F.col("contact_id") * 7919) % 1000) + F.lit(10) * F.col("duration"))
     return contacts.select(
@@ -37,6 +39,7 @@ def scored(contacts: DataFrame) -> DataFrame:
         F.when(F.col("y") == "yes", 1).otherwise(0).alias("label"),
         bp.cast("int").alias("score_bp"),
         (bp / F.lit(10000.0)).alias("p"),
+        *keep,
     )
 
 
@@ -83,28 +86,30 @@ def ranking_metrics(df: DataFrame, p: str = "p", label: str = "label", digits: i
     return score_counts(df, p, label).agg(*_metric_aggs()).select(*_ranking_cols(digits))
 
 
-def pr_curve(df: DataFrame, p: str = "p", label: str = "label", digits: int = 10) -> DataFrame:
-    """Precision, recall and F1 at every distinct score (predict p >= threshold)."""
+def pr_curve(df: DataFrame, p: str = "p", label: str = "label", digits: int | None = 10) -> DataFrame:
+    """Precision, recall and F1 at every distinct score (predict p >= threshold); ``digits=None`` leaves them unrounded."""
+    rounded = lambda c: c if digits is None else F.round(c, digits)
     c = score_counts(df, p, label)
     total_pos = c.agg(F.sum("pos").alias("P"))
     # P is a one-row aggregate; read it as a literal for the per-row recall.
     P = total_pos.first()["P"] or 0
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     rec = F.col("tp") / F.lit(float(P)) if P else F.lit(1.0)
-    f1 = 2 * prec * rec / F.greatest(prec + rec, F.lit(1e-12))
+    f1 = 2.0 * F.col("tp") / (F.col("tp") + F.col("fp") + F.lit(float(P)))  # a ratio of whole numbers: equal values are equal
     return c.select(
         F.col("p").alias("threshold"),
         F.col("tp").cast("long").alias("tp"),
         F.col("fp").cast("long").alias("fp"),
-        F.round(prec, digits).alias("precision"),
-        F.round(rec, digits).alias("recall"),
-        F.round(f1, digits).alias("f1"),
+        rounded(prec).alias("precision"),
+        rounded(rec).alias("recall"),
+        rounded(f1).alias("f1"),
     )
 
 
-def best_f1_threshold(df: DataFrame, p: str = "p", label: str = "label") -> DataFrame:
-    """The threshold with the highest F1; ties go to the lowest threshold."""
-    return pr_curve(df, p, label).orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1)
+def best_f1_threshold(df: DataFrame, p: str = "p", label: str = "label", digits: int = 10) -> DataFrame:
+    """The threshold with the highest F1 (compared unrounded); ties go to the lowest threshold."""
+    best = pr_curve(df, p, label, digits=None).orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1)
+    return best.select("threshold", "tp", "fp", *[F.round(x, digits).alias(x) for x in ("precision", "recall", "f1")])
 
 
 def _confusion_aggs(pred: Column, y: Column, tag: str) -> list[Column]:
@@ -276,11 +281,12 @@ def brier(df: DataFrame, base_rate: float | None = None, p: str = "p", label: st
 def calibration_curve(df: DataFrame, n_bins: int = 8, p: str = "p", label: str = "label", digits: int = 10) -> DataFrame:
     """Quantile bins of the score: mean predicted p and observed rate per non-empty bin.
 
-    Edges are exact interpolated percentiles (one aggregate, read as literals);
+    Edges are exact interpolated percentiles (one row, read as literals);
     a row's bin is the number of inner edges strictly below its score.
     """
     qs = [k / n_bins for k in range(1, n_bins)]
-    edges = df.agg(F.percentile(F.col(p).cast("double"), qs).alias("e")).first()["e"] or []
+    found = exact_percentiles(df, [p], qs).first()  # one row
+    edges = [found[f"q{i}"] for i in range(len(qs))] if found else []
     b = sum((F.col(p) > F.lit(float(e))).cast("int") for e in edges) if edges else F.lit(0)
     return (
         df.groupBy(b.alias("bin"))

@@ -8,9 +8,11 @@ With a key that holds a third of the rows, that task holds a third of the data.
 row's values inside each key, in a total order) in three steps:
 
 1. range-partition on (key, order) so a hot key is split over many
-   partitions, and sort inside each partition;
-2. one pass per partition (Arrow batches through ``mapInPandas``) computes
-   the local row number, running sums and previous values;
+   partitions, and keep the partition number with each row (written as Parquet,
+   because the range partitioner samples its bounds anew for every plan);
+2. a window inside (partition, key) gives the local row number, running sums
+   and previous values: every group is bounded by the size of a partition, and
+   all columns stay in the JVM with their types;
 3. a summary with ONE ROW PER PARTITION (so its size is bounded by the
    partition count, not by the data) gives each partition the carry from the
    partitions before it.  It is broadcast and added to the rows whose key
@@ -24,88 +26,15 @@ from __future__ import annotations
 
 from typing import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from callcast.session import checkpoint_root, ship_package
+from callcast.session import materialize
 
 _PID = "_rp_pid"
-_POS = "_rp_pos"
 _RN = "_rp_rn"
 
 
-def _same(a, b) -> bool:
-    if pd.isna(a) or pd.isna(b):
-        return bool(pd.isna(a) and pd.isna(b))
-    return bool(a == b)
-
-
-def _local_pass(keys, sums, lags, out_cols):
-    """Per-partition generator for ``mapInPandas``.
-
-    Rows arrive sorted; state (key, row number, running sums, last values)
-    is carried from one Arrow batch to the next.
-    """
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        pos0 = 0
-        carry = None
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            cont = np.ones(n, dtype=bool)  # row i has the same key as row i-1
-            for k in keys:
-                col = pdf[k]
-                before = col.shift(1)
-                isn, bsn = col.isna().to_numpy(), before.isna().to_numpy()
-                with np.errstate(invalid="ignore"):
-                    eq = col.to_numpy() == before.to_numpy()
-                cont &= np.where(isn | bsn, isn & bsn, eq)
-            if carry is None:
-                cont[0] = False
-            else:
-                cont[0] = all(_same(pdf[k].iloc[0], carry["keys"][j]) for j, k in enumerate(keys))
-            grp = np.cumsum(~cont)
-            carried = (grp == grp[0]) & bool(cont[0])
-            rn = pdf.groupby(grp).cumcount().to_numpy().astype("int64") + 1
-            if cont[0]:
-                rn = rn + np.where(carried, carry["rn"], 0)
-            pdf[_RN] = rn
-            for s in sums:
-                cs = pdf[s].astype("float64").fillna(0.0).groupby(grp).cumsum().to_numpy()
-                if cont[0]:
-                    cs = cs + np.where(carried, carry["cum"][s], 0.0)
-                pdf[f"cum_{s}"] = cs
-            for c in lags:
-                col = pdf[c]
-                if pd.api.types.is_integer_dtype(col.dtype):
-                    col = col.astype("Int64")
-                prev = col.shift(1)
-                if cont[0]:
-                    prev.iloc[0] = carry["lag"][c]
-                pdf[f"prev_{c}"] = prev.where(pd.Series(cont), other=None)
-            pdf[_PID] = pid
-            pdf[_POS] = np.arange(pos0, pos0 + n, dtype="int64")
-            pos0 += n
-            carry = {
-                "keys": [pdf[k].iloc[-1] for k in keys],
-                "rn": int(rn[-1]),
-                "cum": {s: float(pdf[f"cum_{s}"].iloc[-1]) for s in sums},
-                "lag": {c: pdf[c].iloc[-1] for c in lags},
-            }
-            yield pdf[out_cols]
-
-    return run
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -123,8 +52,7 @@ def running(
     descending order.
     """
     keys, order, sums, lags = list(keys), list(order), list(sums), list(lags)
-    spark = df.sparkSession
-    ship_package(spark)
+    columns = df.columns
     sort_spec = [F.col(c).asc() for c in keys + order]
     if num_partitions:
         ranged = df.repartitionByRange(num_partitions, *sort_spec)
@@ -132,24 +60,15 @@ def running(
         # No fixed count: spark.sql.shuffle.partitions ranges, which AQE may
         # coalesce into contiguous (still ordered) groups when they are small.
         ranged = df.repartitionByRange(*sort_spec)
-    sorted_df = ranged.sortWithinPartitions(*sort_spec)
-
-    base = df.schema
-    extra = [T.StructField(_RN, T.LongType(), False)]
-    extra += [T.StructField(f"cum_{s}", T.DoubleType(), True) for s in sums]
-    extra += [T.StructField(f"prev_{c}", base[c].dataType, True) for c in lags]
-    extra += [T.StructField(_PID, T.IntegerType(), False), T.StructField(_POS, T.LongType(), False)]
-    out_schema = T.StructType(list(base.fields) + extra)
-    out_cols = [f.name for f in out_schema.fields]
-
-    local = sorted_df.mapInPandas(_local_pass(keys, sums, lags, out_cols), out_schema)
-    # The range partitioner samples its bounds per physical plan, so two plans
-    # over the same exchange may cut the data differently.  A reliable
-    # checkpoint (files under spark.checkpoint.dir) fixes one cut for both the
-    # rows and their summary, runs the Python pass once and survives executor
-    # loss.
-    checkpoint_root(spark)
-    local = local.checkpoint(eager=True)
+    cut = materialize(ranged.withColumn(_PID, F.spark_partition_id()), "ordered")
+    near = Window.partitionBy(_PID, *keys).orderBy(*sort_spec)
+    upto = near.rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.select(
+        "*",
+        F.row_number().over(near).cast("long").alias(_RN),
+        *[F.sum(F.coalesce(F.col(s).cast("double"), F.lit(0.0))).over(upto).alias(f"cum_{s}") for s in sums],
+        *[F.lag(c).over(near).alias(f"prev_{c}") for c in lags],
+    )
 
     # Per-partition summary from the same rows: first key, last key with its
     # row's values, and the size / sums of the last key's run.  min/max over
@@ -194,7 +113,7 @@ def running(
     # broadcast is safe whatever the data size.
     joined = local.join(F.broadcast(carries), on=_PID, how="left")
     head = F.coalesce(F.col("continues"), F.lit(False)) & key_struct.eqNullSafe(F.col("first_key"))
-    outs = [F.col(f.name) for f in base.fields]
+    outs = [F.col(c) for c in columns]
     outs.append((F.col(_RN) + F.when(head, F.col("carry_cnt")).otherwise(F.lit(0))).alias("row_number"))
     for s in sums:
         outs.append((F.col(f"cum_{s}") + F.when(head, F.col(f"carry_{s}")).otherwise(F.lit(0.0))).alias(f"cum_{s}"))

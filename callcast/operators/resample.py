@@ -29,14 +29,18 @@ def hash_uniform(*cols: Column, seed: int = 42) -> Column:
     return bits.cast("double") / float(1 << _U_BITS)
 
 
-def poisson1(u: Column, k_max: int = 12) -> Column:
-    """Poisson(1) draw by inverse CDF of the uniform ``u``."""
-    cdf, term, expr = 0.0, math.exp(-1.0), None
-    for k in range(k_max):
+def poisson1(u: Column) -> Column:
+    """Poisson(1) draw by inverse CDF of the uniform ``u``, up to where the CDF is 1 in double precision."""
+    cdf, term, k, steps = 0.0, math.exp(-1.0), 0, []
+    while cdf + term > cdf:
         cdf += term
-        term /= (k + 1)
-        expr = F.when(u < F.lit(cdf), F.lit(k)) if expr is None else expr.when(u < F.lit(cdf), F.lit(k))
-    return expr.otherwise(F.lit(k_max))
+        steps.append((cdf, k))
+        k += 1
+        term /= k
+    expr = F.when(u < F.lit(steps[0][0]), F.lit(0))
+    for bound, n in steps[1:]:
+        expr = expr.when(u < F.lit(bound), F.lit(n))
+    return expr.otherwise(F.lit(k))
 
 
 def bootstrap_ci(

@@ -7,18 +7,16 @@ split is the same on any partitioning, after any executor loss, and in DuckDB.
 
 Exact per-class counts need each row's rank inside its label.  With only two
 labels a ``Window.partitionBy(label)`` would put half the table in one task;
-``ordered.running`` ranks through range partitioning instead.
+here a label is ranked in many buckets of the hash (see ``_class_ranks``).
 """
 
 from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callcast.operators.ordered import running
-
 
 def md5_key(id_col: str = "contact_id", seed: int = 42) -> Column:
     """md5 hex of '<id>-<seed>' (identical text in Spark and DuckDB)."""
@@ -39,12 +37,20 @@ def hash_split(df: DataFrame, fraction: float, seed: int = 42, id_col: str = "co
 
 
 def _class_ranks(df: DataFrame, label_col: str, seed: int, id_col: str) -> DataFrame:
-    """Adds ``_rank`` (1-based, by md5 inside the label) and ``_n`` (label size)."""
-    keyed = df.withColumn("_h", md5_key(id_col, seed))
-    ranked = running(keyed, keys=[label_col], order=["_h", id_col])
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per label value: bounded by the label's cardinality.
-    return ranked.join(F.broadcast(sizes), label_col).withColumnRenamed("row_number", "_rank").drop("_h")
+    """Adds ``_rank`` (1-based, by md5 inside the label) and ``_n`` (label size).
+
+    md5 is uniform, so its first four hex digits deal a label into 65,536 even
+    buckets in md5 order: the rank is the number of rows in the buckets before
+    plus the row number inside the bucket.
+    """
+    bucket = F.substring(md5_key(id_col, seed), 1, 4)
+    counts = df.groupBy(F.col(label_col).alias("_l"), bucket.alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("_l").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_l", "_k", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"), F.sum("_c").over(Window.partitionBy("_l")).alias("_n"))
+    inside = Window.partitionBy(label_col, "_b").orderBy("_h", id_col)
+    local = df.withColumns({"_h": md5_key(id_col, seed), "_b": bucket}).withColumn("_i", F.row_number().over(inside))
+    ranked = local.join(starts, F.col(label_col).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_k")))
+    return ranked.withColumn("_rank", F.col("_start") + F.col("_i")).drop("_l", "_k", "_c", "_start", "_h", "_b", "_i")
 
 
 def stratified_split(

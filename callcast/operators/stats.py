@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import math
 from itertools import combinations
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callcast.operators.ordered import running
+from callcast.operators.quantiles import exact_percentiles
 
 CORR_COLUMNS = ("age", "balance", "day", "duration", "campaign", "pdays", "previous")
 
@@ -59,82 +61,68 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] = CORR_COLUMNS, target: str |
 
 
 # ---------------------------------------------------------------- tail probabilities
-def _gammq(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma Q(a, x) (series / continued fraction)."""
+def chi2_sf(x: float, dof: int) -> float:
+    """P(X > x) for a chi-square variable with an integer number of degrees of freedom.
+
+    A finite sum: with h = x/2, even dof give exp(-h) * sum h^i/i! for i < dof/2;
+    odd dof give erfc(sqrt(h)) plus exp(-h) * sum h^(i+1/2)/Gamma(i+3/2).
+    """
+    if dof <= 0 or x != x:
+        return float("nan")
     if x <= 0:
         return 1.0
-    gln = math.lgamma(a)
-    if x < a + 1:
-        ap, s, d = a, 1.0 / a, 1.0 / a
-        for _ in range(10_000):
-            ap += 1
-            d *= x / ap
-            s += d
-            if abs(d) < abs(s) * 1e-16:
-                break
-        return max(0.0, 1.0 - s * math.exp(-x + a * math.log(x) - gln))
-    b = x + 1 - a
-    c, d = 1.0 / 1e-300, 1.0 / b
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = 1e-300 if abs(d) < 1e-300 else d
-        c = b + an / c
-        c = 1e-300 if abs(c) < 1e-300 else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-16:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
-
-
-def chi2_sf(x: float, dof: int) -> float:
-    return _gammq(dof / 2.0, x / 2.0) if dof > 0 else float("nan")
+    h, odd = x / 2.0, dof % 2
+    steps = [math.exp(-h + (i + odd / 2.0) * math.log(h) - math.lgamma(i + 1 + odd / 2.0)) for i in range((dof - odd) // 2)]
+    return min(1.0, math.fsum(steps) + (math.erfc(math.sqrt(h)) if odd else 0.0))
 
 
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
 
 
+def _tail(value: Callable[..., float], *cols: str) -> Column:
+    """A tail probability as a column, for a frame of one row."""
+
+    def apply(*series: pd.Series) -> pd.Series:
+        return pd.Series([None if any(pd.isna(x) for x in row) else value(*row) for row in zip(*series)], dtype="float64")
+
+    apply.__annotations__ = {"series": pd.Series, "return": pd.Series}
+    return F.pandas_udf(apply, "double")(*[F.col(c) for c in cols])
+
+
 # ---------------------------------------------------------------- chi-square
 def chi_square(df: DataFrame, a: str = "contact", b: str = "y", yates: bool = True, digits: int = 10) -> DataFrame:
-    """Pearson chi-square of the (a, b) contingency table, zero cells included.
+    """Pearson chi-square of the (a, b) contingency table.
 
-    One row: chi2, dof, cramers_v, n, p_value, reject_h0 (p < 0.05).  Like
-    scipy, the Yates correction applies only when dof = 1.  Cells come from a
-    pivot (one column per level of b), so empty cells are present without
-    joining level lists.
+    One row: chi2, dof, cramers_v, n, p_value, reject_h0 (p < 0.05).  With cells
+    o, margins r and c and total n, chi2 = n * (sum of o^2 / (r c) - 1), so empty
+    cells need no row and any number of levels will do.  Like scipy, the Yates
+    correction applies only when dof = 1; there all cells are off by the same
+    d = |o - e|, and sum of 1/e comes from the margins.  NULL is a level.
     """
-    wide = df.groupBy(a).pivot(b).agg(F.count(F.lit(1)))
-    levels = [c for c in wide.columns if c != a]
-    cells = wide.unpivot(a, levels, "_b", "o").select(a, "_b", F.coalesce("o", F.lit(0)).cast("double").alias("o"))
-    row_tot = cells.groupBy(a).agg(F.sum("o").alias("r"))
-    col_tot = cells.groupBy("_b").agg(F.sum("o").alias("c"))
-    # Margins have one row per level (categorical: small), broadcast them.
-    m = cells.join(F.broadcast(row_tot), a).join(F.broadcast(col_tot), "_b")
-    n = F.sum("o").over(Window.partitionBy())  # over the levels x levels cells only
-    m = m.withColumn("n", n).withColumn("e", F.col("r") * F.col("c") / F.col("n"))
-    n_r = len(levels)
-    stats = m.agg(
-        F.first("n").alias("n"),
-        F.count_distinct(a).alias("rows"),
-        F.sum(((F.col("o") - F.col("e")) ** 2) / F.col("e")).alias("chi2_plain"),
-        F.sum(((F.abs(F.col("o") - F.col("e")) - F.least(F.lit(0.5), F.abs(F.col("o") - F.col("e")))) ** 2) / F.col("e")).alias("chi2_yates"),
+    cells = df.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).cast("double").alias("o"))
+    rows = cells.groupBy(F.col("a").alias("_a")).agg(F.sum("o").alias("r"))
+    cols = cells.groupBy(F.col("b").alias("_b")).agg(F.sum("o").alias("c"))
+    shares = cells.join(rows, F.col("a").eqNullSafe(F.col("_a"))).join(cols, F.col("b").eqNullSafe(F.col("_b")))
+    nil = F.lit(0.0)
+    parts = (
+        shares.select(F.col("o").alias("n"), (F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("s"), nil.alias("ir"), nil.alias("ic"), nil.alias("nr"), nil.alias("nc"))
+        .unionByName(rows.select(nil.alias("n"), nil.alias("s"), (1 / F.col("r")).alias("ir"), nil.alias("ic"), F.lit(1.0).alias("nr"), nil.alias("nc")))
+        .unionByName(cols.select(nil.alias("n"), nil.alias("s"), nil.alias("ir"), (1 / F.col("c")).alias("ic"), nil.alias("nr"), F.lit(1.0).alias("nc")))
     )
-    dof = (F.col("rows") - 1) * F.lit(n_r - 1)
-    chi2 = F.when((dof == 1) & F.lit(yates), F.col("chi2_yates")).otherwise(F.col("chi2_plain"))
-    out = stats.select(
+    t = parts.agg(*[F.sum(x).alias(x) for x in ("n", "s", "ir", "ic", "nr", "nc")])
+    plain = F.greatest(F.lit(0.0), F.col("n") * (F.col("s") - 1))
+    inverse = F.col("n") * F.col("ir") * F.col("ic")
+    off = F.sqrt(plain / inverse)
+    dof = ((F.col("nr") - 1) * (F.col("nc") - 1)).cast("int")
+    chi2 = F.when((dof == 1) & F.lit(yates), F.pow(off - F.least(F.lit(0.5), off), 2) * inverse).otherwise(plain)
+    out = t.select(
         F.round(chi2, digits).alias("chi2"),
-        dof.cast("int").alias("dof"),
-        F.round(F.sqrt(chi2 / (F.col("n") * (F.least(F.col("rows"), F.lit(n_r)) - 1))), digits).alias("cramers_v"),
+        dof.alias("dof"),
+        F.round(F.sqrt(chi2 / (F.col("n") * (F.least("nr", "nc") - 1))), digits).alias("cramers_v"),
         F.col("n").cast("long").alias("n"),
     )
-    r = out.first()
-    p = chi2_sf(r["chi2"], r["dof"]) if r["chi2"] is not None else None
-    return out.select("*", F.lit(p).cast("double").alias("p_value"), F.lit(p is not None and p < 0.05).alias("reject_h0"))
+    return out.withColumn("p_value", _tail(chi2_sf, "chi2", "dof")).withColumn("reject_h0", F.coalesce(F.col("p_value") < 0.05, F.lit(False)))
 
 
 # ---------------------------------------------------------------- Mann-Whitney U
@@ -160,24 +148,19 @@ def mann_whitney(df: DataFrame, x: str = "balance", group: str = "y", positive:
         F.sum(F.col("n1v") * (F.col("cum_n0v") - F.col("n0v") / 2.0)).alias("u"),
         F.sum(F.pow(F.col("n1v") + F.col("n0v"), 3) - (F.col("n1v") + F.col("n0v"))).alias("ties"),
     )
-    med = df.agg(
-        F.percentile(F.when(is_pos, F.col(x).cast("double")), 0.5).alias("median_positive"),
-        F.percentile(F.when(~is_pos, F.col(x).cast("double")), 0.5).alias("median_other"),
-    ).first()
+    halves = exact_percentiles(df.select(F.col(x).alias("v"), is_pos.alias("pos")), ["v"], (0.5,), by=["pos"])
+    med = {r["pos"]: r["q0"] for r in halves.collect()}  # two rows
     n1, n0, n = F.col("n1").cast("double"), F.col("n0").cast("double"), (F.col("n1") + F.col("n0")).cast("double")
     mu = n1 * n0 / 2
     sigma = F.sqrt(n1 * n0 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
     u_big = F.greatest(F.col("u"), n1 * n0 - F.col("u"))
     z = (u_big - mu - 0.5) / sigma
-    out = s.select(
+    return s.select(
         F.col("n1").cast("long").alias("n_positive"),
         F.col("n0").cast("long").alias("n_other"),
-        F.lit(med["median_positive"]).cast("double").alias("median_positive"),
-        F.lit(med["median_other"]).cast("double").alias("median_other"),
+        F.lit(med.get(True)).cast("double").alias("median_positive"),
+        F.lit(med.get(False)).cast("double").alias("median_other"),
         F.round("u", digits).alias("u_statistic"),
         F.round(2 * F.col("u") / (n1 * n0) - 1, digits).alias("rank_biserial"),
         F.round(z, digits).alias("z"),
-    )
-    zr = out.first()["z"]
-    p = normal_two_sided(zr) if zr is not None else None
-    return out.select("*", F.lit(p).cast("double").alias("p_value"))
+    ).withColumn("p_value", _tail(normal_two_sided, "z"))

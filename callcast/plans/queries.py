@@ -432,24 +432,17 @@ on_contacts(
     "top_jobs_profile",
     R.top_jobs_profile,
     W(
-        f"SELECT c.job, ROUND(AVG(c.balance), 2) AS average_balance, ROUND(100 * AVG({YES}), 2) AS subscription_rate "
-        "FROM contacts c JOIN top_jobs t ON c.job = t.job GROUP BY c.job",
-        "top_jobs AS (SELECT job, AVG(balance) AS avg_balance FROM contacts GROUP BY job "
-        "ORDER BY avg_balance DESC, job LIMIT 5)",
+        f"SELECT job, ROUND(m, 2) AS average_balance, ROUND(rate, 2) AS subscription_rate FROM (SELECT job, AVG(balance) AS m, 100 * AVG({YES}) AS rate, "
+        "row_number() OVER (ORDER BY AVG(balance) DESC, job) AS place FROM contacts GROUP BY job) WHERE place <= 5"
     ),
 )
 on_contacts(
     "balance_anomalies",
     R.balance_anomalies,
     W(
-        "SELECT education, month, ROUND(monthly_avg_balance, 2) AS avg_balance, ROUND(z_score, 2) AS z_score "
-        "FROM an WHERE z_score IS NOT NULL AND ABS(z_score) >= 1.5",
-        "mb AS (SELECT education, month, AVG(balance) AS monthly_avg_balance FROM contacts GROUP BY education, month), "
-        "es AS (SELECT education, AVG(monthly_avg_balance) AS mean_balance, STDDEV_POP(monthly_avg_balance) AS std_balance "
-        "FROM mb GROUP BY education), "
-        "an AS (SELECT m.education, m.month, m.monthly_avg_balance, (m.monthly_avg_balance - s.mean_balance) / "
-        "CASE WHEN s.std_balance = 0 OR s.std_balance IS NULL THEN NULL ELSE s.std_balance END AS z_score "
-        "FROM mb m JOIN es s ON m.education = s.education)",
+        "SELECT education, month, ROUND(m, 2) AS avg_balance, ROUND(z, 2) AS z_score FROM (SELECT education, month, m, "
+        "(m - AVG(m) OVER e) / nullif(stddev_pop(m) OVER e, 0) AS z FROM (SELECT education, month, AVG(balance) AS m FROM contacts GROUP BY ALL) "
+        "WINDOW e AS (PARTITION BY education)) WHERE ABS(z) >= 1.5"
     ),
 )
 register(
@@ -581,7 +574,14 @@ register(
         _CHI_CTES,
     ),
 )(lambda spark, sf: ST.chi_square(contacts(spark, sf), "contact", "y").drop("p_value", "reject_h0"))
-register("chi_square_contact_y_test")(lambda spark, sf: ST.chi_square(contacts(spark, sf), "contact", "y"))
+register(
+    "chi_square_contact_y_test",
+    W(
+        "SELECT *, exp(-chi2 / 2) AS p_value, exp(-chi2 / 2) < 0.05 AS reject_h0 FROM (SELECT ROUND(chi2p, 10) AS chi2, CAST((nr - 1) * (nc - 1) AS INTEGER) AS dof, "
+        "ROUND(sqrt(chi2p / (n * (least(nr, nc) - 1))), 10) AS cramers_v, CAST(n AS BIGINT) AS n FROM s)",
+        _CHI_CTES,
+    ),
+)(lambda spark, sf: ST.chi_square(contacts(spark, sf), "contact", "y"))
 
 
 def _mw_sql(x: str) -> str:
@@ -638,7 +638,7 @@ register(
     ),
 )(lambda spark, sf: EV.ranking_metrics(_scored(spark, sf)))
 register("pr_curve", W("SELECT * FROM pr", _PR))(lambda spark, sf: EV.pr_curve(_scored(spark, sf)))
-register("best_f1_threshold", W("SELECT * FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1", _PR))(
+register("best_f1_threshold", W("SELECT * FROM pr ORDER BY 2.0 * tp / (tp + fp + (SELECT SUM(pos) FROM g)) DESC, threshold ASC LIMIT 1", _PR))(
     lambda spark, sf: EV.best_f1_threshold(_scored(spark, sf))
 )
 _RATES = (
@@ -650,7 +650,7 @@ register(
     W(
         f"SELECT t AS threshold, ROUND({_RATES[0]}, 4) AS precision, ROUND({_RATES[1]}, 4) AS recall, ROUND({_RATES[2]}, 4) AS f1, "
         "abs(t - (SELECT threshold FROM best)) <= 1e-8 AS selected FROM conf",
-        _PR + ", best AS (SELECT threshold FROM pr ORDER BY f1 DESC, threshold ASC LIMIT 1), "
+        _PR + ", best AS (SELECT threshold FROM pr ORDER BY 2.0 * tp / (tp + fp + (SELECT SUM(pos) FROM g)) DESC, threshold ASC LIMIT 1), "
         "ts AS (SELECT DISTINCT t FROM (SELECT CAST(0.1 AS DOUBLE) AS t UNION ALL SELECT CAST(0.2 AS DOUBLE) UNION ALL "
         "SELECT CAST(0.5 AS DOUBLE) UNION ALL SELECT threshold FROM best)), "
         "conf AS (SELECT t, SUM(CASE WHEN p >= t AND label = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp, "
@@ -741,7 +741,7 @@ register(
         "a AS (SELECT field, grp, COUNT(*) AS rows, AVG(label::DOUBLE) AS ar, AVG(pred::DOUBLE) AS pr, "
         "SUM(label * pred)::DOUBLE AS tp, SUM(label)::DOUBLE AS ap, SUM(pred)::DOUBLE AS pp FROM st WHERE grp IS NOT NULL GROUP BY field, grp)",
     ),
-)(lambda spark, sf: EV.subgroup_audit(contacts(spark, sf).join(_scored(spark, sf).select("contact_id", "label", "p"), "contact_id"), 0.5))
+)(lambda spark, sf: EV.subgroup_audit(EV.scored(contacts(spark, sf), keep=("age", "contact", "poutcome")), 0.5))
 
 # ---------------------------------------------------------------- 2.14 UDF
 from callcast.functions.udfs import age_group_udf  # noqa: E402
@@ -762,7 +762,7 @@ _REPLAYS: dict = {}
 def _event_stream(spark, sf):
     """The driver's events as a file stream source (written once per session, range-partitioned on time)."""
     ev = SJ.events_as_contacts(table(spark, sf, "events"))
-    key = (id(spark.sparkContext._jsc), sf, "events")
+    key = (spark.sparkContext.applicationId, sf, "events")
     if key not in _REPLAYS:
         _REPLAYS[key] = SJ.write_replay(ev, "event_time", "events-replay")
     return SJ.file_stream(spark, _REPLAYS[key], ev.schema)
@@ -853,7 +853,7 @@ _FITTED: dict = {}
 
 def _fitted(spark, sf, kind: str, **kw):
     """A pipeline fitted on the 80% md5 training split, once per session and settings."""
-    key = (id(spark.sparkContext._jsc), sf, kind, tuple(sorted(kw.items())))
+    key = (spark.sparkContext.applicationId, sf, kind, tuple(sorted(kw.items())))
     if key not in _FITTED:
         train, _ = _train_test(spark, sf)
         _FITTED[key] = ML.build_pipeline(kind, **kw).fit(train)
@@ -907,7 +907,7 @@ def _contact_features(spark, sf):
     """All contacts with folds (seeds 42, 43) and pre-call feature vectors, materialised once."""
     from callcast.session import materialize
 
-    key = (id(spark.sparkContext._jsc), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _CONTACT_FEATURES:
         c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(42, 43))
         pipe = ML.build_pipeline("logistic", numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True)
@@ -944,9 +944,10 @@ register("cv_summary")(_cv_summary)
 def _stream_predict(spark, sf):
     c = ML.with_label(contacts(spark, sf))
     model = ML.build_pipeline("logistic", maxIter=ML.LR_MAX_ITER_STREAM).fit(c)
-    orders = table(spark, sf, "orders").select(_F.col("o_orderkey").alias("contact_id"), _F.col("o_orderdate").cast("timestamp").alias("event_time"))
+    orders = table(spark, sf, "orders")
+    orders = orders.select(_F.col("o_orderkey").alias("contact_id"), SJ.ntz_as_utc("o_orderdate", orders).alias("event_time"))
     hist = c.join(orders, "contact_id").drop("label")
-    key = (id(spark.sparkContext._jsc), sf, "contacts")
+    key = (spark.sparkContext.applicationId, sf, "contacts")
     if key not in _REPLAYS:
         _REPLAYS[key] = SJ.write_replay(hist, "event_time", "contacts-replay")
     stream = SJ.file_stream(spark, _REPLAYS[key], hist.schema)
@@ -982,7 +983,7 @@ def _dev_test(spark, sf):
     the many model fits below then read Parquet instead of replaying the split lineage."""
     from callcast.session import materialize
 
-    key = (id(spark.sparkContext._jsc), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _SPLITS:
         s = materialize(SP.kfold_assign(SP.stratified_split(ML.with_label(contacts(spark, sf))), k=5, seeds=(43, 44)), "dev-test")
         _SPLITS[key] = (s.where(_F.col("split") != "test").drop("split"), s.where(_F.col("split") == "test").drop("split", "fold_43", "fold_44"))
@@ -997,7 +998,7 @@ def _featurized_dev(spark, sf, drop: tuple = ()):
     """Development rows with folds and pre-call feature vectors, materialised once."""
     from callcast.session import materialize
 
-    key = (id(spark.sparkContext._jsc), sf, drop)
+    key = (spark.sparkContext.applicationId, sf, drop)
     if key not in _FEATURIZED:
         dev, _ = _dev_test(spark, sf)
         num = [c for c in _PRE_CALL_NUM if c not in drop]
@@ -1013,7 +1014,7 @@ def _estimator(kind: str, light: bool = True):
 
 
 def _calibration(spark, sf):
-    key = (id(spark.sparkContext._jsc), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key in _CALIBRATIONS:
         return _CALIBRATIONS[key]
     dev = _featurized_dev(spark, sf).drop("fold_44")
@@ -1075,11 +1076,9 @@ from callcast.session import env_int  # noqa: E402
 
 
 def _partitioned_avg(spark, sf):
-    """Parallel module: repartition by job (cached) then average; same result as without."""
+    """Parallel module: partial sums dealt out by job, twice as many partitions as cores; same result as without."""
     cores = env_int("CALLCAST_CORES", spark.sparkContext.defaultParallelism)
-    n = max(4, min(2 * cores, 16))
-    part = contacts(spark, sf).repartition(n, "job")
-    return R.avg_balance_by_job_desc(part)
+    return R.avg_balance_by_job_partitioned(contacts(spark, sf), max(4, 2 * cores))
 
 
 register("avg_balance_by_job_partitioned", W("SELECT job, AVG(balance) AS average_balance FROM contacts GROUP BY job"))(_partitioned_avg)
@@ -1097,7 +1096,7 @@ def _contacts_csv(spark, sf):
     from callcast.schema import CONTACT_COLUMNS
     from callcast.session import scratch_path
 
-    key = (id(spark.sparkContext._jsc), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _CSV:
         path = scratch_path(spark, "contacts-csv")
         contacts(spark, sf).select(*CONTACT_COLUMNS).write.option("header", True).csv(path)

@@ -75,16 +75,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unchanged and the planner (AQE) picks a shuffle join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
@@ -92,7 +82,7 @@ def env_int(name: str, default: int) -> int:
         return default
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -105,7 +95,7 @@ def ship_package(spark: SparkSession) -> None:
 
     import callcast
 
-    key = id(spark.sparkContext._jsc)
+    key = spark.sparkContext.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(callcast.__file__))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from callcast.functions.exprs import MONTHS
 from callcast.operators.ordered import running
-from callcast.session import materialize, sized_broadcast
+from callcast.session import materialize
 from callcast.sources.tables import table
 
 # Fixed values of the derivation rules.
@@ -69,7 +69,6 @@ def build_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", "r_name")
     )
-    geo = sized_broadcast(geo, 10_000)
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     cust = cust.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
 
@@ -122,7 +121,7 @@ def contacts(spark: SparkSession, sf_dir: str, materialized: bool = True) -> Dat
     """
     if not materialized:
         return build_contacts(spark, sf_dir)
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = materialize(build_contacts(spark, sf_dir), "contacts")
     return _CACHE[key]

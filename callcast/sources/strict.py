@@ -39,45 +39,22 @@ def scan_strict(
     # query does not read.  Header lines (one per file) are dropped by value.
     header = ",".join(CONTACT_COLUMNS)
     lines = spark.read.text(path).where((F.trim(F.col("value")) != header) & (F.length(F.trim(F.col("value"))) > 0))
-    raw = lines.select(
-        F.from_csv(
-            F.col("value"),
-            text_schema.simpleString(),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD},
-        ).alias("r")
-    ).select("r.*")
-    trimmed = raw.select(
-        *[F.nullif(F.trim(F.col(c)), F.lit("")).alias(c) for c in CONTACT_COLUMNS], F.col(_BAD)
-    )
-    typed_cols, bad_number = [], F.lit(False)
+    parsed = F.from_csv(F.col("value"), text_schema.simpleString(), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    # The generator is a barrier for the optimizer: without it the reason below would be pushed under the projection and
+    # every field in it would parse the line anew.
+    raw = lines.select(F.explode(F.array(parsed)).alias("r")).select("r.*")
+    text = {c: F.nullif(F.trim(F.col(c)), F.lit("")) for c in CONTACT_COLUMNS}
+    typed, bad_number = [], F.lit(False)
     for f in BANK_SCHEMA.fields:
         if isinstance(f.dataType, T.StringType):
-            typed_cols.append(F.col(f.name))
+            typed.append(text[f.name].alias(f.name))
         else:
-            cast = F.col(f.name).try_cast(f.dataType)
-            typed_cols.append(cast.alias(f.name))
-            bad_number = bad_number | (F.col(f.name).isNotNull() & cast.isNull())
-    flagged = trimmed.select(
-        *typed_cols,
-        F.when(F.col(_BAD).isNotNull(), F.lit("width")).when(bad_number, F.lit("bad_number")).alias("reason"),
-        F.col(_BAD),
-    )
+            cast = text[f.name].try_cast(f.dataType)
+            typed.append(cast.alias(f.name))
+            bad_number = bad_number | (text[f.name].isNotNull() & cast.isNull())
+    flagged = raw.withColumn("reason", F.when(F.col(_BAD).isNotNull(), F.lit("width")).when(bad_number, F.lit("bad_number")))
     complete = F.lit(True)
     for c in required:
-        complete = complete & F.col(c).isNotNull()
-    clean = flagged.where(F.col("reason").isNull() & complete).select(*CONTACT_COLUMNS)
-    quarantine = (
-        raw.select(*CONTACT_COLUMNS, _BAD)
-        .withColumn("reason", F.when(F.col(_BAD).isNotNull(), F.lit("width")).when(_bad_number_raw(), F.lit("bad_number")))
-        .where(F.col("reason").isNotNull())
-    )
-    return clean, quarantine
-
-
-def _bad_number_raw():
-    cond = F.lit(False)
-    for f in BANK_SCHEMA.fields:
-        if not isinstance(f.dataType, T.StringType):
-            v = F.nullif(F.trim(F.col(f.name)), F.lit(""))
-            cond = cond | (v.isNotNull() & v.try_cast(f.dataType).isNull())
-    return cond
+        complete = complete & text[c].isNotNull()
+    clean = flagged.where(F.col("reason").isNull() & complete).select(*typed)
+    return clean, flagged.where(F.col("reason").isNotNull()).select(*CONTACT_COLUMNS, _BAD, "reason")

@@ -25,8 +25,8 @@ def scan_contacts(spark: SparkSession, path: str, with_id: bool = True) -> DataF
 
     ``enforceSchema=False`` makes Spark check the header names against the
     schema, so a reordered or renamed file fails instead of loading shifted
-    columns.  ``with_id`` adds ``contact_id`` from the row position of the file
-    (1-based), which is stable for one file.
+    columns.  ``with_id`` adds ``contact_id``, 1-based in the order of file name
+    and position in the file, whatever the size and packing of the file splits.
     """
     df = (
         spark.read.option("header", True)
@@ -35,13 +35,12 @@ def scan_contacts(spark: SparkSession, path: str, with_id: bool = True) -> DataF
         .csv(path)
     )
     if with_id:
-        df = df.withColumn("contact_id", F.monotonically_increasing_id())
-        # Turn the (partition << 33 | position) id into 1..n without a
-        # one-partition window: rank by that id (range-partitioned sort).
         from callcast.operators.ordered import running
 
-        df = running(df, [], ["contact_id"]).withColumn("contact_id", F.col("row_number")).drop("row_number")
-        df = df.select("contact_id", *CONTACT_COLUMNS)
+        # A split's rows are read in order, and its start orders the splits of a file.
+        place = {"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_row": F.monotonically_increasing_id()}
+        df = df.select("*", *[c.alias(n) for n, c in place.items()])
+        df = running(df, [], list(place)).select(F.col("row_number").alias("contact_id"), *CONTACT_COLUMNS)
     return df
 
 
