@@ -759,12 +759,12 @@ from callcast.streaming import jobs as SJ  # noqa: E402
 _REPLAYS: dict = {}
 
 
-def _event_stream(spark, sf):
+def _event_stream(spark, sf, flush: bool = False):
     """The driver's events as a file stream source (written once per session, range-partitioned on time)."""
     ev = SJ.events_as_contacts(table(spark, sf, "events"))
-    key = (spark.sparkContext.applicationId, sf, "events")
+    key = (spark.sparkContext.applicationId, sf, "events", flush)
     if key not in _REPLAYS:
-        _REPLAYS[key] = SJ.write_replay(ev, "event_time", "events-replay")
+        _REPLAYS[key] = SJ.write_replay(SJ.with_flush(ev) if flush else ev, "event_time", "events-replay")
     return SJ.file_stream(spark, _REPLAYS[key], ev.schema)
 
 
@@ -805,6 +805,34 @@ for _w, _k in (("1 hour", "1h"), ("1 day", "1d")):
         (lambda w: lambda spark, sf: _round_avgs(SJ.batch_window(SJ.events_as_contacts(table(spark, sf, "events")), w)))(_w)
     )
 
+# Flushed runs: the watermark passes every window, so the stream gives what the batch gives.
+for _w, _k in (("10 seconds", "10s"), ("1 minute", "1m"), ("1 hour", "1h"), ("1 day", "1d")):
+    register(f"stream_window_flushed_{_k}", _window_sql(_w, False))(
+        (lambda w: lambda spark, sf: _round_avgs(SJ.drain(SJ.stream_window(_event_stream(spark, sf, flush=True), w), "append", sink="parquet")[0]))(_w)
+    )
+
+
+def _csv_stream_metrics(spark, sf):
+    """Contacts with event times as CSV files, read one file per micro-batch; complete-mode metrics of the last batch."""
+    from callcast.schema import STREAMING_SCHEMA
+    from callcast.session import scratch_path
+    from callcast.sources.tables import scan_stream_csv
+
+    key = (spark.sparkContext.applicationId, sf, "contacts-csv")
+    if key not in _REPLAYS:
+        orders = table(spark, sf, "orders")
+        times = orders.select(_F.col("o_orderkey").alias("contact_id"), SJ.ntz_as_utc("o_orderdate", orders).alias("event_time"))
+        rows = contacts(spark, sf).join(times, "contact_id").select(*[f.name for f in STREAMING_SCHEMA.fields])
+        _REPLAYS[key] = scratch_path(spark, "contacts-csv-replay")
+        rows.repartitionByRange(6, "event_time").write.option("header", True).csv(_REPLAYS[key])
+    return _round_avgs(SJ.drain(SJ.stream_job_metrics(scan_stream_csv(spark, _REPLAYS[key])), "complete")[0])
+
+
+register(
+    "stream_job_metrics_csv",
+    W("SELECT job, ROUND(AVG(balance), 6) AS avg_balance, ROUND(AVG(duration), 6) AS avg_duration, COUNT(*) AS transaction_count FROM contacts GROUP BY job"),
+)(_csv_stream_metrics)
+
 # ---------------------------------------------------------------- 2.10 / 2.11 Spark ML (rows-only checks)
 from callcast.plans import ml as ML  # noqa: E402
 

@@ -82,21 +82,15 @@ def stream_window(stream: DataFrame, width: str, watermark: str = "2 minutes", t
     state store.  Window bounds are returned as TIMESTAMP_NTZ (UTC wall time,
     see ``ntz_as_utc``).
     """
-    return (
-        stream.withWatermark(time_col, watermark)
-        .groupBy(F.window(time_col, width).alias("window"))
-        .agg(F.count(F.lit(1)).alias("transaction_count"), F.avg("balance").alias("avg_balance"))
-        .select(
-            _utc_wall(F.col("window.start"), stream).alias("window_start"),
-            _utc_wall(F.col("window.end"), stream).alias("window_end"),
-            "transaction_count",
-            "avg_balance",
-        )
-    )
+    return _tumbling(stream.withWatermark(time_col, watermark), width, time_col)
 
 
 def batch_window(df: DataFrame, width: str, time_col: str = "event_time") -> DataFrame:
     """Batch twin of ``stream_window``: every window, no watermark."""
+    return _tumbling(df, width, time_col)
+
+
+def _tumbling(df: DataFrame, width: str, time_col: str) -> DataFrame:
     return (
         df.groupBy(F.window(time_col, width).alias("window"))
         .agg(F.count(F.lit(1)).alias("transaction_count"), F.avg("balance").alias("avg_balance"))
@@ -109,6 +103,17 @@ def batch_window(df: DataFrame, width: str, time_col: str = "event_time") -> Dat
     )
 
 
+def with_flush(df: DataFrame, time_col: str = "event_time", gap: str = "INTERVAL 10 DAYS") -> DataFrame:
+    """``df`` and one row far after its last event, empty but for its time.
+
+    A replay of it drives the watermark past every window of ``df``, so an
+    append-mode run closes them all; the window of the added row stays open and
+    is never put out.
+    """
+    end = df.agg((F.max(time_col) + F.expr(gap)).alias(time_col))
+    return df.unionByName(end.where(F.col(time_col).isNotNull()), allowMissingColumns=True)
+
+
 def stream_predict(model, stream: DataFrame, keep=("event_time", "age", "job", "balance", "duration", "y")) -> DataFrame:
     """Score a stream with a fitted ``PipelineModel`` (all stages are map-only)."""
     from pyspark.ml.functions import vector_to_array
