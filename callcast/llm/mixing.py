@@ -60,8 +60,8 @@ def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     A power of 1 keeps the shares, 0 makes them equal; between, small ones gain.
     """
     total = cells.groupBy(F.col(margin).alias("value")).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("t"))
-    whole = total.agg(F.sum("t").alias("whole"))
-    return total.join(F.broadcast(whole)).select("value", (F.col("t") / F.col("whole")).alias("share"))  # one row
+    whole = total.agg(F.sum("t").alias("whole")).first().whole
+    return total.select("value", (F.col("t") / F.lit(whole)).alias("share"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 12) -> DataFrame:
