@@ -5,8 +5,9 @@ replicate is the same on any partitioning and after any task retry.
 
 Bootstrap: the Poisson bootstrap (each row gets a Poisson(1) count per
 replicate, the distributed form of resampling n rows with replacement).
-Replicates are an exploded column; the explode feeds a partial aggregate in
-the same stage, so the rows x replicates product is never materialised.
+Rows are dealt out once by score; a task keeps one running sum per replicate
+for its rows and takes the sums of the ranges before it from a table with one
+row per range.  Nothing grows with rows x replicates.
 """
 
 from __future__ import annotations
@@ -14,10 +15,13 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callcast.operators.ordered import running
+from callcast.session import materialize, ship_package
 
 _U_BITS = 52
 
@@ -29,18 +33,95 @@ def hash_uniform(*cols: Column, seed: int = 42) -> Column:
     return bits.cast("double") / float(1 << _U_BITS)
 
 
-def poisson1(u: Column) -> Column:
-    """Poisson(1) draw by inverse CDF of the uniform ``u``, up to where the CDF is 1 in double precision."""
+def poisson_steps() -> list[float]:
+    """The CDF of Poisson(1) at 0, 1, 2, ... up to where it is 1 in double precision."""
     cdf, term, k, steps = 0.0, math.exp(-1.0), 0, []
     while cdf + term > cdf:
         cdf += term
-        steps.append((cdf, k))
+        steps.append(cdf)
         k += 1
         term /= k
-    expr = F.when(u < F.lit(steps[0][0]), F.lit(0))
-    for bound, n in steps[1:]:
-        expr = expr.when(u < F.lit(bound), F.lit(n))
-    return expr.otherwise(F.lit(k))
+    return steps
+
+
+def poisson1(u: Column) -> Column:
+    """Poisson(1) draw by inverse CDF of the uniform ``u``."""
+    steps = poisson_steps()
+    expr = F.when(u < F.lit(steps[0]), F.lit(0))
+    for k, bound in enumerate(steps[1:], start=1):
+        expr = expr.when(u < F.lit(bound), F.lit(k))
+    return expr.otherwise(F.lit(len(steps)))
+
+
+def _counts(ids: np.ndarray, n_boot: int, seed: int) -> np.ndarray:
+    """Poisson(1) counts, one row per id and one column per replicate, from a hash of (id, replicate, seed)."""
+    with np.errstate(over="ignore"):
+        x = ids.astype(np.int64).view(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+        x = x + np.arange(1, n_boot + 1, dtype=np.uint64)[None, :] * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(seed)
+        for mul in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x ^= x >> np.uint64(33)
+            x *= np.uint64(mul)
+        x ^= x >> np.uint64(33)
+    return np.searchsorted(poisson_steps(), (x >> np.uint64(11)).astype(np.float64) * 2.0**-53, side="right").astype(np.float64)
+
+
+_ROWS = 1024
+
+
+def _range_sums(n_boot: int, seed: int):
+    """Per range: the weighted positives and negatives of every replicate."""
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for pid, part in pdf.groupby("_pid"):
+                own = sums.setdefault(int(pid), np.zeros((2, n_boot)))
+                for a in range(0, len(part), _ROWS):
+                    w, y = _counts(part["_id"].to_numpy()[a : a + _ROWS], n_boot, seed), part["y"].to_numpy()[a : a + _ROWS]
+                    own[0] += y @ w
+                    own[1] += (1 - y) @ w
+        yield pd.DataFrame({"_pid": list(sums), "pos": [x[0].tolist() for x in sums.values()], "neg": [x[1].tolist() for x in sums.values()]})
+
+    return run
+
+
+def _range_metrics(carry, n_boot: int, seed: int, threshold: float):
+    """Per range and replicate: the range's part of the average precision's numerator and of the hits at the threshold."""
+
+    def run(batches):
+        pid, score = None, None
+        before, open_sums, ap, tp = np.zeros((2, n_boot)), np.zeros((2, n_boot)), np.zeros(n_boot), np.zeros(n_boot)
+
+        def close():
+            nonlocal before, open_sums, ap, tp
+            before = before + open_sums
+            with np.errstate(invalid="ignore", divide="ignore"):
+                ap = ap + np.nan_to_num(open_sums[0] * before[0] / (before[0] + before[1]))
+            if score is not None and score >= threshold:
+                tp = tp + open_sums[0]
+            open_sums = np.zeros((2, n_boot))
+
+        for pdf in batches:
+            for a in range(0, len(pdf), _ROWS):
+                part = pdf.iloc[a : a + _ROWS]
+                w, y, p, ids = _counts(part["_id"].to_numpy(), n_boot, seed), part["y"].to_numpy(), part["p"].to_numpy(), part["_pid"].to_numpy()
+                starts = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (ids[1:] != ids[:-1])]))
+                pos, neg = np.add.reduceat(w * y[:, None], starts), np.add.reduceat(w * (1 - y)[:, None], starts)
+                for i, at in enumerate(starts):
+                    if ids[at] != pid or p[at] != score:
+                        close()
+                        if ids[at] != pid:
+                            if pid is not None:
+                                yield pd.DataFrame({"b": np.arange(n_boot), "ap_num": ap, "tp": tp})
+                            pid, ap, tp = ids[at], np.zeros(n_boot), np.zeros(n_boot)
+                            before = carry.value.get(int(pid), np.zeros((2, n_boot)))
+                        score = p[at]
+                    open_sums = open_sums + np.stack([pos[i], neg[i]])
+        if pid is not None:
+            close()
+            yield pd.DataFrame({"b": np.arange(n_boot), "ap_num": ap, "tp": tp})
+
+    return run
 
 
 def bootstrap_ci(
@@ -58,31 +139,26 @@ def bootstrap_ci(
     Replicates whose sample holds one class only are skipped (as the
     reference does).  Returns (metric, lower_95, upper_95, replicates).
     """
-    reps = df.select(
-        F.col(p).alias("p"), F.col(label).cast("long").alias("y"), F.col(id_col).alias("_id"),
-        F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("b"),
-    )
-    w = poisson1(hash_uniform(F.col("_id"), F.col("b"), seed=seed)).cast("long")
-    g = (
-        reps.select("b", "p", (w * F.col("y")).alias("pos"), (w * (1 - F.col("y"))).alias("neg"))
-        .groupBy("b", "p")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .where((F.col("pos") + F.col("neg")) > 0)
-    )
-    r = running(g.withColumn("_neg_p", -F.col("p")), keys=["b"], order=["_neg_p"], sums=["pos", "neg"])
-    per_rep = (
-        r.groupBy("b")
-        .agg(
-            F.sum("pos").alias("P"),
-            F.sum("neg").alias("N"),
-            F.sum(F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("ap_num"),
-            F.sum(F.when(F.col("p") >= F.lit(threshold), F.col("pos")).otherwise(0)).alias("tp"),
-        )
-        .where((F.col("P") > 0) & (F.col("N") > 0))
-        .select("b", (F.col("ap_num") / F.col("P")).alias("pr_auc"), (F.col("tp") / F.col("P")).alias("recall"))
-    )
+    spark = df.sparkSession
+    ship_package(spark)
+    rows = df.select(F.col(p).cast("double").alias("p"), F.col(label).cast("double").alias("y"), F.col(id_col).cast("long").alias("_id"), (-F.col(p).cast("double")).alias("_neg"))
+    cut = materialize(rows.where("p IS NOT NULL AND y IS NOT NULL").repartitionByRange("_neg").withColumn("_pid", F.spark_partition_id()), "bootstrap")
+    ranges = cut.select("_pid", "_id", "y").mapInPandas(_range_sums(n_boot, seed), "_pid int, pos array<double>, neg array<double>")
+    total = np.zeros((2, n_boot))
+    sums: dict[int, np.ndarray] = {}
+    for r in ranges.collect():  # a row per task and range, each with 2 * n_boot numbers
+        sums[r["_pid"]] = sums.get(r["_pid"], 0) + np.array([r["pos"], r["neg"]])
+    carry = {}
+    for pid in sorted(sums):
+        carry[pid] = total
+        total = total + sums[pid]
+    dealt = cut.repartition("_pid").sortWithinPartitions("_pid", "_neg", "_id")
+    parts = dealt.mapInPandas(_range_metrics(spark.sparkContext.broadcast(carry), n_boot, seed, threshold), "b int, ap_num double, tp double")
+    wholes = spark.createDataFrame([(b, float(total[0, b])) for b in range(n_boot) if total[0, b] > 0 and total[1, b] > 0], "b int, P double")
+    per_rep = parts.groupBy("b").agg(F.sum("ap_num").alias("ap_num"), F.sum("tp").alias("tp")).join(wholes, "b")
+    per_rep = per_rep.select("b", F.round(F.col("ap_num") / F.col("P"), 12).alias("pr_auc"), F.round(F.col("tp") / F.col("P"), 12).alias("recall"))
     lo, hi = (1 - level) / 2, 1 - (1 - level) / 2
-    q = per_rep.agg(
+    q = per_rep.agg(  # over n_boot rows
         F.count(F.lit(1)).alias("replicates"),
         F.percentile("pr_auc", [lo, hi]).alias("a"),
         F.percentile("recall", [lo, hi]).alias("r"),

@@ -115,3 +115,28 @@ def test_scalar_bins(spark):
     assert [r.q for r in got] == ["Q1", "Q1", "Q2", "Q3", "Q4", "Q4", "Q4", "Q4"]
     assert [r.b for r in got] == ["18-29", "30-39", "30-39", "40-49", "50-59", "60+", "60+", "18-29"]
     assert got[6].n is None
+
+
+def test_bootstrap_equals_plain_replicates(spark):
+    """Every replicate of the running sums against average precision computed row by row."""
+    import numpy as np
+
+    rows = [(i, float((i * 7919) % 60) / 60, int((i * i) % 7 < 2)) for i in range(900)]
+    df = spark.createDataFrame(rows, "contact_id long, p double, label int").repartition(5)
+    out = {r.metric: r for r in RS.bootstrap_ci(df, 0.5, n_boot=60).collect()}
+    w = RS._counts(np.array([r[0] for r in rows]), 60, 42)
+    p, y = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    ap, recall = [], []
+    for b in range(60):
+        whole, num, pos, neg = (w[:, b] * y).sum(), 0.0, 0.0, 0.0
+        for t in sorted(set(p), reverse=True):
+            here = p == t
+            gained = (w[here, b] * y[here]).sum()
+            pos, neg = pos + gained, neg + (w[here, b] * (1 - y[here])).sum()
+            num += gained * pos / (pos + neg) if pos + neg else 0.0
+        ap.append(num / whole)
+        recall.append((w[:, b] * y * (p >= 0.5)).sum() / whole)
+    assert out["PR-AUC"].replicates == 60
+    assert (out["PR-AUC"].lower_95, out["PR-AUC"].upper_95) == pytest.approx(tuple(np.quantile(ap, [0.025, 0.975])), abs=1e-9)
+    assert (out["Recall"].lower_95, out["Recall"].upper_95) == pytest.approx(tuple(np.quantile(recall, [0.025, 0.975])), abs=1e-9)
+    assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.05
