@@ -104,6 +104,7 @@ def cross_fit_calibration(
     calibrated = parts[0]
     for p in parts[1:]:
         calibrated = calibrated.unionByName(p)
+    calibrated = materialize(calibrated, "calibrated")
     n_dev = dev.count()
     if calibrated.select(id_col).distinct().count() != n_dev:
         raise RuntimeError("calibration left incomplete out-of-fold probabilities")
@@ -164,10 +165,7 @@ def ablation(dev: DataFrame, fold_col: str, model_type: str = "forest", k: int =
         num = [c for c in numeric if c not in removed]
         cat = [c for c in CATEGORICAL_COLUMNS if c not in removed]
         pipe = ML.build_pipeline(model_type, numeric=num, categorical=cat, clip=False, features=True, impute=True, **estimator_kw)
-        # Preprocessing fitted once per feature set; only the estimator is refit per fold.
-        _, feats = ML.featurize(dev.drop(*removed), pipe, ["contact_id", "label", fold_col])
-        feats = materialize(feats, "ablation-features")
-        oof = ML.oof_predict(feats, ML.split_pipeline(pipe)[1], fold_col, k=k)
+        oof = ML.oof_predict(dev.drop(*removed), pipe, fold_col, k=k)
         for r in EV.ranking_metrics_by(oof, ["fold"]).collect():  # k rows
             rows.append((name, int(r["fold"]), float(r["average_precision"])))
     scores = spark.createDataFrame(rows, "feature_set string, fold int, ap double")

@@ -28,8 +28,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from callcast.functions.exprs import logit, month_order, signed_log
+from callcast.functions.exprs import month_order, signed_log
 from callcast.schema import CATEGORICAL_COLUMNS, NUMERIC_COLUMNS
+from callcast.session import materialize
 
 # The reference's model settings.
 LR_MAX_ITER = 100
@@ -235,24 +236,6 @@ def build_pipeline(
     return Pipeline(stages=stages)
 
 
-def split_pipeline(pipeline: Pipeline) -> tuple[Pipeline, Pipeline]:
-    """(preprocessing stages, estimator only) of a ``build_pipeline`` result."""
-    stages = pipeline.getStages()
-    return Pipeline(stages=stages[:-1]), Pipeline(stages=stages[-1:])
-
-
-def featurize(df: DataFrame, pipeline: Pipeline, keep: Sequence[str]) -> tuple[PipelineModel, DataFrame]:
-    """Fit the preprocessing once and return (model, frame of ``keep`` + features).
-
-    Multi-fit procedures (cross-fitting, OOF, ablation) then refit only the
-    estimator on the cached feature vectors.  The preprocessing learns no
-    target information (medians, modes, category indexes, clip bounds).
-    """
-    prep, _ = split_pipeline(pipeline)
-    model = prep.fit(df)
-    return model, model.transform(df).select(*keep, "features")
-
-
 def with_label(df: DataFrame, label_col: str = "label") -> DataFrame:
     return df.withColumn(label_col, F.when(F.col("y") == "yes", 1.0).otherwise(0.0))
 
@@ -306,23 +289,17 @@ def tuned_logistic(train: DataFrame, fold_col: str | None = None, numeric=NUMERI
                    parallelism: int = CV_PARALLELISM):
     """3x3 grid (regParam x elasticNetParam), 3 folds, ROC-AUC.
 
-    The preprocessing (clip bounds, indexes, encoders) is fitted once on the
-    training rows and its feature vectors are cached for the 27 fits; only the
-    logistic layer is cross-validated.  With ``fold_col`` (from
+    The whole pipeline is cross-validated, so clip bounds, indexes and encoders
+    are learnt on each fold's training rows only.  With ``fold_col`` (from
     ``kfold_assign``) the folds are deterministic and independent of
     partitioning; otherwise CrossValidator's seeded random folds.
-    Returns (CrossValidatorModel, PipelineModel of preprocessing + best model).
+    Returns (CrossValidatorModel, best PipelineModel).
     """
-    from pyspark import StorageLevel
-
-    prep, est_only = split_pipeline(build_pipeline("logistic", numeric, categorical))
-    prep_model = prep.fit(train)
-    keep = ["label", "features"] + ([fold_col] if fold_col else [])
-    feats = prep_model.transform(train).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
-    est = est_only.getStages()[0]
+    pipeline = build_pipeline("logistic", numeric, categorical)
+    est = pipeline.getStages()[-1]
     grid = ParamGridBuilder().addGrid(est.regParam, LR_GRID["regParam"]).addGrid(est.elasticNetParam, LR_GRID["elasticNetParam"]).build()
     cv = CrossValidator(
-        estimator=est,
+        estimator=pipeline,
         estimatorParamMaps=grid,
         evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC"),
         numFolds=CV_FOLDS,
@@ -330,18 +307,17 @@ def tuned_logistic(train: DataFrame, fold_col: str | None = None, numeric=NUMERI
         seed=SEED,
         **({"foldCol": fold_col} if fold_col else {}),
     )
-    try:
-        cvm = cv.fit(feats)
-    finally:
-        feats.unpersist()
-    return cvm, PipelineModel(stages=list(prep_model.stages) + [cvm.bestModel])
+    cvm = cv.fit(train)
+    return cvm, cvm.bestModel
 
 
 def oof_predict(df: DataFrame, pipeline: Pipeline, fold_col: str, id_col: str = "contact_id", k: int | None = None) -> DataFrame:
     """Out-of-fold probability for every row: fit on the other folds, score the fold.
 
-    The fits are distributed; the driver only loops over the k folds.  Fails
-    if any row is scored zero times or more than once.
+    ``pipeline`` holds the preprocessing too, so nothing is learnt from a
+    held-out fold.  The fits are distributed; the driver only loops over the k
+    folds; the scored rows are written once.  Fails if any row is scored zero
+    times or more than once.
     """
     folds = k or df.agg(F.max(fold_col)).first()[0] + 1
     parts = []
@@ -352,6 +328,7 @@ def oof_predict(df: DataFrame, pipeline: Pipeline, fold_col: str, id_col: str =
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
+    out = materialize(out, "out-of-fold")
     check = out.groupBy(id_col).agg(F.count(F.lit(1)).alias("c")).agg(
         F.count(F.lit(1)).alias("ids"), F.max("c").alias("max_c")
     ).first()
@@ -387,8 +364,8 @@ def model_selection(
 ) -> DataFrame:
     """Fold AP of every candidate over every repeat of stratified folds.
 
-    ``candidates`` maps a name to an estimator-only Pipeline (``dev`` holds
-    the cached features and, for weighted models, the weight column).
+    ``candidates`` maps a name to a whole Pipeline (``dev`` holds, for weighted
+    models, the weight column).
     Returns (candidate, repeat, fold, ap) rows; summarise with ``cv_summary``.
     """
     from callcast.operators.evaluate import ranking_metrics_by
@@ -413,13 +390,3 @@ def cv_summary(fold_scores: DataFrame, model_col: str = "model", score_col: str
         .agg(F.avg(score_col).alias("mean_score"), F.stddev_pop(score_col).alias("std_score"), F.count(F.lit(1)).alias("folds"))
         .orderBy(F.col("mean_score").desc(), model_col)
     )
-
-
-def calibrate_logits(oof: DataFrame, prob_cols: Sequence[str], label_col: str = "label", C: float = 1.0):
-    """Logistic layer on the logits of base-model probabilities (regParam = 1/(C n))."""
-    n = oof.count()
-    feats = oof.select("*", *[logit(c).alias(f"logit_{c}") for c in prob_cols])
-    assembler = VectorAssembler(inputCols=[f"logit_{c}" for c in prob_cols], outputCol="features")
-    lr = LogisticRegression(labelCol=label_col, featuresCol="features", regParam=1.0 / (C * n), elasticNetParam=0.0,
-                            standardization=False, maxIter=200)
-    return Pipeline(stages=[assembler, lr]).fit(feats), feats

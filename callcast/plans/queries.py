@@ -834,6 +834,7 @@ register(
 )(_csv_stream_metrics)
 
 # ---------------------------------------------------------------- 2.10 / 2.11 Spark ML (rows-only checks)
+from callcast.functions.exprs import logit  # noqa: E402
 from callcast.plans import ml as ML  # noqa: E402
 
 _FB_COLS = [
@@ -910,7 +911,7 @@ register("ml_tuned_lr_metrics")(lambda spark, sf: (lambda m, t: ML.six_metrics(m
 def _tree_importance(spark, sf):
     train, _ = _train_test(spark, sf)
     model = _fitted(spark, sf, "tree")
-    pairs = ML.feature_importance(model, model.transform(train.limit(1)).schema)
+    pairs = ML.feature_importance(model, model.transform(train).schema)
     return spark.createDataFrame(pairs, "feature_name string, importance double")
 
 
@@ -928,34 +929,45 @@ register("confusion_counts")(
 )
 
 
-_CONTACT_FEATURES: dict = {}
+_FOLDED: dict = {}
 
 
-def _contact_features(spark, sf):
-    """All contacts with folds (seeds 42, 43) and pre-call feature vectors, materialised once."""
+def _folded_contacts(spark, sf):
+    """All contacts with folds (seeds 42, 43), materialised once."""
     from callcast.session import materialize
 
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _CONTACT_FEATURES:
-        c = SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(42, 43))
-        pipe = ML.build_pipeline("logistic", numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True)
-        _, feats = ML.featurize(c, pipe, ["contact_id", "label", "fold_42", "fold_43"])
-        _CONTACT_FEATURES[key] = materialize(feats, "contact-features")
-    return _CONTACT_FEATURES[key]
+    if key not in _FOLDED:
+        _FOLDED[key] = materialize(SP.kfold_assign(ML.with_label(contacts(spark, sf)), k=5, seeds=(42, 43)), "contact-folds")
+    return _FOLDED[key]
+
+
+_OOF: dict = {}
 
 
 def _oof(spark, sf):
-    return ML.oof_predict(_contact_features(spark, sf), _estimator("logistic", light=False), "fold_43")
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _OOF:
+        _OOF[key] = ML.oof_predict(_folded_contacts(spark, sf), _pre_call_pipeline("logistic"), "fold_43")
+    return _OOF[key]
 
 
 register("oof_predictions")(_oof)
+# What of the out-of-fold frame does not depend on the fit: one row per contact, its fold and label, a probability.
+register(
+    "oof_coverage",
+    W(
+        "SELECT contact_id, CAST((ROW_NUMBER() OVER (PARTITION BY y ORDER BY " + _MD5.format(seed=43) + ", contact_id) - 1) % 5 AS INTEGER) AS fold, "
+        "CASE WHEN y = 'yes' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, true AS is_probability FROM contacts"
+    ),
+)(lambda spark, sf: _oof(spark, sf).select("contact_id", "fold", "label", _F.col("p").between(0, 1).alias("is_probability")))
 
 
 def _cv_summary(spark, sf):
-    c = _contact_features(spark, sf)
+    c = _folded_contacts(spark, sf)
     rows = []
     for name in ("logistic", "tree"):
-        oof = ML.oof_predict(c, _estimator(name, light=False), "fold_42")
+        oof = ML.oof_predict(c, _pre_call_pipeline(name), "fold_42")
         for r in EV.ranking_metrics_by(oof, ["fold"]).collect():  # one row per fold
             rows.append((name, int(r["fold"]), float(r["average_precision"])))
     # The prior baseline: every row of a fold gets the prevalence of the other folds;
@@ -967,6 +979,22 @@ def _cv_summary(spark, sf):
 
 
 register("cv_summary")(_cv_summary)
+# The prior baseline on its own: a constant score has an average precision equal to the fold's positive rate.
+register(
+    "prior_baseline",
+    W(
+        "SELECT fold, COUNT(*) AS rows, ROUND(AVG(label), 10) AS average_precision FROM (SELECT CASE WHEN y = 'yes' THEN 1.0 ELSE 0.0 END AS label, "
+        "CAST((ROW_NUMBER() OVER (PARTITION BY y ORDER BY " + _MD5.format(seed=42) + ", contact_id) - 1) % 5 AS INTEGER) AS fold FROM contacts) GROUP BY fold"
+    ),
+)(lambda spark, sf: _folded_contacts(spark, sf).groupBy(_F.col("fold_42").alias("fold")).agg(_F.count(_F.lit(1)).alias("rows"), _F.round(_F.avg("label"), 10).alias("average_precision")))
+register("logit", W("SELECT contact_id, ROUND(ln(greatest(p, 1e-6) / (1 - greatest(p, 1e-6))), 9) AS logit FROM scored", _SCORED))(
+    lambda spark, sf: _scored(spark, sf).select("contact_id", _F.round(logit("p"), 9).alias("logit"))
+)
+# The columns of ``predictions`` that do not depend on the fit.
+register(
+    "prediction_rows",
+    W("SELECT contact_id, CASE WHEN y = 'yes' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, true AS consistent FROM contacts WHERE substr(" + _MD5.format(seed=42) + ", 1, 8) >= 'cccccccc'"),
+)(lambda spark, sf: _predictions(spark, sf).select("contact_id", "label", ((_F.col("p") > 0.5) == (_F.col("prediction") == 1.0)).alias("consistent")))
 
 
 def _stream_predict(spark, sf):
@@ -1019,34 +1047,14 @@ def _dev_test(spark, sf):
 
 
 _CALIBRATIONS: dict = {}
-_FEATURIZED: dict = {}
-
-
-def _featurized_dev(spark, sf, drop: tuple = ()):
-    """Development rows with folds and pre-call feature vectors, materialised once."""
-    from callcast.session import materialize
-
-    key = (spark.sparkContext.applicationId, sf, drop)
-    if key not in _FEATURIZED:
-        dev, _ = _dev_test(spark, sf)
-        num = [c for c in _PRE_CALL_NUM if c not in drop]
-        cat = [c for c in ML.CATEGORICAL_COLUMNS if c not in drop]
-        pipe = ML.build_pipeline("logistic", numeric=num, categorical=cat, clip=False, features=True, impute=True, scale=True)
-        _, feats = ML.featurize(dev.drop(*drop), pipe, ["contact_id", "label", "fold_43", "fold_44"])
-        _FEATURIZED[key] = materialize(feats, "dev-features")
-    return _FEATURIZED[key]
-
-
-def _estimator(kind: str, light: bool = True):
-    return ML.split_pipeline(_pre_call_pipeline(kind, light=light))[1]
 
 
 def _calibration(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key in _CALIBRATIONS:
         return _CALIBRATIONS[key]
-    dev = _featurized_dev(spark, sf).drop("fold_44")
-    pipes = {"logistic": _estimator("logistic"), "tree": _estimator("tree")}
+    dev = _dev_test(spark, sf)[0].drop("fold_44")
+    pipes = {m: _pre_call_pipeline(m, light=True) for m in ("logistic", "tree")}
     _CALIBRATIONS[key] = CAL.cross_fit_calibration(dev, pipes, "fold_43", outer_k=5, inner_k=4, inner_seed_base=62)
     return _CALIBRATIONS[key]
 
@@ -1056,8 +1064,8 @@ register("calibration_strategy")(lambda spark, sf: CAL.choose_strategy(_calibrat
 
 
 def _align(spark, sf):
-    dev = _featurized_dev(spark, sf)
-    return CAL.align_probabilities({m: ML.oof_predict(dev, _estimator(m), "fold_43") for m in ("logistic", "tree")})
+    dev = _dev_test(spark, sf)[0]
+    return CAL.align_probabilities({m: ML.oof_predict(dev, _pre_call_pipeline(m, light=True), "fold_43") for m in ("logistic", "tree")})
 
 
 register("align_probabilities")(_align)
@@ -1172,15 +1180,12 @@ WEIGHTED_LR_C = (0.05, 0.2, 1.0, 5.0)
 
 
 def _model_selection(spark, sf):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-
-    dev = ML.balanced_weights(_featurized_dev(spark, sf))
+    dev = ML.balanced_weights(_dev_test(spark, sf)[0])
     n = dev.count()
     cands = {
-        f"weighted_logistic_C={c}": Pipeline(stages=[LogisticRegression(
-            labelCol="label", featuresCol="features", weightCol="weight", regParam=ML.c_to_reg_param(c, n),
-            elasticNetParam=0.0, standardization=False, **_LIGHT["logistic"])])
+        f"weighted_logistic_C={c}": _pre_call_pipeline(
+            "logistic", light=True, scale=True, weight_col="weight", regParam=ML.c_to_reg_param(c, n), elasticNetParam=0.0, standardization=False
+        )
         for c in WEIGHTED_LR_C
     }
     return ML.cv_summary(ML.model_selection(dev, cands, ["fold_43"], k=5))
