@@ -19,10 +19,13 @@ at another place, in any text or the same one.  A *window* is such a string.
 4. *Neighbours.*  For two entries near each other in this order, with r equal
    bytes after and l equal bytes before the anchor, the windows that need at
    most r and l bytes repeat.  Each entry looks at ``reach`` neighbours on either
-   side; a smaller group of equal anchors is thereby seen in full.
-5. *The rest.*  Entries of larger groups that are not settled are sorted again
-   by the bytes before the anchor, which bounds the windows that could repeat.
-   What is still open is compared window by window: equal bytes are grouped.
+   side; a smaller group of equal anchors is thereby seen in full.  In a larger
+   one the common prefix with the first neighbour not looked at bounds r for all
+   the others, and so the windows that they could still show to repeat.
+5. *The rest.*  Groups with entries that are not settled are sorted again by the
+   bytes before the anchor, which bounds l in the same way.  Windows that are
+   within both bounds and not yet shown to repeat (few, if any) are compared one
+   by one: equal bytes are grouped.
 
 Windows that repeat are marked in every text, and the bytes that they cover are
 cut out; all is judged on the input, not on what is left.
@@ -222,7 +225,7 @@ def sorted_pieces(entries: DataFrame, splitters: list[bytes], gram: int, reach:
 
 
 class _Entry:
-    __slots__ = ("key", "head", "t1", "t2", "guest", "lo", "hi", "most", "done", "open", "need_lo", "need_hi")
+    __slots__ = ("key", "head", "t1", "t2", "guest", "lo", "hi", "done", "unseen", "need_lo", "need_hi")
 
     def __init__(self, key: bytes, load: tuple, length: int, gram: int, backward: bool):
         self.key, (self.t1, self.t2, self.head, flag) = key, load
@@ -231,7 +234,7 @@ class _Entry:
         right, left = (rest + gram, self.head - gram) if backward else (self.head, rest)
         self.need_lo, self.need_hi = length - right, left  # bytes before the anchor that the windows need
         self.lo, self.hi = [], []
-        self.most, self.done, self.open = 0, False, False
+        self.done, self.unseen = False, 0
         if flag & 1:  # the segment itself occurs more than once
             self.prove(self.need_lo, self.need_hi)
 
@@ -246,17 +249,17 @@ class _Entry:
 def neighbours(pieces: DataFrame, ranges: int, length: int, gram: int, reach: int, backward: bool) -> DataFrame:
     """Merge the pieces of each range and compare near entries.
 
-    Rows (t1, t2, lo, hi, most, open): windows that need lo..hi bytes before the
-    anchor repeat; ``most`` is the longest common part found on the sorted side;
-    ``open`` if more than ``reach`` neighbours of the same anchor were there.
+    Rows (t1, t2, lo, hi, unseen): windows that need lo..hi bytes before the
+    anchor repeat; ``unseen`` bounds the common part with entries of the same
+    anchor that were not looked at, on the side that was sorted (0: all were,
+    or there is nothing more to show).
     """
 
     def meet(a: _Entry, b: _Entry, x: int) -> None:
         """x: common prefix of the keys, at least the anchor string."""
-        first = min(x, a.head, b.head)
         if a.done and b.done:
-            a.most, b.most = max(a.most, first), max(b.most, first)
             return
+        first = min(x, a.head, b.head)
         if a.head == b.head and x > a.head:
             second = x - a.head - 1
         else:
@@ -266,7 +269,6 @@ def neighbours(pieces: DataFrame, ranges: int, length: int, gram: int, reach: in
             second = m - (z.bit_length() + 7) // 8
         second = min(second, len(a.key) - a.head - 2, len(b.key) - b.head - 2)
         l, r = (first - gram, second + gram) if backward else (second, first)
-        a.most, b.most = max(a.most, first), max(b.most, first)
         a.prove(length - r, l)
         b.prove(length - r, l)
 
@@ -289,8 +291,8 @@ def neighbours(pieces: DataFrame, ranges: int, length: int, gram: int, reach: in
                     kept.append((e, y))
             window = kept
             if len(window) >= reach:  # these two are not compared
-                old, _ = window.popleft()
-                old.open = new.open = True
+                old, y = window.popleft()
+                old.unseen, new.unseen = max(old.unseen, min(y, old.head)), max(new.unseen, min(y, new.head))
                 yield old
             for e, y in window:
                 if e.t1 != new.t1 or e.t2 != new.t2:
@@ -302,15 +304,15 @@ def neighbours(pieces: DataFrame, ranges: int, length: int, gram: int, reach: in
         for e, _ in window:
             yield e
 
-    names = ["t1", "t2", "lo", "hi", "most", "open"]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.bool_()]
+    names = ["t1", "t2", "lo", "hi", "unseen"]
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32()]
 
     def run(batches):
         def close(group):
             rows = []
             for e in merged(group):
                 if not e.guest:
-                    rows.append((e.t1, e.t2, e.lo, e.hi, e.most, e.open and not e.done))
+                    rows.append((e.t1, e.t2, e.lo, e.hi, 0 if e.done else e.unseen))
                 if len(rows) >= 8192:
                     yield out(rows)
                     rows = []
@@ -332,7 +334,7 @@ def neighbours(pieces: DataFrame, ranges: int, length: int, gram: int, reach: in
         if group:
             yield from close(group)
 
-    return pieces.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(run, "t1 long, t2 long, lo array<int>, hi array<int>, most int, open boolean")
+    return pieces.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(run, "t1 long, t2 long, lo array<int>, hi array<int>, unseen int")
 
 
 def merge_sort(entries: DataFrame, length: int, gram: int, reach: int, backward: bool, range_bytes: int) -> DataFrame:
@@ -368,7 +370,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
     if not 0 < gram <= length or length - gram > 1000:
         raise ValueError("gram must be at most length and at least length - 1000")
     seg = materialize(text_segments(docs, length, gram), "suffix-segments")
-    often = seg.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    often = materialize(seg.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "suffix-anchors")
     seg = materialize(seg.join(often, "anchor"), "suffix-candidates")
     place = F.col("place")
     entry = seg.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.first("anchor").alias("anchor"), F.first("did").alias("did"), F.first("uid").alias("uid"), F.first("place").alias("place"))
@@ -385,20 +387,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
     pairs = F.arrays_zip(F.col("lo"), F.col("hi"))
     forward = materialize(merge_sort(entries, length, gram, reach, False, range_bytes), "suffix-forward")
     proven = forward.select("t1", "t2", pairs.alias("pairs"))
-    open_anchor = forward.where("open").select("t1", "t2").join(entries.select("t1", "t2", "anchor"), ["t1", "t2"]).select("anchor").distinct()
+    open_anchor = forward.where("unseen > 0").select("t1", "t2").join(entries.select("t1", "t2", "anchor"), ["t1", "t2"]).select("anchor").distinct()
     hot = materialize(entries.join(open_anchor, "anchor"), "suffix-hot")
     if not hot.isEmpty():
         backward = materialize(merge_sort(hot, length, gram, reach, True, range_bytes), "suffix-backward")
         proven = proven.union(backward.select("t1", "t2", pairs.alias("pairs")))
-        limits = forward.select("t1", "t2", F.col("most").alias("right"), "open").join(backward.select("t1", "t2", (F.col("most") - gram).alias("left")), ["t1", "t2"])
-        limits = limits.where("open").groupBy("t1", "t2").agg(F.max("right").alias("right"), F.max("left").alias("left"))
-        known = proven.join(limits, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(union(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+        bounds = forward.where("unseen > 0").select("t1", "t2", F.col("unseen").alias("right")).join(backward.where("unseen > 0").select("t1", "t2", (F.col("unseen") - gram).alias("left")), ["t1", "t2"])
+        bounds = bounds.groupBy("t1", "t2").agg(F.max("right").alias("right"), F.max("left").alias("left"))
+        known = proven.join(bounds, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(union(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+        sizes = hot.select("t1", "t2", "anchor", "before", F.length("body").alias("size")).distinct()
+        low = F.greatest(F.col("before") - F.col("size") + length, length - F.col("right"))
         still = (
-            limits.join(known, ["t1", "t2"]).join(hot.select("t1", "t2", "anchor", "before", F.length("body").alias("size")).distinct(), ["t1", "t2"])
-            .withColumn("need", F.explode(F.sequence(F.greatest(F.lit(0), F.col("before") - F.col("size") + length, length - F.col("right")), F.greatest(F.least("before", "left"), F.lit(-1)))))
-            .where(F.col("need") <= F.least("before", "left"))
-            .where(F.col("need") >= F.greatest(F.col("before") - F.col("size") + length, length - F.col("right")))
-            .where(~F.exists("pairs", lambda p: (p["lo"] <= F.col("need")) & (F.col("need") <= p["hi"])))
+            bounds.join(known, ["t1", "t2"]).join(sizes, ["t1", "t2"]).withColumns({"low": low, "high": F.least("before", "left")}).where("low <= high")
+            .withColumn("need", F.explode(F.sequence("low", "high"))).where(~F.exists("pairs", lambda p: (p["lo"] <= F.col("need")) & (F.col("need") <= p["hi"])))
         )
         open_windows = still.select("anchor", "need").distinct()
         windows = (
