@@ -15,8 +15,8 @@ Bins without terms stay empty.  The likeness of two fingerprints is the share of
 equal bins among the bins that are filled in either (1 if none is).
 
 Neighbours in doc_id order are found without a sort of the whole table into one
-task: documents are dealt by blocks of ids, and each block also gets the first
-document of the next one as a guest.
+task: documents are dealt by blocks of ids, and the last document of a block
+gets the first one of the next block.
 
 Defined results: a null text is empty; an empty or blank text has an empty
 fingerprint; a text of fewer than WIDTH words has one term of all its words; a
@@ -32,37 +32,38 @@ from pyspark.sql import functions as F
 WIDTH = 5
 BINS = 128
 #: A heavier term is cut into parts of this weight, which leaves every likeness as it is (the sum of the smaller parts is
-#: the smaller weight) and spreads the term over several bins.
+#: the smaller weight) and spreads the term over several bins.  Weights of 1 to 4 fit two bits of a term's hash.
 _PART = 4
 _BLOCK_BITS = 10
 _FIRST = -(1 << 63)
 
 
 def terms(text: Column, width: int = WIDTH) -> Column:
-    """array<struct<term: long, weight: int>>: hashed word shingles with their counts."""
-    return F.transform(F.array(F.filter(F.split(text, r"\s+"), lambda w: w != "")), lambda ws: _counted(_shingles(ws, width)))[0]
+    """Weighted terms of a text as array<long>: a hash of the words whose last two bits are the weight less one."""
+    bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"\s+"))
+    return F.transform(F.array(words), lambda ws: _counted(_shingles(ws, width)))[0]
+
+
+def _hash(x: Column, *more: Column) -> Column:
+    return F.xxhash64(x, *more).bitwiseAND(F.lit(-4))
 
 
 def _shingles(words: Column, width: int) -> Column:
     n = F.size(words)
-    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, width)))
-    )
+    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1))), lambda i: _hash(F.slice(words, i, width))))
 
 
 def _counted(hashes: Column) -> Column:
     """Distinct hashes with their counts; the sort runs only where a hash repeats."""
-    one = F.transform(hashes, lambda h: F.struct(h.alias("term"), F.lit(1).alias("weight")))
-    in_order = F.array(F.array_sort(hashes))
-    runs = F.transform(in_order, lambda s: _runs(s))[0]
-    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), one).otherwise(runs)
+    return F.transform(F.array(hashes), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(F.transform(F.array(F.array_sort(h)), _runs)[0]))[0]
 
 
 def _runs(s: Column) -> Column:
     """Distinct values of a sorted array with their counts, a count over _PART in parts of _PART."""
     starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
     counted = F.transform(F.array(starts), lambda p: F.transform(p, lambda a, k: F.struct(F.get(s, a).alias("h"), (F.coalesce(F.get(p, k + 1), F.size(s)) - a).alias("n"))))[0]
-    part = lambda e, j: F.struct(F.when(j == 0, e["h"]).otherwise(F.xxhash64(e["h"], j)).alias("term"), F.least(F.lit(_PART), e["n"] - j * _PART).alias("weight"))
+    part = lambda e, j: F.when(j == 0, e["h"]).otherwise(_hash(e["h"], j)) + F.least(F.lit(_PART), e["n"] - j * _PART) - 1
     return F.flatten(F.transform(counted, lambda e: F.transform(F.sequence(F.lit(0), F.floor((e["n"] - 1) / _PART).cast("int")), lambda j: part(e, j))))
 
 
@@ -75,7 +76,8 @@ def sample_value(term: Column, weight: Column) -> Column:
     r = -F.ln(_uniform(term, 1) * _uniform(term, 2))
     c = -F.ln(_uniform(term, 3) * _uniform(term, 4))
     b = _uniform(term, 5)
-    t = F.floor(F.ln(weight.cast("double")) / r + b).cast("double")
+    heavy = F.when(weight == 1, F.lit(0.0)).otherwise(F.ln(weight.cast("double")))
+    t = F.floor(heavy / r + b).cast("double")
     return F.ln(c) - r * (t - b) - r
 
 
@@ -92,22 +94,29 @@ def as_text(a: Column) -> Column:
 
 
 def with_neighbours(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows (block, place, guest, doc_id, text, next_text), each document followed by the next in id order, wrapping round."""
+    """Rows (block, place, doc_id, text, next_id, next_text, last): each document with the next in id order, wrapping round.
+
+    All uses of the dealt rows read the same columns, so they share one exchange of the texts.
+    """
     key = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(_FIRST))
-    rows = docs.select(F.shiftright(key, _BLOCK_BITS).alias("block"), F.lit(False).alias("guest"), key.alias("key"), F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    heads = rows.groupBy("block").agg(F.min("key").alias("key")).withColumn("over", F.shiftright("block", _BLOCK_BITS))
-    tops = heads.groupBy("over").agg(F.min("block").alias("top"))  # one row for each million of ids
+    rows = docs.select(F.shiftright(key, _BLOCK_BITS).alias("block"), key.alias("key"), F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    near = Window.partitionBy("block").orderBy("key", "text")
+    dealt = rows.select("block", F.row_number().over(near).alias("place"), "doc_id", "text", F.lead("doc_id").over(near).alias("next_id"), F.lead("text").over(near).alias("next_text"))
+    blocks = rows.select("block").distinct().withColumn("over", F.shiftright("block", _BLOCK_BITS))
+    tops = blocks.groupBy("over").agg(F.min("block").alias("top"))  # one row for each million of ids
     every = Window.orderBy("over")
     tops = tops.select("over", F.coalesce(F.lead("top").over(every), F.first("top").over(every)).alias("next_top"))
-    follows = heads.join(tops, "over").select("block", F.coalesce(F.lead("block").over(Window.partitionBy("over").orderBy("block")), "next_top").alias("next_block"))
-    first_text = rows.join(heads.select("block", "key"), ["block", "key"]).groupBy("block").agg(F.min("text").alias("text"))
-    guests = follows.join(first_text.withColumnRenamed("block", "next_block"), "next_block").select("block", F.lit(True).alias("guest"), F.lit(0).cast("long").alias("key"), F.lit(None).cast(rows.schema["doc_id"].dataType).alias("doc_id"), "text")
-    near = Window.partitionBy("block").orderBy("guest", "key", "text")
-    return rows.unionByName(guests).select("block", F.row_number().over(near).alias("place"), "guest", "doc_id", "text", F.lead("text").over(near).alias("next_text"))
+    follows = blocks.join(tops, "over").select("block", F.coalesce(F.lead("block").over(Window.partitionBy("over").orderBy("block")), "next_top").alias("next_block"))
+    firsts = dealt.where("place = 1").select(F.col("block").alias("next_block"), F.col("doc_id").alias("first_id"), F.col("text").alias("first_text"))
+    guests = follows.join(firsts, "next_block").select(F.col("block").alias("_b"), "first_id", "first_text")
+    last = F.col("next_text").isNull()
+    joined = dealt.join(guests, (F.col("block") == F.col("_b")) & last, "left")
+    then = lambda own, guest: F.when(last, F.col(guest)).otherwise(F.col(own))
+    return joined.select("block", "place", "doc_id", "text", then("next_id", "first_id").alias("next_id"), then("next_text", "first_text").alias("next_text"), last.alias("last"))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, bins: int = BINS) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id.
 
     The edited text has its last quarter of code points replaced by the first as
     many (or all) of the next document.
@@ -115,22 +124,24 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     rows = with_neighbours(docs, doc_id, text)
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), quarter))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
     rows = rows.withColumn("edited", edited)
-    facts = rows.where("NOT guest").select("block", "place", "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-
-    keys = ["block", "place", "guest", "doc_id"]
-    versions = rows.select(*keys, F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text").alias("t")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")))).alias("x"))
-    versions = versions.where("x.v = 0 OR NOT guest")
-    weighted = versions.select(*keys, F.col("x.v").alias("v"), F.explode_outer(terms(F.col("x.t"), width)).alias("e")).select(*keys, "v", "e.term", "e.weight")
-    in_bin = F.pmod(F.xxhash64("term", F.lit(6)), F.lit(bins)).cast("int")
-    values = weighted.select(*keys, "v", F.when(F.col("term").isNotNull(), in_bin).alias("bin"), sample_value(F.col("term"), F.col("weight")).alias("a"))
-    least = values.groupBy(*keys, "v", "bin").agg(F.min("a").alias("a"))
-    digest = F.when(F.col("bin").isNotNull(), F.call_function("shiftleft", F.col("bin"), F.lit(16)).bitwiseOR(F.pmod(F.xxhash64("a"), F.lit(65536)).cast("int")))
-    prints = least.select(*keys, "v", digest.alias("d")).groupBy(*keys).agg(*[F.array_sort(F.collect_list(F.when(F.col("v") == v, F.col("d")))).alias(f"p{v}") for v in (0, 1)])
+    facts = rows.select("block", "place", "doc_id", "next_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+
+    # A document takes three seats of its block: its text, its edited text and, for the last of a block, the text that follows.
+    seat = lambda v, t: F.struct((F.col("place") * 3 + v).alias("seat"), t.alias("t"))
+    versions = rows.select("block", "doc_id", F.explode(F.array(seat(0, F.col("text")), seat(1, F.col("edited")), seat(2, F.when(F.col("last"), F.col("next_text"))))).alias("x")).where("x.t IS NOT NULL")
+    weighted = versions.select("block", "doc_id", "x.seat", F.explode_outer(terms(F.col("x.t"), width)).alias("e"))
+    term, weight = F.col("e").bitwiseAND(F.lit(-4)), F.col("e").bitwiseAND(F.lit(3)).cast("int") + 1
+    values = weighted.select("block", "doc_id", "seat", F.pmod(F.xxhash64(term, F.lit(6)), F.lit(bins)).cast("int").alias("bin"), sample_value(term, weight).alias("a"))
+    least = values.groupBy("block", "doc_id", "seat", "bin").agg(F.min("a").alias("a"))
+    digest = F.call_function("shiftleft", F.col("bin"), F.lit(16)).bitwiseOR(F.pmod(F.xxhash64("a"), F.lit(65536)).cast("int"))
+    seated = least.select("block", "doc_id", F.floor(F.col("seat") / 3).cast("int").alias("place"), (F.col("seat") % 3).alias("v"), F.when(F.col("a").isNotNull(), digest).alias("d"))
+    sets = [F.array_sort(F.collect_list(F.when(F.col("v") == v, F.col("d")))).alias(f"p{v}") for v in range(3)]
+    prints = seated.groupBy("block", "doc_id", "place").agg(*sets)
     order = Window.partitionBy("block").orderBy("place")
-    prints = prints.withColumn("following", F.lead("p0").over(order)).where("NOT guest")
-    return facts.join(prints.drop("guest", "doc_id"), ["block", "place"]).select(
+    prints = prints.withColumn("following", F.coalesce(F.lead("p0").over(order), "p2")).drop("p2")
+    return facts.join(prints.drop("doc_id"), ["block", "place"]).select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("p0")).alias("fingerprint"), as_text(F.col("p1")).alias("edited_fingerprint"),
-        likeness(F.col("p0"), F.col("p1")).alias("near_edited"), likeness(F.col("p0"), F.col("following")).alias("near_next"),
+        likeness(F.col("p0"), F.col("p1")).alias("near_edited"), likeness(F.col("p0"), F.col("following")).alias("near_next"), "next_id",
     )
