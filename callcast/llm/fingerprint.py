@@ -9,10 +9,13 @@ to their generalised Jaccard similarity (sum of smaller / sum of larger
 weights).  The value a determines the term and its quantised weight, so a hash
 of the smallest a stands for the sample.
 
-To have ``BINS`` samples for one pass over the terms, each term takes part in
-the one bin that its hash names, and each bin keeps its own smallest value.
-Bins without terms stay empty.  The likeness of two fingerprints is the share of
-equal bins among the bins that are filled in either (1 if none is).
+To have ``BINS`` samples for one pass over the terms, a term of weight n is cut
+into n units of weight 1 (the units of a smaller weight are among those of a
+larger one, so the sums of smaller and larger weights stay as they are), each
+unit takes part in the one bin that its hash names, and each bin keeps its own
+smallest value.  Bins without units stay empty.  The likeness of two
+fingerprints is the share of equal bins among the bins that are filled in either
+(1 if none is).
 
 Neighbours in doc_id order are found without a sort of the whole table into one
 task: documents are dealt by blocks of ids, and the last document of a block
@@ -31,8 +34,7 @@ from pyspark.sql import functions as F
 
 WIDTH = 5
 BINS = 128
-#: A heavier term is cut into parts of this weight, which leaves every likeness as it is (the sum of the smaller parts is
-#: the smaller weight) and spreads the term over several bins.  Weights of 1 to 4 fit two bits of a term's hash.
+#: ``terms`` lists a heavier term in parts of this weight, so that the weight of each fits two bits of its hash.
 _PART = 4
 _BLOCK_BITS = 10
 _FIRST = -(1 << 63)
@@ -67,6 +69,16 @@ def _runs(s: Column) -> Column:
     return F.flatten(F.transform(counted, lambda e: F.transform(F.sequence(F.lit(0), F.floor((e["n"] - 1) / _PART).cast("int")), lambda j: part(e, j))))
 
 
+def units(parts: Column) -> Column:
+    """Every part of ``terms`` as units of weight 1: the hash of the part, and one more hash for each further unit.
+
+    A bin counts as one vote whatever its sample weighs, so only units of one weight give each filled bin its due.
+    """
+    cut = lambda e: F.transform(F.sequence(F.lit(0), e.bitwiseAND(F.lit(_PART - 1)).cast("int")), lambda i: F.when(i == 0, e.bitwiseAND(F.lit(-4))).otherwise(_hash(e.bitwiseAND(F.lit(-4)), -i)))
+    heavy = lambda e: e.bitwiseAND(F.lit(_PART - 1)) > 0
+    return F.transform(F.array(parts), lambda x: F.when(F.exists(x, heavy), F.flatten(F.transform(x, cut))).otherwise(x))[0]
+
+
 def _uniform(term: Column, salt: int) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(term, F.lit(salt)), 11).cast("double") + F.lit(0.5)) * F.lit(2.0**-53)
 
@@ -131,9 +143,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     # A document takes three seats of its block: its text, its edited text and, for the last of a block, the text that follows.
     seat = lambda v, t: F.struct((F.col("place") * 3 + v).alias("seat"), t.alias("t"))
     versions = rows.select("block", "doc_id", F.explode(F.array(seat(0, F.col("text")), seat(1, F.col("edited")), seat(2, F.when(F.col("last"), F.col("next_text"))))).alias("x")).where("x.t IS NOT NULL")
-    weighted = versions.select("block", "doc_id", "x.seat", F.explode_outer(terms(F.col("x.t"), width)).alias("e"))
-    term, weight = F.col("e").bitwiseAND(F.lit(-4)), F.col("e").bitwiseAND(F.lit(3)).cast("int") + 1
-    values = weighted.select("block", "doc_id", "seat", F.pmod(F.xxhash64(term, F.lit(6)), F.lit(bins)).cast("int").alias("bin"), sample_value(term, weight).alias("a"))
+    weighted = versions.select("block", "doc_id", "x.seat", F.explode_outer(units(terms(F.col("x.t"), width))).alias("term"))
+    term = F.col("term")
+    values = weighted.select("block", "doc_id", "seat", F.pmod(F.xxhash64(term, F.lit(6)), F.lit(bins)).cast("int").alias("bin"), F.when(term.isNotNull(), sample_value(term, F.lit(1))).alias("a"))
     least = values.groupBy("block", "doc_id", "seat", "bin").agg(F.min("a").alias("a"))
     digest = F.call_function("shiftleft", F.col("bin"), F.lit(16)).bitwiseOR(F.pmod(F.xxhash64("a"), F.lit(65536)).cast("int"))
     seated = least.select("block", "doc_id", F.floor(F.col("seat") / 3).cast("int").alias("place"), (F.col("seat") % 3).alias("v"), F.when(F.col("a").isNotNull(), digest).alias("d"))

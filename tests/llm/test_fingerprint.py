@@ -82,3 +82,15 @@ def test_edge_rows(edge_docs, no_docs):
     assert P.fingerprints(no_docs).count() == 0
     one = P.fingerprints(edge_docs.where("doc_id = 1")).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
+
+
+def test_texts_of_repeated_lines(spark):
+    """The likeness of texts whose few terms repeat often: no bias, and no text far off."""
+    rows = []
+    for d in range(60):
+        lines = [" ".join(f"w{d}x{k}x{i}" for i in range(8)) for k in range(5)]
+        rows.append((d, " ".join(lines * (3 + d % 4)) + " " + " ".join(f"u{d}x{i}" for i in range(50))))
+    got = {r.doc_id: r for r in P.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert check(rows, got) < 0.04
+    errors = [got[d].near_edited - jaccard(shingles(t), shingles(t[: len(t) - len(t) // 4] + after[: len(t) // 4])) for (d, t), (_, after) in zip(rows, rows[1:] + rows[:1])]
+    assert abs(sum(errors) / len(errors)) < 0.02 and max(map(abs, errors)) < 0.2
