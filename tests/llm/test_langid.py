@@ -1,3 +1,6 @@
+import random
+import string
+
 import numpy as np
 import zlib
 from pyspark.sql import functions as F
@@ -48,3 +51,24 @@ def test_foreign_script_is_rejected(spark):
     model = langid.fit(table(spark, SF, "documents"), row_key=F.col("doc_id"))
     far = spark.createDataFrame([(1, "съешь же ещё этих мягких французских булок да выпей чаю")], "doc_id long, text string")
     assert langid.predict(far, model).first().rejected
+
+
+UNKNOWN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "hu": "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+}
+
+
+def test_unknown_latin_script_and_random_letters_are_rejected_and_held_out_texts_kept(spark):
+    rnd = random.Random(5)
+    texts = list(UNKNOWN.values()) + [t[:60] for t in UNKNOWN.values()]
+    for n in (5, 20, 50, 200, 1000):
+        texts.append(" ".join("".join(rnd.choice(string.ascii_lowercase) for _ in range(rnd.randint(2, 9))) for _ in range(n)))
+    docs = table(spark, SF, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), row_key=F.col("doc_id"))
+    got = langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert [r.doc_id for r in got if not r.rejected] == []
+    kept = langid.predict(docs.where(langid.held_out(F.col("doc_id")) & F.col("text").rlike("[a-z]")), model)
+    assert kept.agg(F.avg(F.col("rejected").cast("int"))).first()[0] <= 0.01
