@@ -91,3 +91,19 @@ def test_parts_of_a_large_dialogue_make_the_whole(spark):
         mine = [r for r in small if r.speaker == s]
         assert "".join(r.text for r in mine) == text
         assert all(r.text[m.start : m.end].endswith(chat.END) for r in mine for m in r.mask)
+
+
+def as_key(r):
+    return r.conv_id, r.speaker, tuple(r.part), r.n_turns, r.n_spoken, r.text, [(m.start, m.end) for m in r.mask]
+
+
+def test_result_does_not_depend_on_the_number_of_rows(spark):
+    """Over 4096 rows in one block of turns: copies of few utterances, and different utterances that tie."""
+    few = [(1, i, "ab"[i % 2], f"t{i}") for i in range(200)]
+    many = [(2, i % 5, "abc"[i % 3], f"t{i}") for i in range(5000)] + [(2, 300 + i, "a", f"later {i}") for i in range(3)]
+    copies = chat.perspectives(spark.createDataFrame(few * 25, TURN_SCHEMA)).collect()
+    assert sorted(map(as_key, copies)) == sorted(map(as_key, chat.perspectives(spark.createDataFrame(few, TURN_SCHEMA)).collect()))
+    turns = spark.createDataFrame(many, TURN_SCHEMA)
+    got = sorted(map(as_key, chat.perspectives(turns).collect()))
+    assert [k[:4] for k in got] == [(2, s, (b, -1, -1), n) for s in "abc" for b, n in ((0, 5000), (1, 3))]
+    assert got == sorted(map(as_key, chat.perspectives(turns, part_rows=10**9).collect()))
