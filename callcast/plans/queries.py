@@ -1021,14 +1021,8 @@ from callcast.plans import calibrate as CAL  # noqa: E402
 _PRE_CALL_NUM = [x for x in ML.NUMERIC_COLUMNS if x != "duration"]
 
 
-# Multi-fit keys (dozens of fits) use light model sizes here, per the blueprint;
-# the library defaults keep the reference's sizes.
-_LIGHT = {"logistic": {"maxIter": 20}, "tree": {}, "forest": {"numTrees": 50}}
-
-
-def _pre_call_pipeline(kind: str, light: bool = False, **kw):
-    opts = {**(_LIGHT.get(kind, {}) if light else {}), **kw}
-    return ML.build_pipeline(kind, numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True, **opts)
+def _pre_call_pipeline(kind: str, **kw):
+    return ML.build_pipeline(kind, numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True, **kw)
 
 
 _SPLITS: dict = {}
@@ -1054,7 +1048,7 @@ def _calibration(spark, sf):
     if key in _CALIBRATIONS:
         return _CALIBRATIONS[key]
     dev = _dev_test(spark, sf)[0].drop("fold_44")
-    pipes = {m: _pre_call_pipeline(m, light=True) for m in ("logistic", "tree")}
+    pipes = {m: _pre_call_pipeline(m) for m in ("logistic", "tree")}
     _CALIBRATIONS[key] = CAL.cross_fit_calibration(dev, pipes, "fold_43", outer_k=5, inner_k=4, inner_seed_base=62)
     return _CALIBRATIONS[key]
 
@@ -1065,12 +1059,12 @@ register("calibration_strategy")(lambda spark, sf: CAL.choose_strategy(_calibrat
 
 def _align(spark, sf):
     dev = _dev_test(spark, sf)[0]
-    return CAL.align_probabilities({m: ML.oof_predict(dev, _pre_call_pipeline(m, light=True), "fold_43") for m in ("logistic", "tree")})
+    return CAL.align_probabilities({m: ML.oof_predict(dev, _pre_call_pipeline(m), "fold_43") for m in ("logistic", "tree")})
 
 
 register("align_probabilities")(_align)
 register("ablation")(
-    lambda spark, sf: CAL.ablation(_dev_test(spark, sf)[0].drop("fold_43"), "fold_44", "forest", numTrees=50)
+    lambda spark, sf: CAL.ablation(_dev_test(spark, sf)[0].drop("fold_43"), "fold_44", "forest", numTrees=300)
 )
 
 
@@ -1184,11 +1178,11 @@ def _model_selection(spark, sf):
     n = dev.count()
     cands = {
         f"weighted_logistic_C={c}": _pre_call_pipeline(
-            "logistic", light=True, scale=True, weight_col="weight", regParam=ML.c_to_reg_param(c, n), elasticNetParam=0.0, standardization=False
+            "logistic", scale=True, weight_col="weight", regParam=ML.c_to_reg_param(c, n), elasticNetParam=0.0, standardization=False
         )
         for c in WEIGHTED_LR_C
     }
-    return ML.cv_summary(ML.model_selection(dev, cands, ["fold_43"], k=5))
+    return ML.cv_summary(ML.model_selection(dev, cands, ["fold_43", "fold_44"], k=5))
 
 
 register("model_selection")(_model_selection)
@@ -1200,11 +1194,11 @@ def _model_zoo(spark, sf):
     dev, test = _dev_test(spark, sf)
     dev = dev.drop("fold_43", "fold_44")
     zoo = {
-        "random_forest": _pre_call_pipeline("forest", light=True, maxDepth=8, minInstancesPerNode=5),
-        "gradient_boosting": _pre_call_pipeline("gbt", maxIter=20, maxDepth=4, stepSize=0.08),
+        "random_forest": _pre_call_pipeline("forest", maxDepth=8, minInstancesPerNode=5),
+        "gradient_boosting": _pre_call_pipeline("gbt", maxIter=250, maxDepth=4, stepSize=0.08),
         "boosting_native_categoricals": ML.build_pipeline(
             "gbt", numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True, one_hot=False,
-            maxIter=20, maxDepth=4, stepSize=0.03, maxBins=64,
+            maxIter=400, maxDepth=4, stepSize=0.03, maxBins=64,
         ),
     }
     frames = []
