@@ -26,8 +26,6 @@ age,job,marital,education,default,balance,housing,loan,contact,day,month,duratio
 44,blue-collar,married,primary,no,310,yes,no,unknown,21,may,130,2,-1,0,unknown,no
 """
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF
+from sf_dirs import SF
 
 KEYS = [
     "avg_balance_by_job", "group_rates", "crosstab_contact_y", "top_jobs_profile", "balance_anomalies",

@@ -14,7 +14,7 @@ from callcast.sources.sinks import create_csv_table, save_report, save_tsv
 from callcast.streaming import jobs as SJ
 from callcast.operators import reports as R
 
-from conftest import SF
+from sf_dirs import SF
 
 
 def test_bootstrap_is_partition_independent(spark):

@@ -7,7 +7,7 @@ from callcast.sources.contacts import contacts
 from callcast.sources.strict import scan_strict
 from callcast.sources.tables import scan_contacts
 
-from conftest import SF
+from sf_dirs import SF
 
 
 def test_stratified_split_exact_and_complete(spark):
