@@ -20,14 +20,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs).where("NOT rejected").select(*docs.columns)
 
 
+#: Window of the repeated passages in bytes: a passage of 51 words of three letters and a blank has 204.
+PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicate documents the one with the smallest doc_id stays."""
+    """Of each group of near-duplicate documents the one with the smallest doc_id stays.
+
+    Groups are closed over chains of links, so a document may go whose own likeness
+    to the one that stays is below the limit.
+    """
     return jaccard_join.keep_first(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose every passage of 400 bytes or more that occurs again; documents of which nothing is left go."""
-    cut = suffix_dedup.deduplicate(docs, as_text=True)
+    """Texts lose every passage of PASSAGE_BYTES or more that occurs again; documents of which nothing is left go."""
+    cut = suffix_dedup.deduplicate(docs, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, as_text=True)
     left = cut.where((F.col("n_removed") == 0) | (F.length("kept") > 0))
     changed = F.col("n_removed") > 0
     return left.withColumns(
