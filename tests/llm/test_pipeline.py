@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_queries_are_registered():
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(ORACLE) <= set(E.oracle_sql())
     assert [s for s, _ in C.STAGES] == ["language_id", "near_duplicates", "suffix_array_dedup", "benchmark_decontamination", "source_mixture"]
@@ -48,13 +48,26 @@ def test_near_duplicate_stage(stages):
 def test_repeated_passage_stage(stages):
     before = sorted((r.doc_id, r.text, r.n_chars) for r in stages["near_duplicates"].collect())
     want = {}
-    for (d, t, n), (size, gone, _, kept) in zip(before, cut_brute([t.encode() for _, t, _ in before], 400)):
+    for (d, t, n), (size, gone, _, kept) in zip(before, cut_brute([t.encode() for _, t, _ in before], C.PASSAGE_BYTES)):
         text = kept.decode("utf-8", "ignore") if gone else t
         if text or not gone:
             want[d] = (text, len(text) if gone else n)
     assert {r.doc_id: (r.text, r.n_chars) for r in stages["suffix_array_dedup"].collect()} == want
 
 
+def test_passages_of_51_short_words_go_and_clean_texts_stay_whole(spark):
+    word = lambda seed: " ".join(f"{chr(97 + (i * seed) % 26)}{chr(97 + (i * seed // 26) % 26)}{chr(97 + (i * i + seed) % 26)}" for i in range(51))
+    shared = word(7)
+    own = [" ".join(f"x{d}y{i * 31 % 997}" for i in range(120)) for d in range(6)]
+    rows = [(d, f"{own[d]} {shared} {d}end" if d < 3 else own[d], "en", "a", 1) for d in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.text for r in C.repeated_passages(spark, docs, SF).collect()}
+    assert len(shared.split()) == 51 and len(shared) == 203
+    for d in range(6):
+        assert (shared[3:-3] not in kept[d]) and own[d][:-4] in kept[d]
+    assert all(kept[d] == own[d] for d in range(3, 6))
+
+
 def test_decontamination_stage(spark, stages):
     items = [r.text for r in table(spark, SF, "benchmark").collect()]
     before = {r.doc_id: r.text for r in stages["suffix_array_dedup"].collect()}
