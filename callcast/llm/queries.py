@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import chat, decontaminate, fingerprint, jaccard_join, langid, licenses, mixing, suffix_dedup, url_filter, warc
+from callcast.llm import chat, decontaminate, fingerprint, jaccard_join, langid, licenses, mixing, suffix_dedup, toxicity, url_filter, warc
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,3 +250,14 @@ o AS (
 SELECT conv_id, speaker, part, COUNT(*) AS n_turns, COUNT(*) FILTER (own) AS n_spoken, string_agg(head || body, '' ORDER BY turn) AS text,
   coalesce(string_agg((stop - length(body))::BIGINT || ':' || (stop - 1)::BIGINT, ',' ORDER BY turn) FILTER (own), '') AS mask
 FROM o GROUP BY conv_id, speaker, part"""
+
+
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learnt from the labels of four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", F.size("matches").alias("n_matches")
+    )
+
+
+QUERIES["op11_toxicity"] = op11_toxicity
