@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callcast.llm import chat, decontaminate, fingerprint, jaccard_join, langid, licenses, mixing, suffix_dedup, toxicity, url_filter, warc
+from callcast.llm import chat, decontaminate, fingerprint, jaccard_join, langid, licenses, mixing, suffix_dedup, toxicity, url_filter, warc, whitening
 from callcast.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -261,3 +261,11 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op11_toxicity"] = op11_toxicity
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First eight whitened components of every usable embedding."""
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=8)
+
+
+QUERIES["op12_whitening"] = op12_whitening
