@@ -75,6 +75,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``materialize``, and the path, for tables that ``discard`` removes later."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove intermediate tables that a later table has replaced (nothing may still read them).
+
+    The JVM collects its garbage once, so that Spark's cleaner also drops the shuffle files of
+    plans that nobody holds any more.
+    """
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    spark._jvm.System.gc()
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
