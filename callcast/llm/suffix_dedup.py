@@ -51,7 +51,7 @@ from pyspark.sql import types as T
 
 from callcast.llm.merge import front_code, front_decode, merge_runs
 from callcast.llm.textops import mix, rolling
-from callcast.session import materialize, ship_package
+from callcast.session import discard, materialize, ship_package, written
 
 LENGTH = 400
 GRAM = 64
@@ -369,9 +369,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
     """(did, uid, spans) of docs (did, uid, body): an array of (start, end) of bytes that repeat; they may overlap."""
     if not 0 < gram <= length or length - gram > 1000:
         raise ValueError("gram must be at most length and at least length - 1000")
-    seg = materialize(text_segments(docs, length, gram), "suffix-segments")
-    often = materialize(seg.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "suffix-anchors")
-    seg = materialize(seg.join(often, "anchor"), "suffix-candidates")
+    spark = docs.sparkSession
+    every, every_path = written(text_segments(docs, length, gram), "suffix-segments")
+    often, often_path = written(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "suffix-anchors")
+    seg = materialize(every.join(often, "anchor"), "suffix-candidates")
+    del every, often
+    discard(spark, every_path, often_path)
     place = F.col("place")
     entry = seg.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("copies"), F.first("anchor").alias("anchor"), F.first("did").alias("did"), F.first("uid").alias("uid"), F.first("place").alias("place"))
     asked = entry.groupBy("did", "uid").agg(F.collect_list(F.struct("t1", "t2", "anchor", "copies", "place")).alias("asked"))
@@ -379,7 +382,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
         x["t1"].alias("t1"), x["t2"].alias("t2"), x["anchor"].alias("anchor"), x["copies"].alias("copies"), _before(x["place"]).cast("int").alias("before"),
         F.substring(F.col("body"), (_start(x["place"]) + 1).cast("int"), (_windows(x["place"]) + length - 1).cast("int")).alias("body"),
     )
-    entries = materialize(
+    entries, entries_path = written(
         docs.where(F.length("body") >= length).select("did", "uid", "body").join(asked, ["did", "uid"]).select(F.explode(F.transform("asked", cut)).alias("e")).select("e.*"),
         "suffix-entries",
     )
@@ -389,6 +392,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
     proven = forward.select("t1", "t2", pairs.alias("pairs"))
     open_anchor = forward.where("unseen > 0").select("t1", "t2").join(entries.select("t1", "t2", "anchor"), ["t1", "t2"]).select("anchor").distinct()
     hot = materialize(entries.join(open_anchor, "anchor"), "suffix-hot")
+    del entries, open_anchor
+    discard(spark, entries_path)
     if not hot.isEmpty():
         backward = materialize(merge_sort(hot, length, gram, reach, True, range_bytes), "suffix-backward")
         proven = proven.union(backward.select("t1", "t2", pairs.alias("pairs")))
@@ -409,7 +414,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
         same = windows.groupBy("anchor", "need", "window").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         met = windows.join(same, ["anchor", "need", "window"]).select("t1", "t2", F.array(F.struct(F.col("need").alias("lo"), F.col("need").alias("hi"))).alias("pairs"))
         proven = proven.union(met)
-    proven = proven.where(F.size("pairs") > 0).groupBy("t1", "t2").agg(union(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    # A table of its own, so that the join below reads two plain exchanges and a hot segment is split (AQE).
+    proven = materialize(proven.where(F.size("pairs") > 0).groupBy("t1", "t2").agg(union(F.flatten(F.collect_list("pairs"))).alias("pairs")), "suffix-proven")
     anchor_at = _start(place) + _before(place)
     spans = F.transform("pairs", lambda p: F.struct((anchor_at - p["hi"]).alias("a"), (anchor_at - p["lo"] + length).alias("z")))
     marked = seg.select("did", "uid", "place", "t1", "t2").join(proven, ["t1", "t2"]).select("did", "uid", spans.alias("spans"))
