@@ -82,7 +82,7 @@ def encode(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str = "label", id_col: str = "contact_id",
     folds: Sequence[str] = (), levels=None, max_levels: int = 1000, seed: int = 42,
 ) -> Design:
-    """Rows of ``df`` in packed blocks, in the order of md5(id-seed).  A null number is NaN, a null or unknown level -1."""
+    """Rows of ``df`` in packed blocks, in the order of md5(id-seed).  A null number is NaN, a null or unknown level and a null fold -1."""
     ship_package(df.sparkSession)
     levels = level_lists(df, categorical, max_levels) if levels is None else levels
     code = lambda c, known: F.coalesce(F.array_position(F.array(*[F.lit(v) for v in known]).cast("array<string>"), F.col(c)), F.lit(0)).cast("int") - 1
@@ -90,7 +90,7 @@ def encode(
         F.col(id_col).cast("long").alias("id"), F.col(label).cast("double").alias("y"),
         F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric]).cast("array<double>").alias("num"),
         F.array(*[code(c, known) for c, known in zip(categorical, levels)]).cast("array<int>").alias("cat"),
-        F.array(*[F.col(c).cast("int") for c in folds]).cast("array<int>").alias("folds"),
+        F.array(*[F.coalesce(F.col(c).cast("int"), F.lit(-1)) for c in folds]).cast("array<int>").alias("folds"),
         md5_key(id_col, seed).alias("h"),
     )
     rows = rows.repartitionByRange("h").sortWithinPartitions("h", "id").withColumn("part", F.spark_partition_id())
@@ -178,6 +178,7 @@ class Learnt:
 
 def learn(design: Design, df: DataFrame, fits: Sequence[Fit], label: str = "label", bins: int = 32) -> list[Learnt]:
     """``df`` holds the columns of the design; one row per fold cell and column is aggregated, then merged per training set."""
+    df = df.withColumns({c: F.coalesce(F.col(c).cast("int"), F.lit(-1)) for c in design.folds}) if design.folds else df
     cells = [F.col(c) for c in design.folds]
     probs = [0.25, 0.5, 0.75, *(k / bins for k in range(1, bins))]
     per_cell = df.groupBy(*cells).agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(KLL_K)).alias(f"s{i}") for i, c in enumerate(design.numeric)]) if design.numeric else None
@@ -261,7 +262,13 @@ def features(design: Design, fits: Sequence[Fit], learnt: Sequence[Learnt], make
                     x = make(*filled(num[use], cat[use], s), s)
                     yield feature_row(k, row["block"], ids[use], y[use], train[use], score[use], x)
 
-    return materialize(design.blocks.mapInArrow(run, FEATURES), name)
+    return materialize(dealt(design.blocks.mapInArrow(run, FEATURES), design.blocks), name)
+
+
+def dealt(rows: DataFrame, source: DataFrame) -> DataFrame:
+    """Feature rows of a table too small for all cores, dealt evenly over them; a larger one stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if source.rdd.getNumPartitions() < cores else rows
 
 
 def opened(row: dict, kind) -> tuple[np.ndarray, ...]:

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from callcast.learn.design import FEATURES, Design, Fit, Learnt, feature_row, filled, summed, unpack
+from callcast.learn.design import FEATURES, Design, Fit, Learnt, dealt, feature_row, filled, summed, unpack
 from callcast.session import materialize
 
 
@@ -99,8 +99,41 @@ def with_statistics(design: Design, fits: Sequence[Fit], learnt: Sequence[Learnt
                     if use.any():
                         yield emit(k, row["block"], ids[use], y[use], train[use], score[use], make(num[use], codes[use], values[use], s))
 
-    dealt = design.blocks.repartition("part").sortWithinPartitions("part", "block")
-    return materialize(dealt.mapInArrow(run, schema), name)
+    in_order = design.blocks.repartition("part").sortWithinPartitions("part", "block")
+    return materialize(dealt(in_order.mapInArrow(run, schema), design.blocks), name)
+
+
+def level_totals(design: Design, fits: Sequence[Fit], learnt: Sequence[Learnt]) -> np.ndarray:
+    """Training sets x levels of all columns x (sum of labels, rows): what a new row's statistics are made of."""
+    sizes = [len(v) for v in design.levels]
+    light = Design(None, design.numeric, design.categorical, design.levels, design.folds)
+    sent = design.blocks.sparkSession.sparkContext.broadcast((light, list(fits), list(learnt)))
+
+    def work(batches):
+        d, sets, stats = sent.value
+        total = np.zeros((len(sets), sum(sizes), 2))
+        for b in batches:
+            for row in b.to_pylist():
+                _, y, num, cat, folds = unpack(row, d)
+                for k, (fit, s) in enumerate(zip(sets, stats)):
+                    train = fit.trains(folds)
+                    total[k] += _level_sums(filled(num, cat, s)[1][train], y[train], sizes)
+        return {0: total.ravel()}
+
+    got = summed(design.blocks, work, len(fits) * sum(sizes) * 16)
+    return got[0].reshape(len(fits), sum(sizes), 2)
+
+
+def statistics_of_new(codes: np.ndarray, totals: np.ndarray, s: Learnt, weight: float = 1.0) -> np.ndarray:
+    """The statistics of rows that are not trained on."""
+    prior = s.counts[1] / max(1.0, s.counts.sum())
+    out, at = np.full(codes.shape, prior), 0
+    for j, known in enumerate(s.known):
+        ok = codes[:, j] >= 0
+        pair = totals[at + codes[ok, j]]
+        out[ok, j] = (pair[:, 0] + weight * prior) / (pair[:, 1] + weight)
+        at += len(known)
+    return out
 
 
 def statistics_rows(design: Design, fits: Sequence[Fit], learnt: Sequence[Learnt], weight: float = 1.0) -> DataFrame:

@@ -24,6 +24,7 @@ from typing import Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,25 +156,72 @@ def class_masses(rows: DataFrame, fits: int, n_trees: int, seed: int) -> dict[in
     return {k: v.reshape(n_trees, 2) for k, v in summed(rows, work, fits * n_trees * 16).items()}
 
 
-def node_features(key: tuple, n_choices: int, take: int) -> np.ndarray:
-    """The order in which a node looks at its choices (numbers, and levels one by one)."""
-    return np.random.default_rng([abs(int(k)) for k in key]).permutation(n_choices)
-
-
-def forest_split(hist, is_level, choices, min_rows, key, take):
-    """Best split among the first ``take`` features of the node's own order; further ones only while none of them splits."""
-    gain, left = gains(hist, is_level, 0.0, min_rows)
-    by_choice = np.array([gain[f, c] if c >= 0 else gain[f].max() for f, c in choices])
-    order = node_features(key, len(choices), take)
-    good = by_choice[order] > 1e-12
-    if not good.any():
-        return None
-    last = max(take, int(good.argmax()) + 1)
-    k = order[:last][first_best(by_choice[order[:last]])]
-    f, c = choices[k]
-    cut = c if c >= 0 else first_best(gain[f])
-    total = hist[0].sum(axis=0)
-    return float(gain[f, cut]), f, cut, left[f, cut], total - left[f, cut]
+_MUL = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        for mul in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            x = x ^ (x >> np.uint64(33))
+            x = x * np.uint64(mul)
+        return x ^ (x >> np.uint64(33))
+
+
+def node_orders(seed: int, fit: int, tree: int, paths: Sequence[int], n_choices: int) -> np.ndarray:
+    """The order in which each node looks at its choices (numbers, and levels one by one): a hash of the tree and the node's path."""
+    with np.errstate(over="ignore"):
+        base = _mixed(np.array([seed * 1_000_003 + fit, tree], dtype=np.uint64) * _MUL + np.array([1, 2], dtype=np.uint64)).sum()
+        own = _mixed(np.array(paths, dtype=np.uint64) * _MUL + base)
+        return np.argsort(_mixed(own[:, None] + np.arange(1, n_choices + 1, dtype=np.uint64) * _MUL), axis=1, kind="stable")
+
+
+def _first_best_rows(values: np.ndarray) -> np.ndarray:
+    top = values.max(axis=1)
+    finite = np.where(np.isfinite(top), top, 0.0)
+    return (values >= (finite - 1e-9 * np.maximum(1.0, np.abs(finite)))[:, None]).argmax(axis=1)
+
+
+def forest_splits(hists: np.ndarray, choices: list, min_rows: int, seed: int, fit: int, tree: int, paths: Sequence[int], take: int) -> list:
+    """Per node: the best split among the first ``take`` choices of its own order, or of the first later choice that splits at all; or None."""
+    n, n_bins = len(hists), hists.shape[2]
+    feature, level = np.array(choices).T
+    orders = node_orders(seed, fit, tree, paths, len(choices))
+    out: list = [None] * n
+    totals = hists[:, 0].sum(axis=1)
+
+    def look(at: np.ndarray, picks: np.ndarray, one: bool) -> np.ndarray:
+        """Fills ``out`` for the nodes ``at``; returns those without a split."""
+        f, c = feature[picks], level[picks]
+        part = hists[at[:, None], f]  # nodes x picks x bins x 3
+        left = np.where((c >= 0)[:, :, None, None], part, np.cumsum(part, axis=2))
+        total = totals[at][:, None, None]
+        right = total - left
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = left[..., 0] ** 2 / left[..., 1] + right[..., 0] ** 2 / right[..., 1] - (total[..., 0] ** 2 / total[..., 1])
+        rows = max(1, min_rows)
+        ok = (left[..., 2] >= rows) & (right[..., 2] >= rows) & (left[..., 1] > 1e-9) & (right[..., 1] > 1e-9) & np.isfinite(gain)
+        bins = np.arange(n_bins)
+        ok &= np.where((c >= 0)[:, :, None], bins == c[:, :, None], bins < n_bins - 1)
+        gain = np.where(ok, gain, -np.inf)
+        if one:  # only the first choice that splits
+            good = gain.max(axis=2) > 1e-12
+            first = good.argmax(axis=1)
+            gain = np.where((np.arange(gain.shape[1]) == first[:, None])[:, :, None], gain, -np.inf)
+        flat = gain.reshape(len(at), -1)
+        best = _first_best_rows(flat)
+        found = flat[np.arange(len(at)), best] > 1e-12
+        for i in np.flatnonzero(found):
+            k, cut = divmod(int(best[i]), n_bins)
+            lo = left[i, k, cut]
+            out[at[i]] = (float(flat[i, best[i]]), int(f[i, k]), cut, lo, totals[at[i]] - lo)
+        return at[~found]
+
+    for z in range(0, n, 256):  # bounded memory
+        at = np.arange(z, min(n, z + 256))
+        rest = look(at, orders[at, :take], False)
+        if len(rest) and take < len(choices):
+            look(rest, orders[rest, take:], True)
+    return out
 
 
 def _choices(is_level: np.ndarray, levels: Sequence[int]) -> list[tuple[int, int]]:
@@ -194,33 +242,32 @@ def _share(sums: np.ndarray) -> float:
     return 0.0 if p < 1e-12 else 1.0 if p > 1 - 1e-12 else p
 
 
-def grow_locally(bins, y, w, is_level, choices, min_rows, key, take, n_bins, depth: int, max_nodes: int) -> Tree:
-    """A whole subtree from the rows of its root, level by level; ``key`` ends with the root's path number."""
+def grow_locally(bins, y, w, is_level, choices, min_rows, key, path, take, n_bins, max_nodes: int) -> Tree:
+    """A whole subtree from the rows of its root, level by level; ``key``: seed, training set and tree, ``path``: the root's place in it."""
     tree = Tree()
-    tree.value[0] = float((w * y).sum() / w.sum()) if w.sum() > 0 else 0.0
-    tree.depth[0] = depth
+    tree.value[0] = _share(np.array([(w * y).sum(), w.sum()])) if w.sum() > 0 else 0.0
     node = np.zeros(len(bins), dtype=np.int64)
-    paths, active = {0: key[-1]}, [0]
+    paths, active = {0: path}, [0]
     while active and len(tree.feature) < max_nodes:
         slot = np.full(len(tree.feature), -1)
         slot[active] = np.arange(len(active))
         hist = histogram(bins, slot[node], w * y, w, len(active), n_bins)
-        found = []
-        for k, at in enumerate(active):
-            got = forest_split(hist[k], is_level, choices, min_rows, (*key[:-1], paths[at]), take)
+        following = []
+        for at, got in zip(active, forest_splits(hist, choices, min_rows, *key, [paths[at] for at in active], take)):
             if got is None:
                 continue
             _, f, cut, lo, hi = got
             a, z = tree.split(at, f, cut, bool(is_level[f]), (_share(lo), _share(hi)))
             paths[a], paths[z] = 2 * paths[at] % (1 << 61), (2 * paths[at] + 1) % (1 << 61)
-            found += [(v, s) for v, s in ((a, lo), (z, hi)) if s[2] >= 2 * min_rows and 0 < _share(s) < 1]
+            following += [v for v, s in ((a, lo), (z, hi)) if s[2] >= 2 * min_rows and 0 < _share(s) < 1]
         full = tree.arrays()
-        moved = full[0][node] >= 0
-        at = np.flatnonzero(moved)
+        at = np.flatnonzero(full[0][node] >= 0)
         k = node[at]
         b = bins[at, full[0][k]]
         node[at] = np.where(np.where(full[2][k], b == full[1][k], b <= full[1][k]), full[3][k], full[4][k])
-        active = [v for v, _ in found]
+        active = following
+        use = np.isin(node, active)
+        bins, y, w, node = bins[use], y[use], w[use], node[use]
     return tree
 
 
@@ -285,7 +332,7 @@ def fit_forest(
             if slot not in got:
                 continue
             hist, tree = got[slot].reshape(len(is_level), n_bins, 3), trees[k]
-            split = forest_split(hist, is_level, choices, min_leaf[k[1]], (seed, k[0], k[2], path[k][node]), take) if len(tree.feature) < max_nodes else None
+            split = forest_splits(hist[None], choices, min_leaf[k[1]], seed, k[0], k[2], [path[k][node]], take)[0] if len(tree.feature) < max_nodes else None
             if split is None:
                 continue
             _, f, cut, lo, hi = split
@@ -335,7 +382,7 @@ def _finish(rows, trees, path, local, masses, min_leaf, seed, is_level, choices,
             f, m, t, node = map(int, key.split("/"))
             y, w = (np.concatenate([np.frombuffer(h[c], np.float64) for h in held]) for c in ("y", "w"))
             bins = np.concatenate([np.frombuffer(h["bins"], np.uint8).reshape(-1, len(is_level)) for h in held])
-            sub = grow_locally(bins, y, w, is_level, choices, min_leaf[m], (seed, f, t, keys.value[((f, m, t), node)]), take, n_bins, 0, max_nodes)
+            sub = grow_locally(bins, y, w, is_level, choices, min_leaf[m], (seed, f, t), keys.value[((f, m, t), node)], take, n_bins, max_nodes)
             cols = sub.arrays()
             return pa.RecordBatch.from_arrays([pa.array([key]), *(pa.array([c.astype(np.float64).tolist()], pa.list_(pa.float64())) for c in cols[:6])], names=["key", "feature", "cut", "equal", "left", "right", "value"])
 
@@ -438,7 +485,7 @@ def fit_boosting(rows: DataFrame, learnt: Sequence[Learnt], n_numeric: int, cand
     weights = [s.weights for s in learnt]
     keys = [(f, c) for f in range(len(learnt)) if learnt[f].counts.sum() > 0 for c in range(len(candidates))]
     done: dict[tuple[int, int], list[Tree]] = {k: [] for k in keys}
-    table = rows.withColumn("raw", F.lit(None).cast("binary"))
+    table = rows.withColumn("raw", F.lit(None).cast("binary")).persist(StorageLevel.MEMORY_AND_DISK)  # read by every job; a lost part is read again from the written features
     pending = {k: [] for k in keys}
     run_id = uuid.uuid4().hex
 
@@ -494,9 +541,11 @@ def fit_boosting(rows: DataFrame, learnt: Sequence[Learnt], n_numeric: int, cand
             done[k].append(tree)
             pending[k].append(tree.arrays())
         if (r + 1) % refresh == 0 and r + 1 < rounds:
-            table = _refreshed(table, pending, len(candidates))
+            old, table = table, _refreshed(table, pending, len(candidates)).persist(StorageLevel.MEMORY_AND_DISK)
+            old.unpersist()
             pending = {k: [] for k in keys}
             run_id = uuid.uuid4().hex
+    table.unpersist()
     return done
 
 

@@ -946,9 +946,15 @@ _OOF: dict = {}
 
 
 def _oof(spark, sf):
+    """(contact_id, fold, label, p): out-of-fold probabilities of the class-weighted logistic regression."""
+    from callcast.learn import design as D
+    from callcast.learn import strategy as S
+
     key = (spark.sparkContext.applicationId, sf)
     if key not in _OOF:
-        _OOF[key] = ML.oof_predict(_folded_contacts(spark, sf), _pre_call_pipeline("logistic"), "fold_43")
+        ready = S.prepare(_folded_contacts(spark, sf), _PRE_CALL_NUM, ML.CATEGORICAL_COLUMNS, ["fold_43"])
+        scores = S.fold_scores([S.Family("logistic", "logistic", ((0.2,),))], ready, [D.Fit(str(v), ((0, v),)) for v in range(5)])
+        _OOF[key] = scores.select(_F.col("id").alias("contact_id"), _F.col("fit").alias("fold"), "label", "p")
     return _OOF[key]
 
 
@@ -963,22 +969,6 @@ register(
 )(lambda spark, sf: _oof(spark, sf).select("contact_id", "fold", "label", _F.col("p").between(0, 1).alias("is_probability")))
 
 
-def _cv_summary(spark, sf):
-    c = _folded_contacts(spark, sf)
-    rows = []
-    for name in ("logistic", "tree"):
-        oof = ML.oof_predict(c, _pre_call_pipeline(name), "fold_42")
-        for r in EV.ranking_metrics_by(oof, ["fold"]).collect():  # one row per fold
-            rows.append((name, int(r["fold"]), float(r["average_precision"])))
-    # The prior baseline: every row of a fold gets the prevalence of the other folds;
-    # a constant score has AP equal to the fold's own positive rate.
-    prior = c.groupBy("fold_42").agg(_F.sum("label").alias("pos"), _F.count(_F.lit(1)).alias("n"))
-    for r in prior.collect():  # one row per fold
-        rows.append(("prior", int(r["fold_42"]), float(r["pos"]) / float(r["n"])))
-    return ML.cv_summary(spark.createDataFrame(rows, "model string, fold int, score double"))
-
-
-register("cv_summary")(_cv_summary)
 # The prior baseline on its own: a constant score has an average precision equal to the fold's positive rate.
 register(
     "prior_baseline",
@@ -1015,9 +1005,6 @@ def _stream_predict(spark, sf):
 register("stream_predict")(_stream_predict)
 
 # ---------------------------------------------------------------- calibration, ablation, importance, bootstrap
-from callcast.operators import resample as RS  # noqa: E402
-from callcast.plans import calibrate as CAL  # noqa: E402
-
 _PRE_CALL_NUM = [x for x in ML.NUMERIC_COLUMNS if x != "duration"]
 
 
@@ -1040,67 +1027,6 @@ def _dev_test(spark, sf):
     return _SPLITS[key]
 
 
-_CALIBRATIONS: dict = {}
-
-
-def _calibration(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _CALIBRATIONS:
-        return _CALIBRATIONS[key]
-    dev = _dev_test(spark, sf)[0].drop("fold_44")
-    pipes = {m: _pre_call_pipeline(m) for m in ("logistic", "tree")}
-    _CALIBRATIONS[key] = CAL.cross_fit_calibration(dev, pipes, "fold_43", outer_k=5, inner_k=4, inner_seed_base=62)
-    return _CALIBRATIONS[key]
-
-
-register("calibration_summary")(lambda spark, sf: _calibration(spark, sf)[1])
-register("calibration_strategy")(lambda spark, sf: CAL.choose_strategy(_calibration(spark, sf)[1]))
-
-
-def _align(spark, sf):
-    dev = _dev_test(spark, sf)[0]
-    return CAL.align_probabilities({m: ML.oof_predict(dev, _pre_call_pipeline(m), "fold_43") for m in ("logistic", "tree")})
-
-
-register("align_probabilities")(_align)
-register("ablation")(
-    lambda spark, sf: CAL.ablation(_dev_test(spark, sf)[0].drop("fold_43"), "fold_44", "forest", numTrees=300)
-)
-
-
-def _final(spark, sf):
-    dev, test = _dev_test(spark, sf)
-    return _pre_call_pipeline("logistic").fit(dev.drop("fold_43", "fold_44")), dev, test
-
-
-def _perm(spark, sf):
-    model, _, test = _final(spark, sf)
-    raw = [c for c in ML.NUMERIC_COLUMNS + ML.CATEGORICAL_COLUMNS if c != "duration"]
-    return CAL.permutation_importance(model, test, raw, repeats=10, top=12)
-
-
-register("permutation_importance")(_perm)
-
-
-def _boot(spark, sf):
-    model, dev, test = _final(spark, sf)
-    thr = EV.best_f1_threshold(ML.positive_probability(model.transform(dev))).first()["threshold"]
-    return RS.bootstrap_ci(ML.positive_probability(model.transform(test)).select("contact_id", "label", "p"), thr, n_boot=1000)
-
-
-register("bootstrap_ci")(_boot)
-
-
-def _roundtrip(spark, sf):
-    from callcast.session import scratch_path
-
-    model, _, test = _final(spark, sf)
-    return CAL.artifact_roundtrip(model, test, scratch_path(spark, "artifacts"),
-                                  {"threshold": 0.5, "strategy": "single", "columns": ML.CATEGORICAL_COLUMNS})
-
-
-register("artifact_roundtrip")(_roundtrip)
-
 # ---------------------------------------------------------------- 2.13 partitioning (result unchanged)
 from callcast.session import env_int  # noqa: E402
 
@@ -1168,47 +1094,5 @@ register(
 )(_eda_summary)
 
 
-# The class-weighted logistic grid of inverse strengths.
-WEIGHTED_LR_C = (0.05, 0.2, 1.0, 5.0)
-# End of fixed values.
-
-
-def _model_selection(spark, sf):
-    dev = ML.balanced_weights(_dev_test(spark, sf)[0])
-    n = dev.count()
-    cands = {
-        f"weighted_logistic_C={c}": _pre_call_pipeline(
-            "logistic", scale=True, weight_col="weight", regParam=ML.c_to_reg_param(c, n), elasticNetParam=0.0, standardization=False
-        )
-        for c in WEIGHTED_LR_C
-    }
-    return ML.cv_summary(ML.model_selection(dev, cands, ["fold_43", "fold_44"], k=5))
-
-
-register("model_selection")(_model_selection)
-
-
-def _model_zoo(spark, sf):
-    """Random forest, gradient boosting and boosting on native (indexed) categoricals,
-    fitted on the development rows and scored on the test rows: AP and ROC-AUC."""
-    dev, test = _dev_test(spark, sf)
-    dev = dev.drop("fold_43", "fold_44")
-    zoo = {
-        "random_forest": _pre_call_pipeline("forest", maxDepth=8, minInstancesPerNode=5),
-        "gradient_boosting": _pre_call_pipeline("gbt", maxIter=250, maxDepth=4, stepSize=0.08),
-        "boosting_native_categoricals": ML.build_pipeline(
-            "gbt", numeric=_PRE_CALL_NUM, clip=False, features=True, impute=True, one_hot=False,
-            maxIter=400, maxDepth=4, stepSize=0.03, maxBins=64,
-        ),
-    }
-    frames = []
-    for name, pipe in zoo.items():
-        scored_test = ML.positive_probability(pipe.fit(dev).transform(test)).select("label", "p")
-        frames.append(EV.ranking_metrics(scored_test).select(_F.lit(name).alias("model"), "*"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-register("model_zoo")(_model_zoo)
+# ---------------------------------------------------------------- comparison, calibration, frozen strategy
+from callcast.plans import strategy_queries  # noqa: E402, F401

@@ -241,7 +241,7 @@ def test_forest_is_the_same_however_nodes_are_split(made):
                     want[at] = (ww * yy).sum() / ww.sum()
                     if len(at) < 2 * leaf or want[at[0]] in (0.0, 1.0):
                         return
-                    seen, best = T.node_features((42, f, t, path), len(choices), take), None
+                    seen, best = T.node_orders(42, f, t, [path], len(choices))[0], None
                     for k, pick in enumerate(seen):
                         got = plain_split(bb, ww * yy, ww, [choices[pick]], 0.0, leaf, 1e-9)
                         if got and got[0] > 1e-12 and (best is None or got[0] > best[0] + 1e-9):

@@ -1,41 +1,105 @@
+"""Registered model keys have the full sizes and grids; their steps on a small table."""
+
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
+
+from callcast.learn import strategy as S
+from callcast.plans import strategy_queries as Q
+from callcast.plans.queries import QUERIES
+
+
+def test_registered_families_have_full_sizes_and_grids():
+    assert (len(S.LOGISTIC.grid), len(S.FOREST.grid), len(S.LEAFWISE.grid), len(S.NATIVE.grid)) == (4, 4, 8, 8)
+    assert (S.FOREST.size, S.LEAFWISE.size, S.NATIVE.size) == (300, 250, 400) == (Q.FOREST.size, Q.LEAFWISE.size, Q.NATIVE.size)
+    assert Q.REPEATS == ["fold_43", "fold_44"]
+    for small, whole in ((Q.LOGISTIC, S.LOGISTIC), (Q.FOREST, S.FOREST), (Q.LEAFWISE, S.LEAFWISE), (Q.NATIVE, S.NATIVE)):
+        assert small.grid[0] in whole.grid
+    assert {"model_selection", "model_comparison", "model_zoo", "calibration_summary", "heldout_strategy", "artifact_roundtrip"} <= set(QUERIES)
+
+
+FAMILIES = [S.Family("Logistic Regression", "logistic", ((0.2,),)), S.Family("Random Forest", "forest", ((4, 2), (None, 5)), 12), S.Family("Native Categorical Boosting", "native", ((3, 0.2, 3.0),), 6)]
+NUM, CAT = ["age", "balance", "campaign", "pdays", "previous", "day"], ["job", "contact", "month", "poutcome"]
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    r = np.random.default_rng(1)
+    n = 700
+    job, contact = r.choice(["a", "b", "c"], n), r.choice(["cellular", "unknown"], n)
+    pout, month = r.choice(["success", "failure", "unknown"], n), r.choice(["jan", "may", "dec"], n)
+    x = r.normal(size=n)
+    y = r.random(n) < 1 / (1 + np.exp(-(1.2 * x + 1.5 * (pout == "success") - 1)))
+    rows = [(i, float(y[i]), 30 + int(i % 40), float(100 * x[i]) if i % 31 else None, 1 + i % 5, -1 if i % 3 else i, i % 4, 1 + i % 28, str(job[i]), str(contact[i]), str(month[i]), str(pout[i]) if i % 29 else None, i % 5) for i in range(n)]
+    return spark.createDataFrame(rows, "contact_id long, label double, age int, balance double, campaign int, pdays int, previous int, day int, job string, contact string, month string, poutcome string, fold int")
+
 
-from callcast.plans import queries as Q
+@pytest.fixture(scope="module")
+def crossed(people):
+    one = [S.Family(f.name, f.kind, f.grid[-1:], f.size) for f in FAMILIES]
+    return S.cross_fit(people, one, "Random Forest", NUM, CAT, "fold"), one
 
 
-class Stop(Exception):
-    pass
+def test_nested_scores_cover_every_row_and_calibrate(people, crossed):
+    fit, families = crossed
+    rows = fit.rows.collect()
+    assert len(rows) == 700 and {r.id for r in rows} == set(range(700))
+    assert all(0 < r.p_single < 1 and 0 < r.p_blend < 1 for r in rows)
+    got = {r.strategy: r for r in fit.summary.collect()}
+    assert set(got) == {S.PREVALENCE, S.SINGLE, S.BLEND, *(f"Raw {f.name}" for f in families)}
+    assert got[S.BLEND].oof_brier < got[S.PREVALENCE].oof_brier and got[S.BLEND].oof_pr_auc > got[S.PREVALENCE].oof_pr_auc + 0.1
+    # The single strategy of an outer fold is a logistic layer on the forest's logits, learnt without that fold.
+    for o in range(5):
+        p = np.array([[r["Random Forest"], r.p_single] for r in rows if r.outer == o])
+        a, b = np.polyfit(S.logits(p[:, 0]), S.logits(p[:, 1]), 1)
+        assert np.allclose(a * S.logits(p[:, 0]) + b, S.logits(p[:, 1]), atol=1e-6) and a > 0
+    assert S.choose(fit.summary).first().strategy in (S.SINGLE, S.BLEND)
 
 
-def sizes(pipeline):
-    params = pipeline.getStages()[-1].extractParamMap()
-    return {p.name: v for p, v in params.items() if p.name in ("maxIter", "numTrees")}
+def test_calibrators_are_ridge_optima(spark):
+    r = np.random.default_rng(2)
+    p = r.uniform(0.02, 0.98, (400, 2))
+    y = (r.random(400) < p[:, 0]).astype(float)
+    wide = spark.createDataFrame([(i, float(y[i]), float(p[i, 0]), float(p[i, 1]), str(i % 2)) for i in range(400)], "id long, label double, a double, b double, g string")
+    got = S.fit_calibrators(wide, ["a", "b"], ["0", "1"], "g")
+    for g in (0, 1):
+        m = np.arange(400) % 2 == g
+        x = np.concatenate([np.ones((m.sum(), 1)), S.logits(p[m])], axis=1)
+        q = 1 / (1 + np.exp(-x @ got[str(g)]))
+        assert np.abs(x.T @ (q - y[m]) + np.concatenate([[0], got[str(g)][1:]])).max() < 1e-6
 
 
-@pytest.fixture
-def caught(monkeypatch):
-    """The arguments of the fits, without the fits."""
-    got = {}
+def test_saved_strategy_scores_every_row_alike(spark, people, crossed, tmp_path):
+    fit, families = crossed
+    model = S.freeze(fit, people, families, NUM, CAT)
+    assert {r.check: r.passed for r in S.round_trip(model, people, str(tmp_path / "m")).collect()} == {"predictions_equal": True, "metadata_equal": True}
+    again = S.StrategyModel.load(str(tmp_path / "m"))
+    odd = people.limit(20).withColumns({"job": F.lit("never seen"), "balance": F.lit(None).cast("double"), "prediction": F.lit("old")})
+    rows = again.transform(odd).collect()
+    assert len(rows) == 20 and all(0 < r.subscription_probability < 1 and r.prediction == int(r.subscription_probability >= again.threshold) for r in rows)
+    both = S.fit_strategy(people, families, fit.blend, 0.3, S.BLEND, NUM, CAT)
+    scored = both.transform(people).select("contact_id", *[f"probability_{f.name.lower().replace(' ', '_')}" for f in families], "subscription_probability").collect()
+    z = fit.blend[0] + sum(w * S.logits(np.array([r[1 + k] for r in scored])) for k, w in enumerate(fit.blend[1:]))
+    assert np.allclose(1 / (1 + np.exp(-z)), [r.subscription_probability for r in scored])
 
-    def catch(name):
-        def stop(*args, **kw):
-            got[name] = (args, kw)
-            raise Stop
 
-        return stop
+def test_new_rows_are_scored_like_the_training_features(people):
+    """A base model inside the strategy gives the probabilities of the block-wise scoring."""
+    from callcast.learn import design as D
 
-    monkeypatch.setattr(Q.ML, "model_selection", catch("model_selection"))
-    monkeypatch.setattr(Q.CAL, "cross_fit_calibration", catch("calibration"))
-    monkeypatch.setattr(Q.CAL, "ablation", catch("ablation"))
-    return got
+    for family in FAMILIES:
+        family = S.Family(family.name, family.kind, family.grid[-1:], family.size)
+        both = people.withColumn("part", (F.col("contact_id") % 4 == 0).cast("int"))
+        ready = S.prepare(both, NUM, CAT, ["part"])
+        want = {r.id: r.p for r in S.fold_scores([family], ready, [D.Fit("t", ((0, 1),))]).collect()}
+        model = S.fit_strategy(both.where("part = 0").drop("part"), [family], np.array([0.0, 1.0]), 0.5, S.SINGLE, NUM, CAT)
+        got = {r.contact_id: r.subscription_probability for r in model.transform(both.where("part = 1")).collect()}
+        assert set(got) == set(want)
+        assert np.mean(np.isclose([got[i] for i in want], np.clip([want[i] for i in want], 1e-6, 1 - 1e-6), atol=1e-6)) > 0.99
 
 
-def test_registered_keys_have_the_reference_sizes(spark, caught):
-    for key in ("model_selection", "calibration_summary", "ablation"):
-        with pytest.raises(Stop):
-            Q.QUERIES[key](spark, "/root/testdata/sf0.001")
-    (_, cands, folds), _ = caught["model_selection"]
-    assert folds == ["fold_43", "fold_44"]
-    assert {sizes(p)["maxIter"] for p in cands.values()} == {100}
-    assert sizes(caught["calibration"][0][1]["logistic"]) == {"maxIter": 100}
-    assert caught["ablation"][1]["numTrees"] == 300
+def test_importance_finds_the_column_that_counts(people, crossed):
+    fit, families = crossed
+    model = S.fit_strategy(people, families[:1], np.array([0.0, 1.0]), 0.5, S.SINGLE, NUM, CAT)
+    got = S.permutation_importance(model, people, ["balance", "poutcome", "job", "campaign"], repeats=3).collect()
+    assert [r.feature for r in got][:2] == ["balance", "poutcome"] and got[0].importance_mean > 0.1 > abs(got[-1].importance_mean)
