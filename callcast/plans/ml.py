@@ -42,8 +42,20 @@ CV_FOLDS, CV_PARALLELISM, SEED = 3, 2, 42
 
 
 # ---------------------------------------------------------------- outlier clipping
+#: Size of the KLL sketch per column (at most 65,535); up to so many values the bounds are exact.
+CLIP_SKETCH = 4096
+
+
+def sketch_rank_error(k: int) -> float:
+    """Normalised rank error of a KLL sketch of size k at 99 % confidence."""
+    return 2.446 / k**0.9433
+
+
 class OutlierClipper(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Learns [q_lo, q_hi] bounds per column (ONE approxQuantile call for all columns)."""
+    """Learns [q_lo, q_hi] bounds per column: one KLL sketch per column, merged over all partitions in one aggregate.
+
+    The rank of a bound is within ``sketch_rank_error`` of the asked one.  A column without values is not clipped.
+    """
 
     lowerQuantile = Param(Params._dummy(), "lowerQuantile", "lower quantile", TypeConverters.toFloat)
     upperQuantile = Param(Params._dummy(), "upperQuantile", "upper quantile", TypeConverters.toFloat)
@@ -57,8 +69,12 @@ class OutlierClipper(Estimator, HasInputCols, DefaultParamsReadable, DefaultPara
 
     def _fit(self, dataset: DataFrame) -> "OutlierClipperModel":
         cols = self.getInputCols()
-        qs = dataset.approxQuantile(cols, [self.getOrDefault("lowerQuantile"), self.getOrDefault("upperQuantile")],
-                                    self.getOrDefault("relativeError"))
+        k = next(k for k in (CLIP_SKETCH, 16384, 65535) if k == 65535 or sketch_rank_error(k) <= self.getOrDefault("relativeError"))
+        probs = F.array(F.lit(self.getOrDefault("lowerQuantile")), F.lit(self.getOrDefault("upperQuantile")))
+        sketches = dataset.agg(*[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(k)).alias(f"s{i}") for i, c in enumerate(cols)])
+        asked = lambda s: F.when(F.kll_sketch_get_n_double(s) > 0, F.kll_sketch_get_quantile_double(s, probs))
+        row = sketches.select(*[asked(F.col(f"s{i}")).alias(f"q{i}") for i in range(len(cols))]).first()
+        qs = [q if q is not None else (float("-inf"), float("inf")) for q in row]
         return OutlierClipperModel(inputCols=cols, lower=[q[0] for q in qs], upper=[q[1] for q in qs])
 
 
@@ -76,7 +92,8 @@ class OutlierClipperModel(Model, HasInputCols, DefaultParamsReadable, DefaultPar
         cols = self.getInputCols()
         lo, hi = self.getOrDefault("lower"), self.getOrDefault("upper")
         return dataset.withColumns(
-            {c: F.least(F.greatest(F.col(c).cast("double"), F.lit(float(a))), F.lit(float(b))) for c, a, b in zip(cols, lo, hi)}
+            # least and greatest skip NULL, so a NULL would become a bound.
+            {c: F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c).cast("double"), F.lit(float(a))), F.lit(float(b)))) for c, a, b in zip(cols, lo, hi)}
         )
 
     def bounds(self, spark) -> DataFrame:

@@ -833,6 +833,56 @@ register(
     W("SELECT job, ROUND(AVG(balance), 6) AS avg_balance, ROUND(AVG(duration), 6) AS avg_duration, COUNT(*) AS transaction_count FROM contacts GROUP BY job"),
 )(_csv_stream_metrics)
 
+
+
+def _late_rows(spark, sf):
+    """Every fiftieth event arrives after all others; those whose hour is closed by then are left out."""
+    return SJ.late_rows(SJ.events_as_contacts(table(spark, sf, "events")), _F.col("event_id") % 50 == 0).select("input_rows", "counted_rows", "late_rows")
+
+
+register(
+    "stream_late_rows",
+    "WITH w AS (SELECT MAX(ts) - INTERVAL '2 minutes' AS mark FROM events WHERE event_id % 50 <> 0) "
+    "SELECT COUNT(*) AS input_rows, COUNT(*) FILTER (NOT gone) AS counted_rows, COUNT(*) FILTER (gone) AS late_rows FROM "
+    "(SELECT event_id % 50 = 0 AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= mark AS gone FROM events, w)",
+)(_late_rows)
+
+
+def _dashboard(spark, sf):
+    """Four queries over the event stream at once; what each has put out."""
+    from callcast.session import scratch_path
+    from callcast.streaming import runner
+
+    plain, flushed = _event_stream(spark, sf), _event_stream(spark, sf, flush=True)
+    name = lambda q: scratch_path(spark, q).rsplit("/", 1)[1].replace("-", "_")
+    frames = {
+        "job_metrics": (SJ.stream_job_metrics(plain), "complete", "memory"),
+        "window_1m": (SJ.stream_window(flushed, "1 minute"), "append", "parquet"),
+        "window_1h": (SJ.stream_window(flushed, "1 hour"), "append", "parquet"),
+        "large_balances": (plain.where("balance > 50").select("event_id", "job", "balance"), "append", "parquet"),
+    }
+    jobs = {q: runner.Job(name(q), frame, mode, sink, path=scratch_path(spark, f"dashboard-{q}")) for q, (frame, mode, sink) in frames.items()}
+    runner.run(spark, list(jobs.values()))
+    out = None
+    for q, job in jobs.items():
+        rows = spark.table(job.name) if job.sink == "memory" else spark.read.parquet(job.path)
+        each = _F.col("transaction_count") if "transaction_count" in rows.columns else _F.lit(1)
+        part = rows.agg(_F.lit(q).alias("query"), _F.count(_F.lit(1)).alias("output_rows"), _F.coalesce(_F.sum(each), _F.lit(0)).alias("transactions"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register(
+    "stream_dashboard",
+    W(
+        "SELECT 'job_metrics' AS query, COUNT(DISTINCT job) AS output_rows, COUNT(*) AS transactions FROM ev "
+        "UNION ALL SELECT 'window_1m', COUNT(DISTINCT time_bucket(INTERVAL '1 minute', ts)), COUNT(*) FROM ev "
+        "UNION ALL SELECT 'window_1h', COUNT(DISTINCT time_bucket(INTERVAL '1 hour', ts)), COUNT(*) FROM ev "
+        "UNION ALL SELECT 'large_balances', COUNT(*), COUNT(*) FROM ev WHERE balance > 50",
+        _EV,
+    ),
+)(_dashboard)
+
 # ---------------------------------------------------------------- 2.10 / 2.11 Spark ML (rows-only checks)
 from callcast.functions.exprs import logit  # noqa: E402
 from callcast.plans import ml as ML  # noqa: E402
@@ -877,6 +927,29 @@ register("clip_bounds")(
 )
 
 
+
+
+def _clip_ranks(spark, sf):
+    """Are the learnt bounds within the sketch's rank error of the 1 % and 99 % ranks, and are all values inside them after clipping?"""
+    c = contacts(spark, sf)
+    model = ML.OutlierClipper().fit(c)
+    err = ML.sketch_rank_error(ML.CLIP_SKETCH)
+    clipped = model.transform(c)
+    out = None
+    for x, lo, hi in model.bounds(spark).collect():  # one row per column
+        v = _F.col(x).cast("double")
+        inside = lambda b, q: (_F.avg((v < b).cast("int")) <= q + err) & (_F.avg((v <= b).cast("int")) >= q - err)  # noqa: E731, B023
+        ranks = c.agg(_F.lit(x).alias("column_name"), inside(lo, 0.01).alias("lower_rank_ok"), inside(hi, 0.99).alias("upper_rank_ok"))
+        part = ranks.join(clipped.agg(_F.lit(x).alias("column_name"), ((_F.min(x) >= lo) & (_F.max(x) <= hi)).alias("clipped")), "column_name")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register(
+    "clip_bounds_ranks",
+    W(" UNION ALL ".join(f"SELECT '{x}' AS column_name, COUNT(*) > 0 AS lower_rank_ok, COUNT(*) > 0 AS upper_rank_ok, COUNT(*) > 0 AS clipped FROM contacts" for x in ML.NUMERIC_COLUMNS)),
+)(_clip_ranks)
+
 _FITTED: dict = {}
 
 
@@ -1034,7 +1107,10 @@ from callcast.session import env_int  # noqa: E402
 def _partitioned_avg(spark, sf):
     """Parallel module: partial sums dealt out by job, twice as many partitions as cores; same result as without."""
     cores = env_int("CALLCAST_CORES", spark.sparkContext.defaultParallelism)
-    return R.avg_balance_by_job_partitioned(contacts(spark, sf), max(4, 2 * cores))
+    from callcast.session import described
+
+    with described(spark, "Average balance by job, partitioned"):
+        return R.avg_balance_by_job_partitioned(contacts(spark, sf), max(4, 2 * cores))
 
 
 register("avg_balance_by_job_partitioned", W("SELECT job, AVG(balance) AS average_balance FROM contacts GROUP BY job"))(_partitioned_avg)

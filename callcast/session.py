@@ -9,6 +9,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +77,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@contextmanager
+def described(spark: SparkSession, text: str, tag: str | None = None) -> Iterator[None]:
+    """Jobs started inside carry a description and a tag (``cancel`` stops all jobs of a tag); both are taken back, also after an error.
+
+    Descriptions belong to the calling thread and its children, so concurrent work keeps its own.
+    """
+    sc = spark.sparkContext
+    before = sc.getLocalProperty("spark.job.description")
+    new = tag is not None and tag not in sc.getJobTags()
+    sc.setJobDescription(text)
+    if new:
+        sc.addJobTag(tag)
+    try:
+        yield
+    finally:
+        sc.setJobDescription(before)
+        if new:
+            sc.removeJobTag(tag)
+
+
+def cancel(spark: SparkSession, tag: str) -> None:
+    """Stop every running job of a tag."""
+    spark.sparkContext.cancelJobsWithTag(tag)
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``materialize``, and the path, for tables that ``discard`` removes later."""
     path = scratch_path(df.sparkSession, name)

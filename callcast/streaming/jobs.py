@@ -196,3 +196,34 @@ def write_replay_files(df: DataFrame, n_files: int, order_col: str, name: str =
             cond = cond & (F.col("_t") < F.lit(hi))
         keyed.where(cond).drop("_t").coalesce(1).sortWithinPartitions(order_col).write.mode("append").parquet(path)
     return path
+
+
+def late_rows(events: DataFrame, late, width: str = "1 hour", watermark: str = "2 minutes", time_col: str = "event_time") -> DataFrame:
+    """Replay ``events`` with the rows that ``late`` (a condition) selects arriving last, and count what the windows leave out.
+
+    Four runs go on from one checkpoint, each with new files: the rows in time; their last moment once
+    more (so that the watermark is past them); the late rows; a row far ahead that closes all windows.
+    One row: input_rows, counted_rows (in the closed windows), late_rows (the others), batches, state_rows.
+    ``late_rows`` counts rows; Spark's own metric counts groups, as late rows meet the state after partial aggregation.
+    """
+    from callcast.streaming import runner
+
+    spark = events.sparkSession
+    folder, out, ckpt = (scratch_path(spark, f"late-{x}") for x in ("in", "out", "ckpt"))
+    is_late = F.coalesce(late, F.lit(False))
+    in_time = events.where(~is_late)
+    last = in_time.agg(F.max(time_col).alias(time_col))
+    again = in_time.join(F.broadcast(last), time_col, "left_semi").limit(1)  # one row
+    closing = with_flush(events, time_col).join(F.broadcast(events.agg(F.max(time_col).alias("_last"))), F.col(time_col) > F.col("_last")).drop("_last")
+    totals, name = [], f"late_{uuid.uuid4().hex[:8]}"
+    for part in (in_time, again, events.where(is_late), closing):
+        part.write.mode("append").parquet(folder)
+        stream = stream_window(file_stream(spark, folder, events.schema), width, watermark, time_col)
+        totals.append(runner.run(spark, [runner.Job(name, stream, "append", "parquet", ckpt, out)])[name])
+    # Of the rows put in twice or added for the replay, the repeated last moment is counted and the closing row is not.
+    counted = spark.read.parquet(out).agg(F.coalesce(F.sum("transaction_count"), F.lit(0)).alias("c")).first()["c"] - again.count()
+    rows = events.count()
+    return spark.createDataFrame(
+        [(rows, int(counted), rows - int(counted), sum(t.batches for t in totals), max(t.state_rows for t in totals))],
+        "input_rows long, counted_rows long, late_rows long, batches int, state_rows long",
+    )
