@@ -72,3 +72,36 @@ def test_unknown_latin_script_and_random_letters_are_rejected_and_held_out_texts
     assert [r.doc_id for r in got if not r.rejected] == []
     kept = langid.predict(docs.where(langid.held_out(F.col("doc_id")) & F.col("text").rlike("[a-z]")), model)
     assert kept.agg(F.avg(F.col("rejected").cast("int"))).first()[0] <= 0.01
+
+
+def plain_prediction(text, model):
+    """N-grams counted one by one in plain Python, cosine with every centroid, the first best language."""
+    from callcast.llm.textops import mix
+
+    low = [ord(c) if c.isalpha() else 0 for c in f" {text.lower()} "]
+    cells = {}
+    for n in (1, 2, 3):
+        for i in range(n - 1, len(low)):
+            g = low[i]
+            for back in range(1, n):
+                g = (low[i - back] * 0x1F0003**back + g) % (1 << 64)
+            if g:
+                cell = int(mix(np.array([(g * 4 + n) % (1 << 64)], dtype=np.uint64))[0]) >> 52
+                cells[cell] = cells.get(cell, 0) + 1
+    if not cells:
+        return "und", 0.0
+    weights = {c: k * float(model.idf[c]) for c, k in cells.items()}
+    norm = sum(w * w for w in weights.values()) ** 0.5
+    cosines = [sum(w * float(m[c]) for c, w in weights.items()) / norm for m in model.centroids]
+    best = max(range(len(cosines)), key=lambda j: (round(cosines[j], 6), -j))
+    return model.langs[best], cosines[best]
+
+
+def test_prediction_equals_plain_counting(spark):
+    docs = table(spark, SF, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))), row_key=F.col("doc_id"))
+    some = docs.where("length(text) < 1500").orderBy("doc_id").limit(60).select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, "a"), (-2, "Ünder größer 12 ß"), (-3, "?!"), (-4, None)], "doc_id long, text string")
+    for r in langid.predict(some.union(extra), model).collect():
+        lang, cosine = plain_prediction(r.text or "", model)
+        assert r.lang_pred == lang and abs(r.score - min(1.0, cosine)) < 1e-4
