@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import io
 import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Mapping, Sequence
 
@@ -434,18 +435,24 @@ def freeze(fit: CrossFit, df: DataFrame, families: Sequence[Family], numeric, ca
 
 
 # ---------------------------------------------------------------- what the frozen model is worth
-def permutation_importance(model: Model, test: DataFrame, features: Sequence[str], repeats: int = 10, top: int = 12, seed: int = 42, label: str = "label", id_col: str = "contact_id") -> DataFrame:
+def permutation_importance(model: Model, test: DataFrame, features: Sequence[str], repeats: int = 10, top: int = 12, seed: int = 42, label: str = "label", id_col: str = "contact_id", side_by_side: int = 4) -> DataFrame:
     """Drop in average precision when one raw column is permuted: mean and population standard deviation over the repeats."""
     from callcast.operators.permute import permuted, ranked
 
     rows, n = ranked(test, id_col)
     p = F.col("subscription_probability").alias("p")
     base = EV.ranking_metrics(model.transform(rows).select("label", p)).first()["average_precision"]
-    out = None
-    for f in features:  # one job per column; each is a frame of n * repeats rows
-        scored = model.transform(permuted(rows, n, f, repeats, seed)).select(F.lit(f).alias("feature"), "perm_repeat", F.col(label).alias("label"), p)
-        part = materialize(EV.ranking_metrics_by(scored, ["feature", "perm_repeat"]), "importance")
-        out = part if out is None else out.unionByName(part)
+
+    def one(f: str) -> DataFrame:  # a frame of n * repeats rows
+        with described(rows.sparkSession, f"importance of {f}"):
+            scored = model.transform(permuted(rows, n, f, repeats, seed)).select(F.lit(f).alias("feature"), "perm_repeat", F.col(label).alias("label"), p)
+            return materialize(EV.ranking_metrics_by(scored, ["feature", "perm_repeat"]), "importance")
+
+    with ThreadPoolExecutor(max_workers=side_by_side) as pool:  # a few columns' jobs at a time
+        parts = list(pool.map(one, features))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     drop = F.lit(base) - F.col("average_precision")
     return out.groupBy("feature").agg(F.avg(drop).alias("importance_mean"), F.stddev_pop(drop).alias("importance_std")).orderBy(F.col("importance_mean").desc(), "feature").limit(top)
 
