@@ -92,14 +92,17 @@ def _range_metrics(carry, n_boot: int, seed: int, threshold: float):
         pid, score = None, None
         before, open_sums, ap, tp = np.zeros((2, n_boot)), np.zeros((2, n_boot)), np.zeros(n_boot), np.zeros(n_boot)
 
-        def close():
-            nonlocal before, open_sums, ap, tp
-            before = before + open_sums
+        def close(pos, neg, scores):
+            """Take in whole groups of equal scores, in order: running sums over all of them at once."""
+            nonlocal before, ap, tp
+            cum_pos, cum_neg = before[0] + np.cumsum(pos, axis=0), before[1] + np.cumsum(neg, axis=0)
             with np.errstate(invalid="ignore", divide="ignore"):
-                ap = ap + np.nan_to_num(open_sums[0] * before[0] / (before[0] + before[1]))
-            if score is not None and score >= threshold:
-                tp = tp + open_sums[0]
-            open_sums = np.zeros((2, n_boot))
+                ap = ap + np.nan_to_num(pos * cum_pos / (cum_pos + cum_neg)).sum(axis=0)
+            tp = tp + pos[scores >= threshold].sum(axis=0)
+            before = np.stack([cum_pos[-1], cum_neg[-1]])
+
+        def close_open():
+            close(open_sums[:1], open_sums[1:], np.array([score]))
 
         for pdf in batches:
             for a in range(0, len(pdf), _ROWS):
@@ -107,18 +110,24 @@ def _range_metrics(carry, n_boot: int, seed: int, threshold: float):
                 w, y, p, ids = _counts(part["_id"].to_numpy(), n_boot, seed), part["y"].to_numpy(), part["p"].to_numpy(), part["_pid"].to_numpy()
                 starts = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (ids[1:] != ids[:-1])]))
                 pos, neg = np.add.reduceat(w * y[:, None], starts), np.add.reduceat(w * (1 - y)[:, None], starts)
-                for i, at in enumerate(starts):
-                    if ids[at] != pid or p[at] != score:
-                        close()
-                        if ids[at] != pid:
-                            if pid is not None:
-                                yield pd.DataFrame({"b": np.arange(n_boot), "ap_num": ap, "tp": tp})
-                            pid, ap, tp = ids[at], np.zeros(n_boot), np.zeros(n_boot)
-                            before = carry.value.get(int(pid), np.zeros((2, n_boot)))
-                        score = p[at]
-                    open_sums = open_sums + np.stack([pos[i], neg[i]])
+                scores, owner = p[starts], ids[starts]
+                cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1), len(owner)]
+                for lo, hi in zip(cuts[:-1], cuts[1:]):  # the ranges in this block: one, but at a border
+                    if owner[lo] == pid and scores[lo] == score:  # the first group goes on
+                        pos[lo] += open_sums[0]
+                        neg[lo] += open_sums[1]
+                    elif pid is not None:
+                        close_open()
+                    if owner[lo] != pid:
+                        if pid is not None:
+                            yield pd.DataFrame({"b": np.arange(n_boot), "ap_num": ap, "tp": tp})
+                        pid, ap, tp = owner[lo], np.zeros(n_boot), np.zeros(n_boot)
+                        before = carry.value.get(int(pid), np.zeros((2, n_boot)))
+                    if hi - lo > 1:
+                        close(pos[lo : hi - 1], neg[lo : hi - 1], scores[lo : hi - 1])
+                    open_sums, score = np.stack([pos[hi - 1], neg[hi - 1]]), scores[hi - 1]
         if pid is not None:
-            close()
+            close_open()
             yield pd.DataFrame({"b": np.arange(n_boot), "ap_num": ap, "tp": tp})
 
     return run
