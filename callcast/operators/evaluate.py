@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callcast.functions.exprs import AGE_LABELS, age_bins
-from callcast.operators.ordered import running
+from callcast.operators.ordered import running, running_counts
 from callcast.operators.quantiles import exact_percentiles
 
 
@@ -49,7 +49,7 @@ def score_counts(df: DataFrame, p: str = "p", label: str = "label") -> DataFrame
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"),
     )
-    r = running(g.withColumn("_neg_p", -F.col("p")), keys=[], order=["_neg_p"], sums=["pos", "neg"])
+    r = running_counts(g.withColumn("_neg_p", -F.col("p")), [], ["_neg_p"], ["pos", "neg"])
     return r.select("p", "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"))
 
 
@@ -357,7 +357,7 @@ def ranking_metrics_by(df: DataFrame, keys: Sequence[str], p: str = "p", label:
         F.sum(F.col(label).cast("long")).alias("pos"),
         F.sum((1 - F.col(label)).cast("long")).alias("neg"),
     )
-    r = running(g.withColumn("_neg_p", -F.col("p")), keys=keys, order=["_neg_p"], sums=["pos", "neg"])
+    r = running_counts(g.withColumn("_neg_p", -F.col("p")), keys, ["_neg_p"], ["pos", "neg"])
     return (
         r.groupBy(*keys)
         .agg(

@@ -123,3 +123,21 @@ def running(
             F.when(head & first_local, F.col(f"carry_val_{c}")).otherwise(F.col(f"prev_{c}")).alias(f"prev_{c}")
         )
     return joined.select(*outs)
+
+
+#: Rows up to which ``running_counts`` uses a plain window (some tens of MB in one task).
+FEW_ROWS = 1_000_000
+
+
+def running_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Sequence[str], few: int = FEW_ROWS) -> DataFrame:
+    """``cum_<s>`` as in ``running``, for a grouped table (one row per distinct value).
+
+    The table is written first and its rows are counted: up to ``few`` of them a window over each
+    key is one small task and needs neither sampled ranges nor carries; beyond, ``running`` does it.
+    The result is the same.
+    """
+    grouped = materialize(df, "grouped")
+    if grouped.count() > few:
+        return running(grouped, keys, order, sums).drop("row_number")
+    upto = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    return grouped.select("*", *[F.sum(F.coalesce(F.col(s).cast("double"), F.lit(0.0))).over(upto).alias(f"cum_{s}") for s in sums])

@@ -1,7 +1,7 @@
 """Exact interpolated percentiles without a buffer of all values in one task.
 
 Values are counted (map-side combined), the counts get running totals through
-``ordered.running``, and a percentile is read off at the two neighbouring ranks.
+``ordered.running_counts``, and a percentile is read off at the two neighbouring ranks.
 Many columns and groups share one pass.
 """
 
@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callcast.operators.ordered import running
+from callcast.operators.ordered import running_counts
 
 
 def exact_percentiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -25,8 +25,8 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], b
     stacked = df.select(*by, F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
     keys = ["column_name", *by]
     counts = stacked.select(*by, "s.column_name", "s.v").where("v IS NOT NULL").groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(counts, keys=keys, order=["v"], sums=["n"])
-    sizes = ranked.groupBy(*keys).agg(F.sum("n").alias("_size"))
+    ranked = running_counts(counts, keys, ["v"], ["n"])
+    sizes = ranked.groupBy(*keys).agg(F.max("cum_n").alias("_size"))
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
@@ -37,7 +37,7 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], b
         for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             here = (F.col("cum_n") - F.col("n") <= rank) & (rank < F.col("cum_n"))
             picks.append(F.max(F.when(here, F.col("v"))).alias(f"{side}{i}"))
-    wide = r.groupBy(*keys).agg(F.max("_size").alias("n"), *picks)
+    wide = r.groupBy(*keys).agg(F.max("_size").cast("long").alias("n"), *picks)
     out = []
     for i, q in enumerate(qs):
         at, lo, hi = F.lit(float(q)) * (F.col("n") - 1), F.col(f"lo{i}"), F.col(f"hi{i}")

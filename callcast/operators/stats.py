@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callcast.operators.ordered import running
+from callcast.operators.ordered import running_counts
 from callcast.operators.quantiles import exact_percentiles
 
 CORR_COLUMNS = ("age", "balance", "day", "duration", "campaign", "pdays", "previous")
@@ -131,7 +131,7 @@ def mann_whitney(df: DataFrame, x: str = "balance", group: str = "y", positive:
 
     U (of the positive group) = sum over distinct values v of
     n_pos(v) * (n_neg below v + n_neg(v) / 2), from value-grouped counts and a
-    prefix sum (``ordered.running``); ties term sum(t^3 - t) from the same
+    prefix sum (``ordered.running_counts``); ties term sum(t^3 - t) from the same
     counts.  p from the tie- and continuity-corrected normal approximation.
     Also both medians (exact) and the rank-biserial effect 2U/(n1 n2) - 1.
     """
@@ -141,7 +141,7 @@ def mann_whitney(df: DataFrame, x: str = "balance", group: str = "y", positive:
         .groupBy(F.col(x).cast("double").alias("v"))
         .agg(F.sum(is_pos.cast("long")).alias("n1v"), F.sum((~is_pos).cast("long")).alias("n0v"))
     )
-    r = running(g, keys=[], order=["v"], sums=["n0v"])
+    r = running_counts(g, [], ["v"], ["n0v"])
     s = r.agg(
         F.sum("n1v").alias("n1"),
         F.sum("n0v").alias("n0"),

@@ -56,3 +56,11 @@ def test_running_global_order(spark):
     ref = df.select("id", F.row_number().over(w).alias("rn_ref"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c"))
     j = got.join(ref, "id")
     assert j.where((F.col("row_number") != F.col("rn_ref")) | (F.abs(F.col("cum_v") - F.col("c")) > 1e-9)).count() == 0
+
+
+def test_grouped_tables_give_the_same_either_way(spark):
+    from callcast.operators.ordered import running_counts
+
+    df = spark.range(900).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 1000).alias("v"), (F.col("id") % 5).alias("n"))
+    same = [sorted(map(tuple, running_counts(df, ["k"], ["v"], ["n"], few).select("k", "v", "n", "cum_n").collect())) for few in (1000, 10)]
+    assert same[0] == same[1] and len(same[0]) == 900

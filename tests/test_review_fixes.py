@@ -140,3 +140,10 @@ def test_bootstrap_equals_plain_replicates(spark):
     assert (out["PR-AUC"].lower_95, out["PR-AUC"].upper_95) == pytest.approx(tuple(np.quantile(ap, [0.025, 0.975])), abs=1e-9)
     assert (out["Recall"].lower_95, out["Recall"].upper_95) == pytest.approx(tuple(np.quantile(recall, [0.025, 0.975])), abs=1e-9)
     assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.05
+
+
+def test_crosstab_refuses_too_many_levels(spark):
+    df = spark.range(50).select(F.col("id").cast("string").alias("a"), (F.col("id") % 20).cast("string").alias("b"))
+    assert crosstab(df, "a", "b", max_levels=20).count() == 1000
+    with pytest.raises(ValueError):
+        crosstab(df, "a", "b", max_levels=19)
