@@ -116,15 +116,15 @@ register("calibration_summary")(lambda spark, sf: crossed(spark, sf).summary)
 register("calibration_strategy")(lambda spark, sf: S.choose(crossed(spark, sf).summary))
 
 
-def align_probabilities(spark: SparkSession, sf: str) -> DataFrame:
-    """Out-of-fold probabilities of the three blended models, one row per development contact."""
-    families = [LOGISTIC, FOREST, NATIVE]
+def aligned(spark: SparkSession, sf: str, families) -> DataFrame:
+    """Out-of-fold probabilities of several models, one row per development contact."""
     ready = S.prepare(_dev_test(spark, sf)[0], NUMERIC, CATEGORICAL_COLUMNS, ["fold_43"])
     scores = S.fold_scores(families, ready, [D.Fit(str(v), ((0, v),)) for v in range(5)])
     return S.wide_scores(scores, [f.name for f in families], ["id"]).withColumnRenamed("id", "contact_id")
 
 
-register("align_probabilities")(align_probabilities)
+register("align_probabilities")(lambda spark, sf: aligned(spark, sf, [LOGISTIC, FOREST]))
+register("align_three_learners")(lambda spark, sf: aligned(spark, sf, [LOGISTIC, FOREST, NATIVE]))
 
 
 def ablation(spark: SparkSession, sf: str) -> DataFrame:
