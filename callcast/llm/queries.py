@@ -104,7 +104,7 @@ ORACLE["op2_url_filter"] = _url_sql()
 
 # Parameters of the mixture: tempering powers of the three margins.
 MIX_POWERS = {"source": 0.7, "lang": 0.5, "topic": 0.8}
-MIX_KEEP, MIX_ROUNDS, MIX_SEED = 0.5, 12, 11
+MIX_KEEP, MIX_ROUNDS, MIX_SEED, MIX_TOLERANCE = 0.5, 24, 11, 5e-4
 
 
 def with_topic(docs: DataFrame) -> DataFrame:
@@ -114,33 +114,51 @@ def with_topic(docs: DataFrame) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chance and draw of every document, with token weights raked to source, language and topic shares."""
     docs = with_topic(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")).select("doc_id", "source", "lang", "topic", "tokens")
-    return mixing.sample(docs, list(MIX_POWERS), MIX_POWERS, keep_share=MIX_KEEP, rounds=MIX_ROUNDS, seed=MIX_SEED)
+    return mixing.sample(docs, list(MIX_POWERS), MIX_POWERS, keep_share=MIX_KEEP, rounds=MIX_ROUNDS, seed=MIX_SEED, tolerance=MIX_TOLERANCE)
 
 
 QUERIES["op5_mixing"] = op5_mixing
 
 
+def _fill_sql(name: str, source: str) -> tuple[list[str], str]:
+    """Steps that find the factor of water-filling over a table (tokens, weight), and the name of the last one."""
+    steps = [f"{name}0 AS MATERIALIZED (SELECT {MIX_KEEP} * SUM(tokens) / SUM(weight) AS f, {MIX_KEEP} * SUM(tokens) AS goal FROM {source})"]
+    for i in range(1, 15):
+        steps.append(
+            f"{name}{i} AS MATERIALIZED (SELECT greatest(any_value(f), coalesce((any_value(goal) - coalesce(SUM(tokens) FILTER (weight / tokens * f >= 1), 0)) / SUM(weight) FILTER (weight / tokens * f < 1), any_value(f))) AS f, "
+            f"any_value(goal) AS goal FROM {source}, {name}{i - 1})"
+        )
+    return steps, f"{name}14"
+
+
 def _mix_sql() -> str:
-    """The same raking, written out round by round over the cells."""
-    margins = list(MIX_POWERS)
+    """The same raking, written out round by round over the cells; a block of rounds after the goals are met changes nothing."""
+    margins, block = list(MIX_POWERS), mixing.CHECK_ROUNDS
     steps = []
     for m, power in MIX_POWERS.items():
-        steps.append(f"share_{m} AS (SELECT {m}, t / SUM(t) OVER () AS share FROM (SELECT {m}, pow(SUM(tokens), {power}) AS t FROM cells GROUP BY {m}))")
-    last = "start"
-    shares = ", ".join(f"share_{m}.share AS s_{m}" for m in margins)
-    joins = " ".join(f"JOIN share_{m} ON cells.{m} IS NOT DISTINCT FROM share_{m}.{m}" for m in margins)
-    steps.append(f"start AS (SELECT cells.*, cells.tokens AS weight, SUM(cells.tokens) OVER () AS whole, {shares} FROM cells {joins})")
+        steps.append(
+            f"share_{m} AS MATERIALIZED (SELECT {m}, tokens, t / SUM(t) OVER () * SUM(tokens) OVER () AS weight "
+            f"FROM (SELECT {m}, SUM(tokens) AS tokens, pow(SUM(tokens), {power}) AS t FROM cells GROUP BY {m}))"
+        )
+        filled, factor = _fill_sql(f"w_{m}_", f"share_{m}")
+        steps += filled
+        steps.append(f"goal_{m} AS MATERIALIZED (SELECT {m}, round(least(1.0, weight / tokens * f), 9) * tokens AS goal FROM share_{m}, {factor})")
+    goals = ", ".join(f"goal_{m}.goal AS g_{m}" for m in margins)
+    joins = " ".join(f"JOIN goal_{m} ON cells.{m} IS NOT DISTINCT FROM goal_{m}.{m}" for m in margins)
+    steps.append(f"start AS MATERIALIZED (SELECT cells.*, cells.tokens AS weight, {goals} FROM cells {joins})")
+    last, open_ = "start", ""
     for r in range(MIX_ROUNDS):
         for m in margins:
-            steps.append(f"r{r}_{m} AS (SELECT * REPLACE (weight * s_{m} * whole / SUM(weight) OVER (PARTITION BY {m}) AS weight) FROM {last})")
+            scaled = f"least(tokens, weight * g_{m} / SUM(weight) OVER (PARTITION BY {m}))"
+            steps.append(f"r{r}_{m} AS MATERIALIZED (SELECT * REPLACE ({f'CASE WHEN {open_} THEN {scaled} ELSE weight END' if open_ else scaled} AS weight) FROM {last})")
             last = f"r{r}_{m}"
-    steps.append(f"f0 AS (SELECT {MIX_KEEP} * SUM(tokens) / SUM(weight) AS f, {MIX_KEEP} * SUM(tokens) AS goal FROM {last})")
-    for i in range(1, 15):
-        steps.append(
-            f"f{i} AS (SELECT greatest(any_value(f), coalesce((any_value(goal) - coalesce(SUM(tokens) FILTER (weight / tokens * f >= 1), 0)) / SUM(weight) FILTER (weight / tokens * f < 1), any_value(f))) AS f, "
-            f"any_value(goal) AS goal FROM {last}, f{i - 1})"
-        )
-    steps.append(f"chance AS (SELECT source, lang, topic, round(least(1.0, weight / tokens * f), 9) AS prob FROM {last}, f14)")
+        if (r + 1) % block == 0 and r + 1 < MIX_ROUNDS:
+            off = " UNION ALL ".join(f"SELECT max(abs(w - g)) / SUM(g) AS gap FROM (SELECT SUM(weight) AS w, any_value(g_{m}) AS g FROM {last} GROUP BY {m})" for m in margins)
+            steps.append(f"gap{r} AS MATERIALIZED (SELECT max(gap) AS gap FROM ({off}))")
+            open_ = f"(SELECT gap FROM gap{r}) > {MIX_TOLERANCE}"
+    filled, factor = _fill_sql("f", last)
+    steps += filled
+    steps.append(f"chance AS (SELECT source, lang, topic, round(least(1.0, weight / tokens * f), 9) AS prob FROM {last}, {factor})")
     same = " AND ".join(f"d.{m} IS NOT DISTINCT FROM chance.{m}" for m in margins)
     return rf"""
 WITH d AS (
@@ -149,7 +167,7 @@ WITH d AS (
          WHEN contains(coalesce(text, ''), 'icense') THEN 'licensed' WHEN contains(coalesce(text, ''), '@') THEN 'contact' ELSE 'prose' END AS topic,
     greatest(len(regexp_extract_all(coalesce(text, ''), '\S+')), 1)::BIGINT AS tokens
   FROM documents),
-cells AS (SELECT source, lang, topic, SUM(tokens)::DOUBLE AS tokens FROM d GROUP BY source, lang, topic),
+cells AS MATERIALIZED (SELECT source, lang, topic, SUM(tokens)::DOUBLE AS tokens FROM d GROUP BY source, lang, topic),
 {", ".join(steps)}
 SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, prob,
   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':{MIX_SEED}'), 1, 13))::BIGINT / 4503599627370496.0 < prob AS kept

@@ -52,3 +52,26 @@ def test_value_without_target_is_never_sampled(spark, docs):
     cells = M.cell_table(docs, ["lang"], "tokens")
     out = {r.lang: r.weight for r in M.rake(cells, {"lang": spark.createDataFrame([("en", 1.0)], "value string, share double")}).collect()}
     assert out["de"] == 0 and out["en"] == pytest.approx(sum(r[4] for r in ROWS))
+
+
+def test_bounded_cells_meet_all_margins(spark):
+    """Cells that are too small for their share go in whole, and the others of their margins make up for them."""
+    tokens = {("a", "x"): 50.0, ("a", "y"): 950.0, ("b", "x"): 100.0, ("b", "y"): 200.0, ("c", "x"): 400.0, ("c", "y"): 300.0}
+    cells = spark.createDataFrame([(*k, v) for k, v in tokens.items()], "m string, n string, tokens double")
+    want = {"m": spark.createDataFrame([("a", 0.4), ("b", 0.25), ("c", 0.35)], "value string, share double"), "n": spark.createDataFrame([("x", 0.4), ("y", 0.6)], "value string, share double")}
+    out = M.rake(cells, want, rounds=60, keep_share=0.5, tolerance=1e-8).collect()
+    assert all(0 <= r.weight <= r.tokens for r in out) and any(r.weight == r.tokens for r in out)
+    for m, t in want.items():
+        for r in t.collect():
+            assert sum(x.weight for x in out if x[m] == r.value) == pytest.approx(r.share * 1000, abs=1e-4)
+
+
+def test_margin_value_that_is_too_small_goes_in_whole(spark, docs):
+    drawn = M.sample(docs, ["source"], {"source": 0.0}, keep_share=0.9)
+    want = {"source": M.tempered(M.cell_table(docs, ["source"], "tokens"), "source", 0.0)}
+    rows = {r.value: r for r in M.reached(drawn, want).collect()}
+    whole = sum(r[4] for r in ROWS)
+    assert set(rows) == {"s0", "s1", None} and all(r.target == pytest.approx(1 / 3) for r in rows.values())
+    for v in ("s1", None):  # a third of nine tenths is more than a fifth
+        assert rows[v].share * 0.9 * whole == pytest.approx(sum(r[4] for r in ROWS if r[2] == v), rel=1e-5)
+    assert sum(r.share for r in rows.values()) == pytest.approx(1)
