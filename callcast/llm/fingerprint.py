@@ -9,13 +9,16 @@ to their generalised Jaccard similarity (sum of smaller / sum of larger
 weights).  The value a determines the term and its quantised weight, so a hash
 of the smallest a stands for the sample.
 
-To have ``BINS`` samples for one pass over the terms, a term of weight n is cut
-into n units of weight 1 (the units of a smaller weight are among those of a
-larger one, so the sums of smaller and larger weights stay as they are), each
-unit takes part in the one bin that its hash names, and each bin keeps its own
-smallest value.  Bins without units stay empty.  The likeness of two
-fingerprints is the share of equal bins among the bins that are filled in either
-(1 if none is).
+To have ``BINS`` samples for one pass over the terms, a term spreads its weight
+over the bins: one unit of weight to each of the bins in turn, from the one that
+its hash names, round after round.  So in a bin that the term has reached k times
+it is a term of weight k, with draws of its own for that bin, and a term takes at
+most one row for each bin, however often it repeats.  The share of a smaller
+weight in each bin is at most that of a larger one, so the sums of smaller and
+larger weights stay as they are, and all bins hold nearly the same weight, so that
+each may count as one vote.  Each bin keeps its own smallest value; bins without
+weight stay empty.  The likeness of two fingerprints is the share of equal bins
+among the bins that are filled in either (1 if none is).
 
 Neighbours in doc_id order are found without a sort of the whole table into one
 task: documents are dealt by blocks of ids, and the last document of a block
@@ -34,49 +37,43 @@ from pyspark.sql import functions as F
 
 WIDTH = 5
 BINS = 128
-#: ``terms`` lists a heavier term in parts of this weight, so that the weight of each fits two bits of its hash.
-_PART = 4
 _BLOCK_BITS = 10
 _FIRST = -(1 << 63)
 
 
 def terms(text: Column, width: int = WIDTH) -> Column:
-    """Weighted terms of a text as array<long>: a hash of the words whose last two bits are the weight less one."""
+    """Weighted terms of a text as array<struct<h, n>>: a hash of the words and their count."""
     bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"\s+"))
     return F.transform(F.array(words), lambda ws: _counted(_shingles(ws, width)))[0]
 
 
-def _hash(x: Column, *more: Column) -> Column:
-    return F.xxhash64(x, *more).bitwiseAND(F.lit(-4))
-
-
 def _shingles(words: Column, width: int) -> Column:
     n = F.size(words)
-    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1))), lambda i: _hash(F.slice(words, i, width))))
+    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, width))))
 
 
 def _counted(hashes: Column) -> Column:
     """Distinct hashes with their counts; the sort runs only where a hash repeats."""
-    return F.transform(F.array(hashes), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(F.transform(F.array(F.array_sort(h)), _runs)[0]))[0]
+    once = lambda h: F.transform(h, lambda x: F.struct(x.alias("h"), F.lit(1).alias("n")))
+    return F.transform(F.array(hashes), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), once(h)).otherwise(F.transform(F.array(F.array_sort(h)), _runs)[0]))[0]
 
 
 def _runs(s: Column) -> Column:
-    """Distinct values of a sorted array with their counts, a count over _PART in parts of _PART."""
+    """Distinct values of a sorted array with their counts."""
     starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-    counted = F.transform(F.array(starts), lambda p: F.transform(p, lambda a, k: F.struct(F.get(s, a).alias("h"), (F.coalesce(F.get(p, k + 1), F.size(s)) - a).alias("n"))))[0]
-    part = lambda e, j: F.when(j == 0, e["h"]).otherwise(_hash(e["h"], j)) + F.least(F.lit(_PART), e["n"] - j * _PART) - 1
-    return F.flatten(F.transform(counted, lambda e: F.transform(F.sequence(F.lit(0), F.floor((e["n"] - 1) / _PART).cast("int")), lambda j: part(e, j))))
+    return F.transform(F.array(starts), lambda p: F.transform(p, lambda a, k: F.struct(F.get(s, a).alias("h"), (F.coalesce(F.get(p, k + 1), F.size(s)) - a).alias("n"))))[0]
 
 
-def units(parts: Column) -> Column:
-    """Every part of ``terms`` as units of weight 1: the hash of the part, and one more hash for each further unit.
-
-    A bin counts as one vote whatever its sample weighs, so only units of one weight give each filled bin its due.
-    """
-    cut = lambda e: F.transform(F.sequence(F.lit(0), e.bitwiseAND(F.lit(_PART - 1)).cast("int")), lambda i: F.when(i == 0, e.bitwiseAND(F.lit(-4))).otherwise(_hash(e.bitwiseAND(F.lit(-4)), -i)))
-    heavy = lambda e: e.bitwiseAND(F.lit(_PART - 1)) > 0
-    return F.transform(F.array(parts), lambda x: F.when(F.exists(x, heavy), F.flatten(F.transform(x, cut))).otherwise(x))[0]
+def spread(weighted: Column, bins: int = BINS) -> Column:
+    """The terms dealt over the bins: array<struct<h, bin, n>>, one entry for each term and bin that it reaches."""
+    first = lambda e: F.pmod(F.xxhash64(e["h"], F.lit(6)), F.lit(bins)).cast("int")
+    entry = lambda e, at, n: F.struct(e["h"].alias("h"), at.alias("bin"), n.alias("n"))
+    turn = lambda e: F.transform(
+        F.sequence(F.lit(0), F.least(e["n"], F.lit(bins)) - 1), lambda j: entry(e, F.pmod(first(e) + j, F.lit(bins)), F.floor((e["n"] - 1 - j) / bins).cast("int") + 1)
+    )
+    single = lambda e: entry(e, first(e), F.lit(1))
+    return F.transform(F.array(weighted), lambda x: F.when(F.exists(x, lambda e: e["n"] > 1), F.flatten(F.transform(x, turn))).otherwise(F.transform(x, single)))[0]
 
 
 def _uniform(term: Column, salt: int) -> Column:
@@ -143,9 +140,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     # A document takes three seats of its block: its text, its edited text and, for the last of a block, the text that follows.
     seat = lambda v, t: F.struct((F.col("place") * 3 + v).alias("seat"), t.alias("t"))
     versions = rows.select("block", "doc_id", F.explode(F.array(seat(0, F.col("text")), seat(1, F.col("edited")), seat(2, F.when(F.col("last"), F.col("next_text"))))).alias("x")).where("x.t IS NOT NULL")
-    weighted = versions.select("block", "doc_id", "x.seat", F.explode_outer(units(terms(F.col("x.t"), width))).alias("term"))
-    term = F.col("term")
-    values = weighted.select("block", "doc_id", "seat", F.pmod(F.xxhash64(term, F.lit(6)), F.lit(bins)).cast("int").alias("bin"), F.when(term.isNotNull(), sample_value(term, F.lit(1))).alias("a"))
+    weighted = versions.select("block", "doc_id", "x.seat", F.explode_outer(spread(terms(F.col("x.t"), width), bins)).alias("e"))
+    term = F.xxhash64("e.h", "e.bin")
+    values = weighted.select("block", "doc_id", "seat", F.col("e.bin").alias("bin"), F.when(F.col("e").isNotNull(), sample_value(term, F.col("e.n"))).alias("a"))
     least = values.groupBy("block", "doc_id", "seat", "bin").agg(F.min("a").alias("a"))
     digest = F.call_function("shiftleft", F.col("bin"), F.lit(16)).bitwiseOR(F.pmod(F.xxhash64("a"), F.lit(65536)).cast("int"))
     seated = least.select("block", "doc_id", F.floor(F.col("seat") / 3).cast("int").alias("place"), (F.col("seat") % 3).alias("v"), F.when(F.col("a").isNotNull(), digest).alias("d"))

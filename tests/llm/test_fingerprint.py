@@ -52,11 +52,14 @@ def test_blocks_of_ids_and_wrapping(spark, monkeypatch):
     assert [got[d].next_id for d in ids] == ids[1:] + ids[:1]
 
 
-def test_terms_hold_counts(spark):
-    text = "a b c d e " * 9 + "f g"
-    got = spark.createDataFrame([(text,)], "t string").select(P.terms(F.col("t")).alias("x")).first().x
-    assert sum((v & 3) + 1 for v in got) == sum(shingles(text).values())
-    assert len(got) == sum(-(-n // 4) for n in shingles(text).values())
+def test_terms_hold_counts_and_spread_them(spark):
+    text = "a b c d e " * 900 + "f g"
+    got = spark.createDataFrame([(text,)], "t string").select(P.terms(F.col("t")).alias("x")).select("x", P.spread(F.col("x")).alias("y")).first()
+    assert sorted(e.n for e in got.x) == sorted(shingles(text).values())
+    for e in got.x:
+        dealt = [x for x in got.y if x.h == e.h]
+        assert sum(x.n for x in dealt) == e.n and len({x.bin for x in dealt}) == len(dealt) == min(e.n, P.BINS)
+        assert max(x.n for x in dealt) - min(x.n for x in dealt) <= 1
 
 
 def test_likeness_follows_the_weights(spark):
@@ -94,3 +97,15 @@ def test_texts_of_repeated_lines(spark):
     assert check(rows, got) < 0.04
     errors = [got[d].near_edited - jaccard(shingles(t), shingles(t[: len(t) - len(t) // 4] + after[: len(t) // 4])) for (d, t), (_, after) in zip(rows, rows[1:] + rows[:1])]
     assert abs(sum(errors) / len(errors)) < 0.02 and max(map(abs, errors)) < 0.2
+
+
+def test_terms_that_repeat_more_often_than_there_are_bins(spark):
+    """Weights over the number of bins are quantised in their bins; the likeness still follows them."""
+    rows = []
+    for d in range(40):
+        heavy = " ".join(f"w{i}" for i in range(6))
+        rows.append((d, " ".join([heavy] * (150 + 40 * (d % 5))) + " " + " ".join(f"u{d}x{i}" for i in range(30))))
+    got = {r.doc_id: r for r in P.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert check(rows, got) < 0.04
+    errors = [got[d].near_next - jaccard(shingles(t), shingles(after)) for (d, t), (_, after) in zip(rows, rows[1:] + rows[:1])]
+    assert abs(sum(errors) / len(errors)) < 0.05
