@@ -147,3 +147,16 @@ def test_crosstab_refuses_too_many_levels(spark):
     assert crosstab(df, "a", "b", max_levels=20).count() == 1000
     with pytest.raises(ValueError):
         crosstab(df, "a", "b", max_levels=19)
+
+
+def test_split_integrity_counts_ids_without_a_join(spark):
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "contact_id long")
+    source = ids(1, 2, 3, 4, 4, None)
+    got = SP.split_integrity({"a": ids(1, 2, 9), "b": ids(2, 2, 8, None)}, source)
+    assert "Join" not in plan(got)
+    assert [tuple(r) for r in got.collect()] == [("no_overlap", False, 1), ("covers_source", False, 4), ("no_foreign_rows", False, 3)]
+    assert got.dtypes == [("check", "string"), ("passed", "boolean"), ("offending_ids", "bigint")]
+    good = SP.split_integrity({"a": ids(1, 2), "b": ids(3)}, ids(1, 2, 3))
+    assert [tuple(r) for r in good.collect()] == [("no_overlap", True, 0), ("covers_source", True, 0), ("no_foreign_rows", True, 0)]
+    none = SP.split_integrity({"a": ids()}, ids())
+    assert [tuple(r) for r in none.collect()] == [("no_overlap", True, 0), ("covers_source", True, 0), ("no_foreign_rows", True, 0)]
