@@ -160,3 +160,16 @@ def test_split_integrity_counts_ids_without_a_join(spark):
     assert [tuple(r) for r in good.collect()] == [("no_overlap", True, 0), ("covers_source", True, 0), ("no_foreign_rows", True, 0)]
     none = SP.split_integrity({"a": ids()}, ids())
     assert [tuple(r) for r in none.collect()] == [("no_overlap", True, 0), ("covers_source", True, 0), ("no_foreign_rows", True, 0)]
+
+
+def test_two_given_scores_come_from_one_scan(spark):
+    from callcast.plans import strategy_queries as Q
+    from callcast.sources.contacts import contacts
+
+    from sf_dirs import SF
+
+    both = Q.two_scores(spark, SF)
+    assert "Join" not in plan(both)
+    joined = EV.scored(contacts(spark, SF)).join(contacts(spark, SF).select("contact_id", (F.expr(Q._BP2).cast("int") / F.lit(10000.0)).alias("p2")), "contact_id")
+    want = joined.select(F.col("label").cast("double"), "p", "p2", "p")
+    assert sorted(map(tuple, both.collect())) == sorted(map(tuple, want.collect()))
