@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from callcast.learn import design as D
 from callcast.learn import linear as L
 from callcast.learn import ordered as O
+from callcast.learn import strategy as S
 from callcast.learn import trees as T
 
 N = 500
@@ -83,6 +84,20 @@ def test_all_strengths_and_training_sets_reach_their_optimum(made):
         assert {s.id for s in scored if s.fit == f} == want and all(0 < s.p < 1 for s in scored)
 
 
+def test_unwritten_features_give_the_same_fits_and_write_nothing(made, spark, monkeypatch):
+    rows, df, d, learnt = made
+    feats = L.logistic_features(d, FITS, learnt)
+    want = L.fit_logistic(feats, learnt, [0.2, 1.0])
+    names = []
+    monkeypatch.setattr(L, "features", lambda *a, **b: names.append(a) or pytest.fail("features were written"))
+    family = S.Family("Logistic Regression", "logistic", ((0.2,), (1.0,)))
+    got, source = S.fit_family(family, S.Prepared(df, d), FITS, learnt)
+    assert not names and set(got) == set(want) and all(np.allclose(got[k], want[k], atol=1e-7) for k in want)
+    key = lambda r: (r.fit, r.candidate, r.id)
+    a, b = (sorted(f.collect(), key=key) for f in (S.score_family(family, got, source), L.score_logistic(feats, want, 2)))
+    assert [(*key(r), r.label) for r in a] == [(*key(r), r.label) for r in b] and np.allclose([r.p for r in a], [r.p for r in b], atol=1e-7)
+
+
 def order(rows):
     import hashlib
 
