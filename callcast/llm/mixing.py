@@ -60,6 +60,11 @@ def cell_table(docs: DataFrame, margins: list[str], tokens: str) -> DataFrame:
     return docs.groupBy(*margins).agg(F.sum(tokens).cast("double").alias("tokens"))
 
 
+def together(cells: DataFrame) -> DataFrame:
+    """A written table of at most FEW_CELLS cells in one partition, so that no sum over a margin needs a shuffle; a larger one stays dealt out."""
+    return cells.coalesce(1) if cells.count() <= FEW_CELLS else cells
+
+
 def tempered(cells: DataFrame, margin: str, power: float) -> DataFrame:
     """Target shares (value, share): the actual token shares, to a power, scaled to sum 1.
 
@@ -107,7 +112,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 24, keep
             scaled = F.when(there > 0, F.col("weight") * F.col(f"_g_{m}") / there).otherwise(F.lit(0.0))
             out = out.withColumn("weight", scaled if keep_share is None else F.least("tokens", scaled))
         if r % CHECK_ROUNDS == 0 or r == rounds:
-            out = materialize(out, "mixing-raked")
+            out = together(materialize(out, "mixing-raked"))
             if gap(out, margins) <= tolerance:
                 break
     return out.select(*cells.columns, "weight")
@@ -145,7 +150,7 @@ def chances(raked: DataFrame, keep_share: float) -> DataFrame:
 def sample(docs: DataFrame, margins: list[str], powers: dict[str, float], tokens: str = "tokens", doc_id: str = "doc_id", keep_share: float = 0.5, rounds: int = 24, seed: int = 11, tolerance: float = 5e-4) -> DataFrame:
     """``docs`` with ``prob`` and ``kept``; targets are tempered shares with one power per margin."""
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("prob", "kept")])
-    cells = materialize(cell_table(docs, margins, tokens), "mixing-cells")
+    cells = together(materialize(cell_table(docs, margins, tokens), "mixing-cells"))
     raked = rake(cells, {m: tempered(cells, m, powers[m]) for m in margins}, rounds, keep_share, tolerance)
     table = chances(raked, keep_share).select(*[F.col(m).alias(f"_m_{m}") for m in margins], "prob")
     same = None

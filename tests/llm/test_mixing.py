@@ -75,3 +75,17 @@ def test_margin_value_that_is_too_small_goes_in_whole(spark, docs):
     for v in ("s1", None):  # a third of nine tenths is more than a fifth
         assert rows[v].share * 0.9 * whole == pytest.approx(sum(r[4] for r in ROWS if r[2] == v), rel=1e-5)
     assert sum(r.share for r in rows.values()) == pytest.approx(1)
+
+
+def test_few_cells_are_raked_without_shuffles_and_many_with_them(spark, docs, monkeypatch):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    written, kept = [], M.materialize
+    monkeypatch.setattr(M, "materialize", lambda df, name: written.append((name, plan(df))) or kept(df, name))
+    few = {r.doc_id: r.prob for r in M.sample(docs, ["source", "lang"], {"source": 0.5, "lang": 0.5}).collect()}
+    raked = [p for n, p in written if n == "mixing-raked"]
+    assert raked and not any("hashpartitioning" in p for p in raked)
+    written.clear()
+    monkeypatch.setattr(M, "FEW_CELLS", 2)
+    many = {r.doc_id: r.prob for r in M.sample(docs, ["source", "lang"], {"source": 0.5, "lang": 0.5}).collect()}
+    assert any("hashpartitioning" in p for n, p in written if n == "mixing-raked")
+    assert few.keys() == many.keys() and all(few[i] == pytest.approx(many[i], abs=2e-9) for i in few)
