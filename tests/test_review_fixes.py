@@ -173,3 +173,30 @@ def test_two_given_scores_come_from_one_scan(spark):
     joined = EV.scored(contacts(spark, SF)).join(contacts(spark, SF).select("contact_id", (F.expr(Q._BP2).cast("int") / F.lit(10000.0)).alias("p2")), "contact_id")
     want = joined.select(F.col("label").cast("double"), "p", "p2", "p")
     assert sorted(map(tuple, both.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_tuning_learns_the_preprocessing_once_per_fold(spark, monkeypatch):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from callcast.plans import ml as ML
+    from callcast.plans.queries import _train_test
+
+    from sf_dirs import SF
+
+    monkeypatch.setattr(ML, "LR_GRID", {"regParam": [0.0, 0.1], "elasticNetParam": [0.5]})
+    monkeypatch.setattr(ML, "LR_MAX_ITER", 8)
+    train = SP.kfold_assign(_train_test(spark, SF)[0], k=ML.CV_FOLDS, seeds=(ML.SEED,)).limit(3000).localCheckpoint()
+    pipeline = ML.build_pipeline("logistic")
+    est = pipeline.getStages()[-1]
+    grid = ParamGridBuilder().addGrid(est.regParam, [0.0, 0.1]).addGrid(est.elasticNetParam, [0.5]).build()
+    evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC")
+    want = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator, numFolds=ML.CV_FOLDS, foldCol=f"fold_{ML.SEED}").fit(train)
+    fits, fit = [], ML.OutlierClipper._fit
+    monkeypatch.setattr(ML.OutlierClipper, "_fit", lambda self, df: (fits.append(1), fit(self, df))[1])
+    got, best = ML.tuned_logistic(train, fold_col=f"fold_{ML.SEED}")
+    assert len(fits) == ML.CV_FOLDS + 1
+    assert got.avgMetrics == pytest.approx(want.avgMetrics, abs=1e-9)
+    assert best.stages[-1].coefficients.toArray() == pytest.approx(want.bestModel.stages[-1].coefficients.toArray(), abs=1e-6)
+    with pytest.raises(ValueError):
+        ML.tuned_logistic(train.withColumn(f"fold_{ML.SEED}", F.lit(0)), fold_col=f"fold_{ML.SEED}")
