@@ -9,6 +9,7 @@ from callcast.learn import linear as L
 from callcast.learn import ordered as O
 from callcast.learn import strategy as S
 from callcast.learn import trees as T
+from callcast.operators.resample import poisson_steps
 
 N = 500
 
@@ -277,6 +278,48 @@ def test_forest_is_the_same_however_nodes_are_split(made):
     assert {(s.fit, s.candidate) for s in scored} == {(f, c) for f in range(3) for c in range(3)} and all(0 <= s.p <= 1 for s in scored)
 
 
+def test_counts_of_a_bootstrap_are_added_up_exactly_in_one_pass():
+    r = np.random.default_rng(3)
+    n = T.PACKED_ROWS + 500
+    bins, slot = r.integers(0, T.BINS, (n, 3)).astype(np.uint8), r.integers(0, 4, n)
+    counts, y = r.poisson(1.0, n).astype(float), (r.random(n) < 0.3).astype(float)
+    got = T.count_histogram(bins, slot, counts, y, 4, T.BINS)
+    few = slice(0, T.PACKED_ROWS)
+    packed = np.stack(T.unpacked(T.packed_histogram(bins[few], slot[few], counts[few], y[few], 4, T.BINS)), axis=-1)
+    assert len(poisson_steps()) < 20  # the bound that PACKED_ROWS relies on
+    for part, sums in ((slice(0, n), got), (few, packed)):
+        want = T.histogram(bins[part], slot[part], counts[part] * y[part], counts[part], 4, T.BINS)
+        assert (sums == want).all()
+    most = T.packed_histogram(np.zeros((T.PACKED_ROWS, 1), np.uint8), np.zeros(T.PACKED_ROWS, int), np.full(T.PACKED_ROWS, 20.0), np.ones(T.PACKED_ROWS), 1, 1)
+    assert [int(v[0, 0, 0]) for v in T.unpacked(most)] == [20 * T.PACKED_ROWS, 20 * T.PACKED_ROWS, T.PACKED_ROWS]
+
+
+def test_tasks_send_the_sums_of_looked_at_features_only(made, monkeypatch):
+    rows, df, d, learnt = made
+    feats = D.features(d, FITS, learnt, T.binned, "test-bins")
+    sent, summed = [], T.summed
+    monkeypatch.setattr(T, "summed", lambda rows, work, size: (sent.append(size), summed(rows, work, size))[1])
+    forest = T.fit_forest(feats, learnt, 2, min_leaf=(2,), n_trees=4, local_rows=40, max_features=1)
+    whole = 4 * len(FITS) * len(IS_LEVEL) * max(T.BINS, *(len(k) + 1 for k in learnt[0].known)) * 24
+    assert sent[1] < whole  # the first level: one node a tree
+    for trees in forest.values():
+        assert all(isinstance(a, np.ndarray) for t in trees for a in t.arrays())
+
+
+def test_forests_grown_in_turn_are_those_grown_together(made, monkeypatch):
+    rows, df, d, learnt = made
+    family = S.Family("f", "forest", ((None, 2), (3, 5)), 3)
+    scores, calls, fit = [], [], T.fit_forest
+    monkeypatch.setattr(T, "fit_forest", lambda *a, **k: (calls.append(1), fit(*a, **k))[1])
+    for room in (1 << 30, 1):
+        monkeypatch.setattr(S, "FOREST_BYTES", room)
+        got = S.fold_scores([family], S.Prepared(df, d), FITS)
+        scores.append(sorted(map(tuple, got.collect())))
+    assert len(calls) == 1 + len(FITS)
+    assert [r[:5] for r in scores[0]] == [r[:5] for r in scores[1]]
+    assert np.allclose([r[5] for r in scores[0]], [r[5] for r in scores[1]], atol=1e-12)
+
+
 def test_large_sums_are_added_in_tasks_with_the_same_result(made):
     rows, df, d, learnt = made
     work = lambda batches: {1: np.array([float(sum(n.as_py() for b in batches for n in b.column("n")))])}
