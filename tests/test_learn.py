@@ -1,6 +1,7 @@
 """Block-wise fitting against plain numpy: preprocessing, logistic, ordered statistics, forest, boosting."""
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from callcast.learn import ordered as O
 from callcast.learn import strategy as S
 from callcast.learn import trees as T
 from callcast.operators.resample import poisson_steps
+from callcast.session import materialize
 
 N = 500
 
@@ -325,3 +327,22 @@ def test_large_sums_are_added_in_tasks_with_the_same_result(made):
     work = lambda batches: {1: np.array([float(sum(n.as_py() for b in batches for n in b.column("n")))])}
     blocks = d.blocks.repartition(4)
     assert D.summed(blocks, work, 8)[1].tolist() == D.summed(blocks, work, 1 << 40)[1].tolist() == [float(N)]
+
+
+def test_a_worker_is_sent_few_blocks_at_once(spark, made):
+    rows, df, d, learnt = made
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    blocks = d.blocks.union(d.blocks).union(d.blocks).coalesce(1)
+    assert blocks.count() > 2 * D.BATCH_BLOCKS
+    most = D.summed(blocks, lambda batches: {1: np.array([float(max(b.num_rows for b in batches))])}, 8)[1]
+    assert most[0] <= D.BATCH_BLOCKS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_files_of_blocks_have_small_row_groups(spark):
+    large = spark.range(0, 300, 1, 1).select(F.expr("cast(randstr(131072, 5) as binary)").alias("x"))
+    written = materialize(large, "blocks", **D.BLOCK_FILES)
+    assert written.agg(F.sum(F.length("x"))).first()[0] == 300 * (128 << 10)
+    for f in written.inputFiles():
+        meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+        assert all(meta.row_group(g).total_byte_size <= 20 << 20 for g in range(meta.num_row_groups))
