@@ -42,9 +42,10 @@ from callcast.llm.textops import code_points, letter_table, mix
 from callcast.session import ship_package
 
 DIMS = 4096
-_CHUNK_CHARS = 1 << 20
+#: Characters worked on at once: about 100 bytes each while their n-grams are hashed.
+_CHUNK_CHARS = 1 << 17
 #: Documents whose vectors are held at once: DIMS * 4 bytes each.
-_CHUNK_DOCS = 512
+_CHUNK_DOCS = 128
 #: N-grams at which half of the squared cosine is reached (fitted to texts of the test tables, cut to 20 to 640 characters).
 HALF_GRAMS = 150
 #: Training texts that a centroid needs for a limit of its own.
@@ -71,6 +72,13 @@ def _chunks(texts: list[str]):
         yield start, len(texts)
 
 
+def _small(batches):
+    """The same rows in batches of at most _CHUNK_DOCS, so that a worker holds few texts beside the batch that it was sent, and sends back small ones."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, _CHUNK_DOCS):
+            yield batch.slice(a, _CHUNK_DOCS)
+
+
 def count_matrix(texts: list[str]) -> np.ndarray:
     """One row per text: how often each hashed 1-, 2- and 3-gram occurs."""
     codes, off = code_points([f" {t.lower()} " for t in texts])
@@ -132,7 +140,7 @@ def document_frequencies(train: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
     def count(batches):
         df, n = np.zeros(DIMS, dtype=np.int64), 0
-        for batch in batches:
+        for batch in _small(batches):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, b in _chunks(texts):
                 c = count_matrix(texts[a:b])
@@ -209,7 +217,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches):
         m = sent.value
-        for batch in batches:
+        for batch in _small(batches):
             texts = [t or "" for t in batch.column(at).to_pylist()]
             lang, score, out = [], [], []
             for a, b in _chunks(texts):

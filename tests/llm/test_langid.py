@@ -1,7 +1,9 @@
 import random
 import string
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import zlib
 from pyspark.sql import functions as F
 
@@ -105,3 +107,17 @@ def test_prediction_equals_plain_counting(spark):
     for r in langid.predict(some.union(extra), model).collect():
         lang, cosine = plain_prediction(r.text or "", model)
         assert r.lang_pred == lang and abs(r.score - min(1.0, cosine)) < 1e-4
+
+
+def test_a_worker_holds_little_beside_its_batch(spark):
+    texts = ["".join(random.Random(i).choices("abcdefgh ijk", k=2000)) for i in range(600)]
+    langid.count_matrix(texts[:2])
+    tracemalloc.start()
+    for a, b in langid._chunks(texts):
+        langid.count_matrix(texts[a:b])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 << 20
+    rows = pa.record_batch({"text": pa.array(texts)})
+    parts = list(langid._small([rows]))
+    assert max(p.num_rows for p in parts) <= langid._CHUNK_DOCS and pa.Table.from_batches(parts).column("text").to_pylist() == texts
