@@ -30,6 +30,10 @@ at another place, in any text or the same one.  A *window* is such a string.
 Windows that repeat are marked in every text, and the bytes that they cover are
 cut out; all is judged on the input, not on what is left.
 
+Two lengths: a string of ``length`` bytes that repeats lies within the bytes that
+repeated strings of a shorter length cover, so after a search with the shorter
+one only these runs are searched with the longer one.
+
 Defined results: null and empty texts have nothing to remove; texts shorter
 than LENGTH stay whole; rows that repeat are separate texts (so long ones are
 removed); null ids are allowed; an empty table gives an empty result.
@@ -55,6 +59,8 @@ from callcast.session import discard, materialize, ship_package, written
 
 LENGTH = 400
 GRAM = 64
+#: Window of repeated passages in bytes: a passage of 51 words of three letters and a blank has 204.
+PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
 #: Never a byte of UTF-8 text, so it ends a part of a key.
 _END = b"\xff"
 _CHUNK = 1 << 18
@@ -89,25 +95,24 @@ def segments(data: bytes, ends: np.ndarray, length: int, gram: int):
     return start, stop - start, at, h[at]
 
 
-def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """Texts, concatenated up to _CHUNK bytes; longer ones cut so that every window is in one piece.
+def _pieces(texts: list[bytes], length: int, within: list | None = None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts (or the runs of each that are ``within``), concatenated up to _CHUNK bytes; longer ones cut so that every window is in one piece.
 
     (bytes, end of each text, number of each text, place of its first byte in the text)
     """
     data, ends, owner, first, size = [], [], [], [], 0
     for i, t in enumerate(texts):
-        if len(t) < length:
-            continue
-        for a in range(0, len(t) - length + 1, _CHUNK):
-            part = t[a : a + _CHUNK + length - 1]
-            if size and size + len(part) > _CHUNK:
-                yield b"".join(data), np.array(ends), np.array(owner), np.array(first)
-                data, ends, owner, first, size = [], [], [], [], 0
-            data.append(part)
-            size += len(part)
-            ends.append(size)
-            owner.append(i)
-            first.append(a)
+        for low, high in [(0, len(t))] if within is None else ((x["a"], x["z"]) for x in within[i]):
+            for a in range(low, high - length + 1, _CHUNK):
+                part = t[a : min(a + _CHUNK + length - 1, high)]
+                if size and size + len(part) > _CHUNK:
+                    yield b"".join(data), np.array(ends), np.array(owner), np.array(first)
+                    data, ends, owner, first, size = [], [], [], [], 0
+                data.append(part)
+                size += len(part)
+                ends.append(size)
+                owner.append(i)
+                first.append(a)
     if size:
         yield b"".join(data), np.array(ends), np.array(owner), np.array(first)
 
@@ -115,13 +120,16 @@ def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray
 def text_segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """Segments of rows (did, uid, body): did, uid, place (start, windows, bytes before the anchor, packed), anchor, t1, t2.
 
+    With a column ``within`` (array of (a, z), apart from each other) only of these runs of each body.
+
     ``anchor`` is the hash of the anchor string and (t1, t2) that of the whole segment with its anchor's place.
     """
 
     def run(batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            for data, ends, owner, first in _pieces([x or b"" for x in batch.column(2).to_pylist()], length):
+            within = batch.column(3).to_pylist() if batch.num_columns > 3 else None
+            for data, ends, owner, first in _pieces([x or b"" for x in batch.column(2).to_pylist()], length, within):
                 got = segments(data, ends, length, gram)
                 if got is None:
                     continue
@@ -146,7 +154,7 @@ def text_segments(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 names=["did", "uid", "place", "anchor", "t1", "t2"],
             )
 
-    return rows.select("did", "uid", "body").mapInArrow(run, "did long, uid long, place long, anchor long, t1 long, t2 long")
+    return rows.select("did", "uid", "body", *(c for c in rows.columns if c == "within")).mapInArrow(run, "did long, uid long, place long, anchor long, t1 long, t2 long")
 
 
 def _start(place):
@@ -365,14 +373,43 @@ def _settle(length: int):
     return union
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reach: int = 32, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(did, uid, spans) of docs (did, uid, body): an array of (start, end) of bytes that repeat; they may overlap."""
+def closed(marked: DataFrame) -> DataFrame:
+    """(did, uid, spans): spans that overlap or touch become one; in order of their start."""
+
+    def run(batches):
+        for batch in batches:
+            spans = batch.column(2)
+            row = np.repeat(np.arange(batch.num_rows, dtype=np.int64), np.diff(spans.offsets.to_numpy())) << 40
+            flat = spans.flatten()
+            a, z = (row + flat.field(c).to_numpy() for c in ("a", "z"))
+            order = np.argsort(a, kind="stable")
+            a, z = a[order], np.maximum.accumulate(z[order])
+            new = np.flatnonzero(np.concatenate([[True], a[1:] > z[:-1]])) if len(a) else np.zeros(0, np.int64)
+            a, z = a[new], z[np.concatenate([new[1:] - 1, [len(z) - 1]])] if len(new) else z
+            sizes = np.bincount(a >> 40, minlength=batch.num_rows)
+            low = (1 << 40) - 1
+            runs = pa.StructArray.from_arrays([pa.array(a & low), pa.array(z & low)], names=["a", "z"])
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(offsets, runs)], names=["did", "uid", "spans"])
+
+    return marked.select("did", "uid", "spans").mapInArrow(run, "did long, uid long, spans array<struct<a:long,z:long>>")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reach: int = 32, range_bytes: int = RANGE_BYTES, within: DataFrame | None = None) -> DataFrame:
+    """(did, uid, spans) of docs (did, uid, body): the runs of bytes that repeat, an array of (a, z), written as a table.
+
+    ``within`` (did, uid, spans) are such runs for a length that is not greater: nothing beside them is searched.
+    """
     if not 0 < gram <= length or length - gram > 1000:
         raise ValueError("gram must be at most length and at least length - 1000")
     spark = docs.sparkSession
-    every, every_path = written(text_segments(docs, length, gram), "suffix-segments")
+    searched = docs
+    if within is not None:
+        long = within.select("did", "uid", F.filter("spans", lambda x: x["z"] - x["a"] >= length).alias("within"))
+        searched = docs.where(F.length("body") >= length).join(long.where(F.size("within") > 0), ["did", "uid"])
+    every, every_path = written(text_segments(searched, length, gram), "suffix-segments")
     often, often_path = written(every.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "suffix-anchors")
-    seg = materialize(every.join(often, "anchor"), "suffix-candidates")
+    seg, seg_path = written(every.join(often, "anchor"), "suffix-candidates")
     del every, often
     discard(spark, every_path, often_path)
     place = F.col("place")
@@ -388,14 +425,16 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
     )
     union = _settle(length)
     pairs = F.arrays_zip(F.col("lo"), F.col("hi"))
-    forward = materialize(merge_sort(entries, length, gram, reach, False, range_bytes), "suffix-forward")
+    forward, forward_path = written(merge_sort(entries, length, gram, reach, False, range_bytes), "suffix-forward")
     proven = forward.select("t1", "t2", pairs.alias("pairs"))
     open_anchor = forward.where("unseen > 0").select("t1", "t2").join(entries.select("t1", "t2", "anchor"), ["t1", "t2"]).select("anchor").distinct()
-    hot = materialize(entries.join(open_anchor, "anchor"), "suffix-hot")
+    hot, hot_path = written(entries.join(open_anchor, "anchor"), "suffix-hot")
+    paths = [seg_path, forward_path, hot_path]
     del entries, open_anchor
     discard(spark, entries_path)
     if not hot.isEmpty():
-        backward = materialize(merge_sort(hot, length, gram, reach, True, range_bytes), "suffix-backward")
+        backward, backward_path = written(merge_sort(hot, length, gram, reach, True, range_bytes), "suffix-backward")
+        paths.append(backward_path)
         proven = proven.union(backward.select("t1", "t2", pairs.alias("pairs")))
         bounds = forward.where("unseen > 0").select("t1", "t2", F.col("unseen").alias("right")).join(backward.where("unseen > 0").select("t1", "t2", (F.col("unseen") - gram).alias("left")), ["t1", "t2"])
         bounds = bounds.groupBy("t1", "t2").agg(F.max("right").alias("right"), F.max("left").alias("left"))
@@ -404,7 +443,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
         low = F.greatest(F.col("before") - F.col("size") + length, length - F.col("right"))
         still = (
             bounds.join(known, ["t1", "t2"]).join(sizes, ["t1", "t2"]).withColumns({"low": low, "high": F.least("before", "left")}).where("low <= high")
-            .withColumn("need", F.explode(F.sequence("low", "high"))).where(~F.exists("pairs", lambda p: (p["lo"] <= F.col("need")) & (F.col("need") <= p["hi"])))
+            .withColumn("need", F.explode(F.filter(F.sequence("low", "high"), lambda n: ~F.exists("pairs", lambda p: (p["lo"] <= n) & (n <= p["hi"])))))
         )
         open_windows = still.select("anchor", "need").distinct()
         windows = (
@@ -415,55 +454,66 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, reac
         met = windows.join(same, ["anchor", "need", "window"]).select("t1", "t2", F.array(F.struct(F.col("need").alias("lo"), F.col("need").alias("hi"))).alias("pairs"))
         proven = proven.union(met)
     # A table of its own, so that the join below reads two plain exchanges and a hot segment is split (AQE).
-    proven = materialize(proven.where(F.size("pairs") > 0).groupBy("t1", "t2").agg(union(F.flatten(F.collect_list("pairs"))).alias("pairs")), "suffix-proven")
+    proven, proven_path = written(proven.where(F.size("pairs") > 0).groupBy("t1", "t2").agg(union(F.flatten(F.collect_list("pairs"))).alias("pairs")), "suffix-proven")
     anchor_at = _start(place) + _before(place)
     spans = F.transform("pairs", lambda p: F.struct((anchor_at - p["hi"]).alias("a"), (anchor_at - p["lo"] + length).alias("z")))
     marked = seg.select("did", "uid", "place", "t1", "t2").join(proven, ["t1", "t2"]).select("did", "uid", spans.alias("spans"))
-    return marked.groupBy("did", "uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = materialize(closed(marked.groupBy("did", "uid").agg(F.flatten(F.collect_list("spans")).alias("spans"))), "suffix-spans")
+    del seg, forward, hot, proven, marked
+    discard(spark, *paths, proven_path)
+    return found
 
 
-def closed(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, z in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(z, out[-1][1]))
-        else:
-            out.append((a, z))
-    return out
-
-
-def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, reach: int = 32, range_bytes: int = RANGE_BYTES, as_text: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, reach: int = 32, range_bytes: int = RANGE_BYTES, as_text: bool = False, passage: int | None = None, passage_gram: int = PASSAGE_GRAM) -> DataFrame:
     """``docs`` with ``kept`` (the remaining bytes), n_bytes, n_removed, n_spans and kept_sha256.
 
     ``kept`` is binary; with ``as_text`` a string without the characters of
     which only some bytes are left (the other columns stay about the bytes).
+    With ``passage`` (at most ``length``) a last column ``without_passages`` is
+    what strings of that many bytes leave that start twice or more; its type is
+    that of ``kept``, and no other column depends on it.
     Columns of the input with these names are replaced; all others pass unchanged.
     """
+    if passage is not None and passage > length:
+        raise ValueError("passage must be at most length")
     ship_package(docs.sparkSession)
-    new = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    extra = [] if passage is None else ["without_passages"]
+    new = ["kept", "n_bytes", "n_removed", "n_spans", "kept_sha256", *extra]
     own = [c for c in docs.columns if c.lower() not in new]
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     id_hash = F.xxhash64(F.col(f"`{doc_id}`"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), id_hash.alias("did"), F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"), F.lit(7)).alias("uid"), body.alias("body"))
-    spans = repeated_spans(keyed.select("did", "uid", "body"), length, gram, reach, range_bytes)
+    texts = keyed.select("did", "uid", "body")
+    if passage is None:
+        spans = repeated_spans(texts, length, gram, reach, range_bytes)
+    else:
+        passages = repeated_spans(texts, passage, passage_gram, reach, range_bytes)
+        spans = repeated_spans(texts, length, gram, reach, range_bytes, passages)
+        spans = passages.withColumnRenamed("spans", "passages").join(spans, ["did", "uid"], "left")
+    marks = ["spans", *(["passages"] if extra else [])]
     joined = keyed.select("row", "did", "uid").join(spans, ["did", "uid"], "left")
     at = own.index(text)
 
+    def left_of(t: bytes, gone: list | None) -> bytes:
+        edges = [0, *(e for x in gone or () for e in (x["a"], x["z"])), len(t)]
+        return b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2]))
+
     def cut(batches):
         for batch in batches:
-            rows, marks = batch.column(0), batch.column(1).to_pylist()
+            rows, found = batch.column(0), [batch.column(c).to_pylist() for c in range(1, batch.num_columns)]
             texts = rows.field(at).cast(pa.binary()).to_pylist()
-            out: list[list] = [[] for _ in range(5)]
-            for t, m in zip(texts, marks):
+            out: list[list] = [[] for _ in new]
+            for t, gone, *shorter in zip(texts, *found):
                 t = t or b""
-                gone = closed([(x["a"], x["z"]) for x in m]) if m else []
-                edges = [0, *(e for span in gone for e in span), len(t)]
-                kept = b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2]))
-                shown = kept.decode("utf-8", "ignore") if as_text else kept
-                for c, v in zip(out, (shown, len(t), len(t) - len(kept), len(gone), hashlib.sha256(kept).hexdigest())):
+                kept = left_of(t, gone)
+                rest = [left_of(t, x) for x in shorter]
+                shown, *rest = [x.decode("utf-8", "ignore") if as_text else x for x in (kept, *rest)]
+                for c, v in zip(out, (shown, len(t), len(t) - len(kept), len(gone or ()), hashlib.sha256(kept).hexdigest(), *rest)):
                     c.append(v)
-            yield pa.RecordBatch.from_arrays([*rows.flatten(), *(pa.array(c, k) for c, k in zip(out, (pa.string() if as_text else pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string())))], names=[*own, *new])
+            yield pa.RecordBatch.from_arrays([*rows.flatten(), *(pa.array(c, k) for c, k in zip(out, arrow_kinds))], names=[*own, *new])
 
-    kinds = [T.StringType() if as_text else T.BinaryType(), T.LongType(), T.LongType(), T.LongType(), T.StringType()]
+    body_kind, body_arrow = (T.StringType(), pa.string()) if as_text else (T.BinaryType(), pa.binary())
+    kinds = [body_kind, T.LongType(), T.LongType(), T.LongType(), T.StringType(), *(body_kind for _ in extra)]
+    arrow_kinds = [body_arrow, pa.int64(), pa.int64(), pa.int64(), pa.string(), *(body_arrow for _ in extra)]
     schema = T.StructType([*docs.select(*[F.col(f"`{c}`") for c in own]).schema.fields, *(T.StructField(c, k) for c, k in zip(new, kinds))])
-    return joined.select("row", "spans").mapInArrow(cut, schema)
+    return joined.select("row", *marks).mapInArrow(cut, schema)

@@ -20,8 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.identify(docs).where("NOT rejected").select(*docs.columns)
 
 
-#: Window of the repeated passages in bytes: a passage of 51 words of three letters and a blank has 204.
-PASSAGE_BYTES, PASSAGE_GRAM = 200, 40
+PASSAGE_BYTES, PASSAGE_GRAM = suffix_dedup.PASSAGE_BYTES, suffix_dedup.PASSAGE_GRAM
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

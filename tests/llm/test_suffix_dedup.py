@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+import __spark_entry__ as E
 from callcast.llm import suffix_dedup as S
 from callcast.sources.tables import table
 
@@ -55,6 +56,45 @@ def test_equals_brute_force(spark, seed, length, gram, reach, range_bytes):
     assert [got[i] for i in range(len(texts))] == want
 
 
+@pytest.mark.parametrize("seed,length,gram,passage,passage_gram,reach", [(1, 50, 8, 30, 6, 32), (2, 90, 40, 30, 6, 2), (3, 64, 64, 64, 20, 1)])
+def test_two_lengths_equal_brute_force(spark, seed, length, gram, passage, passage_gram, reach):
+    texts = documents(random.Random(seed))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = S.deduplicate(docs, length=length, gram=gram, reach=reach, passage=passage, passage_gram=passage_gram).collect()
+    got = {r.doc_id: ((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)), bytes(r.without_passages)) for r in rows}
+    data = [t.encode() for t in texts]
+    assert [got[i] for i in range(len(texts))] == list(zip(brute(data, length), (b[3] for b in brute(data, passage))))
+
+
+def test_query_shows_texts_without_passages_of_51_words(spark, tmp_path):
+    rnd = random.Random(4)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(3)) for _ in range(n))
+    shared, own = words(51), [words(150) for _ in range(8)]
+    texts = [f"{own[d]} {shared} {own[d][::-1]}" if d < 4 else own[d] for d in range(8)] + [None, "", own[0][:100]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = E.queries()["op8_suffix_dedup"](spark, str(tmp_path)).collect()
+    data = [(t or "").encode() for t in texts]
+    long, short = brute(data, 400), brute(data, S.PASSAGE_BYTES)
+    assert len(rows) == len(texts) and 200 < len(shared) < 400
+    for r in rows:
+        n, gone, spans, kept = long[r.doc_id]
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.text.encode()) == (n, gone, spans, hashlib.sha256(kept).hexdigest(), kept)
+        assert r.without_passages.encode() == short[r.doc_id][3]
+        assert shared not in r.without_passages and (r.doc_id >= 4 or shared in r.text)
+
+
+def test_closed_spans(spark):
+    marked = [(1, 1, [(5, 9), (0, 4), (8, 12), (12, 13)]), (2, 7, []), (1, 2, [(3, 4)]), (1, 3, [(0, 50), (2, 3), (60, 61)])]
+    rows = S.closed(spark.createDataFrame(marked, "did long, uid long, spans array<struct<a:long,z:long>>").coalesce(1)).collect()
+    assert {r.uid: [tuple(x) for x in r.spans] for r in rows} == {1: [(0, 4), (5, 13)], 7: [], 2: [(3, 4)], 3: [(0, 50), (60, 61)]}
+
+
+def test_passage_is_not_longer_than_the_window(spark, no_docs):
+    with pytest.raises(ValueError):
+        S.deduplicate(no_docs, passage=S.LENGTH + 1)
+    assert S.deduplicate(no_docs, passage=S.LENGTH).count() == 0
+
+
 def test_table_equals_brute_force(spark):
     rows = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
     local = [(r.doc_id, r.text.encode()) for r in rows.collect()]
