@@ -346,3 +346,64 @@ def test_files_of_blocks_have_small_row_groups(spark):
     for f in written.inputFiles():
         meta = pq.ParquetFile(f.removeprefix("file://")).metadata
         assert all(meta.row_group(g).total_byte_size <= 20 << 20 for g in range(meta.num_row_groups))
+
+
+def test_whole_training_sets_are_grown_in_tasks_and_give_the_distributed_forest(made, monkeypatch):
+    rows, df, d, learnt = made
+    feats = D.features(d, FITS, learnt, T.binned, "test-bins")
+    variants = [(None, 0), (2, 0), (None, 1)]
+    far = T.fit_forest(feats, learnt, 2, min_leaf=(2, 8), n_trees=5, local_rows=40)
+    monkeypatch.setattr(T, "summed", lambda *a: pytest.fail("a job for sums"))
+    near = T.fit_forest(feats, learnt, 2, min_leaf=(2, 8), n_trees=5)
+    _, _, _, _, bins = features_of(feats, 0)
+    for k in far:
+        assert all(np.allclose(a.arrays()[5][T.route(a.arrays(), bins)], b.arrays()[5][T.route(b.arrays(), bins)], atol=1e-12) for a, b in zip(far[k], near[k], strict=True))
+    stay = T.fit_forest(feats, learnt, 2, min_leaf=(2, 8), n_trees=5, stay=True)
+    assert isinstance(stay, T.InTasks)
+    key = lambda r: (r.fit, r.candidate, r.id)
+    want, got = (sorted(T.score_forest(feats, f, variants).collect(), key=key) for f in (far, stay))
+    assert [(*key(r), r.label) for r in got] == [(*key(r), r.label) for r in want] and np.allclose([r.p for r in got], [r.p for r in want], atol=1e-12)
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_whole_training_sets_are_boosted_in_tasks_like_level_by_level(made, monkeypatch, ordered):
+    rows, df, d, learnt = made
+    feats = O.with_statistics(d, FITS, learnt, T.binned_statistics) if ordered else D.features(d, FITS, learnt, T.binned, "test-bins")
+    cands = [T.Candidate(0.2, 3.0, depth=3, min_rows=0), T.Candidate(0.3, 1.0, depth=2, min_rows=0)] if ordered else [T.Candidate(0.1, 1.0, leaves=6, min_rows=5), T.Candidate(0.3, 0.0, leaves=9, min_rows=20)]
+    far = T.fit_boosting(feats, learnt, 2, cands, 5, ordered, refresh=2, whole_rows=0)
+    monkeypatch.setattr(T, "summed", lambda *a: pytest.fail("a job for sums"))
+    near = T.fit_boosting(feats, learnt, 2, cands, 5, ordered)
+    assert set(far) == set(near) and all(len(far[k]) == len(near[k]) == 5 for k in far)
+    _, _, _, _, bins = features_of(feats, 2)
+    for c in range(2):
+        assert all(np.allclose(a.arrays()[5][T.route(a.arrays(), bins)], b.arrays()[5][T.route(b.arrays(), bins)], atol=1e-9) for a, b in zip(far[(2, c)], near[(2, c)]))
+    key = lambda r: (r.fit, r.candidate, r.id)
+    stay = T.fit_boosting(feats, learnt, 2, cands, 5, ordered, stay=True)
+    want, got = (sorted(T.score_boosting(feats, m).collect(), key=key) for m in (far, stay))
+    assert [(*key(r), r.label) for r in got] == [(*key(r), r.label) for r in want] and np.allclose([r.p for r in got], [r.p for r in want], atol=1e-9)
+
+
+def test_joint_codes_count_like_plain_histograms():
+    r = np.random.default_rng(5)
+    bins = np.stack([r.integers(0, k, 900) for k in (33, 33, 2, 3, 1, 17, 250)], axis=1).astype(np.uint8)
+    g, h, rows, slot = r.normal(size=900), r.random(900), np.flatnonzero(r.random(900) < 0.4), None
+    joint = T._JointBins(bins, 254)
+    assert len(joint.groups) < bins.shape[1]
+    slot = r.integers(0, 3, len(rows))
+    want = T.histogram(bins[rows], slot, g[rows], h[rows], 3, 254)
+    assert np.allclose(joint.histograms(rows, slot, g[rows], h[rows], 3), want, atol=1e-12)
+    whole, part = joint.histograms(None, None, g, h)[0], joint.histograms(rows, None, g[rows], h[rows])[0]
+    other = np.setdiff1d(np.arange(900), rows)
+    assert np.allclose(joint.rest(whole, part), T.histogram(bins[other], np.zeros(len(other), int), g[other], h[other], 1, 254)[0], atol=1e-11)
+
+
+def test_routes_follow_numbers_and_levels():
+    tree = T.Tree()
+    a, b = tree.split(0, 0, 12, False, (0.0, 0.0))
+    c, e = tree.split(b, 1, 3, True, (0.0, 0.0))
+    tree.split(c, 0, 30, False, (0.0, 0.0))
+    bins = np.random.default_rng(6).integers(0, 33, (T.ROUTE_ROWS + 99, 2)).astype(np.uint8)
+    bins[::2, 1] = 3
+    x, z = bins.T
+    assert (T.route(tree.arrays(), bins) == np.where(x <= 12, a, np.where(z != 3, e, np.where(x <= 30, e + 1, e + 2)))).all()
+    assert (T.route(tree.arrays(), bins, 1) == np.where(x <= 12, a, b)).all() and (T.route(tree.arrays(), bins, 0) == 0).all()
