@@ -103,3 +103,17 @@ def test_importance_finds_the_column_that_counts(people, crossed):
     model = S.fit_strategy(people, families[:1], np.array([0.0, 1.0]), 0.5, S.SINGLE, NUM, CAT)
     got = S.permutation_importance(model, people, ["balance", "poutcome", "job", "campaign"], repeats=3).collect()
     assert [r.feature for r in got][:2] == ["balance", "poutcome"] and got[0].importance_mean > 0.1 > abs(got[-1].importance_mean)
+
+
+def test_a_model_is_sent_once_and_saved_in_parts(spark, people, tmp_path, monkeypatch):
+    family = S.Family("Random Forest", "forest", ((None, 5),), 6)
+    model = S.fit_strategy(people, [family], np.array([0.0, 1.0]), 0.5, S.SINGLE, NUM, CAT)
+    sent, made = [], []
+    broadcast, frame = type(spark.sparkContext).broadcast, type(spark).createDataFrame
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: (sent.append(1), broadcast(self, value))[1])
+    first, second = (model.transform(people).select("contact_id", "subscription_probability") for _ in range(2))
+    assert len(sent) == 1 and sorted(first.collect()) == sorted(second.collect())
+    monkeypatch.setattr(S, "SAVED_BYTES", 2000)
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: (made.append(sum(len(r[3]) for r in data if len(r) == 4)), frame(self, data, *a, **k))[1])
+    assert all(r.passed for r in S.round_trip(model, people, str(tmp_path / "m")).collect())
+    assert len(made) > 5 and max(made) < 2000 + 8 * 800 + 200  # the limit and at most one array more
