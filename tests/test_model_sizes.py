@@ -117,3 +117,22 @@ def test_a_model_is_sent_once_and_saved_in_parts(spark, people, tmp_path, monkey
     monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: (made.append(sum(len(r[3]) for r in data if len(r) == 4)), frame(self, data, *a, **k))[1])
     assert all(r.passed for r in S.round_trip(model, people, str(tmp_path / "m")).collect())
     assert len(made) > 5 and max(made) < 2000 + 8 * 800 + 200  # the limit and at most one array more
+
+
+def test_fewer_columns_are_those_prepared_and_learnt_alone(people):
+    from callcast.learn import design as D
+    from callcast.learn import trees as T
+
+    fits = [D.Fit(str(v), ((0, v),)) for v in range(2)]
+    whole = S.prepare(people, NUM, CAT, ["fold"])
+    learnt = D.learn(whole.design, whole.df, fits, bins=T.BINS - 1)
+    for removed in (("poutcome", "pdays", "previous"), ("contact",), ("age",)):
+        num, cat = [c for c in NUM if c not in removed], [c for c in CAT if c not in removed]
+        alone = S.prepare(people, num, cat, ["fold"])
+        want = D.learn(alone.design, alone.df, fits, bins=T.BINS - 1)
+        some, got = S.narrowed(whole, learnt, num, cat)
+        assert (some.design.numeric, some.design.categorical, some.design.levels) == (alone.design.numeric, alone.design.categorical, alone.design.levels)
+        rows = [sorted((bytes(r.ids), bytes(r.y), bytes(r.num), bytes(r.cat), bytes(r.folds)) for r in x.design.blocks.collect()) for x in (some, alone)]
+        assert rows[0] == rows[1]
+        for a, b in zip(got, want, strict=True):
+            assert a.mode == b.mode and all(np.array_equal(x, y) for x, y in zip([a.median, a.scale, *a.edges, *a.known], [b.median, b.scale, *b.edges, *b.known], strict=True))
