@@ -407,3 +407,39 @@ def test_routes_follow_numbers_and_levels():
     x, z = bins.T
     assert (T.route(tree.arrays(), bins) == np.where(x <= 12, a, np.where(z != 3, e, np.where(x <= 30, e + 1, e + 2)))).all()
     assert (T.route(tree.arrays(), bins, 1) == np.where(x <= 12, a, b)).all() and (T.route(tree.arrays(), bins, 0) == 0).all()
+
+
+def test_fold_metrics_rank_a_few_training_sets_at_a_time_and_leave_no_scores(spark, made, monkeypatch):
+    import os
+
+    from callcast.operators import evaluate as EV
+    from callcast.session import checkpoint_root
+
+    rows, df, d, learnt = made
+    family = S.Family("Logistic Regression", "logistic", ((0.2,), (1.0,)))
+    want = EV.ranking_metrics_by(S.fold_scores([family], S.Prepared(df, d), FITS), ["model", "candidate", "fit"]).collect()
+    there = set(os.listdir(checkpoint_root(spark).removeprefix("file://")))
+    ranked, rank = [], EV.ranking_metrics_by
+    monkeypatch.setattr(EV, "ranking_metrics_by", lambda *a: (ranked.append(1), rank(*a))[1])
+    for most, parts in ((1, 3), (1 << 30, 1)):
+        monkeypatch.setattr(S, "RANKED_ROWS", most)
+        ranked.clear()
+        got = S.fold_metrics([family], S.Prepared(df, d), FITS)
+        assert len(ranked) == parts
+        assert sorted(r[:3] for r in got) == sorted((r.model, r.candidate, r.fit) for r in want)
+        assert np.allclose([r[3] for r in sorted(got)], [r.average_precision for r in sorted(want, key=lambda r: (r.model, r.candidate, r.fit))], atol=1e-9)
+    left = set(os.listdir(checkpoint_root(spark).removeprefix("file://"))) - there
+    assert not [x for x in left if x.startswith(("grouped", "ordered", "fold-scores"))]
+
+
+def test_split_and_folds_written_one_by_one_are_those_of_one_plan(spark):
+    from callcast.operators import split as SP
+    from callcast.plans import ml as ML
+    from callcast.plans import queries as Q
+    from sf_dirs import SF
+
+    whole = SP.kfold_assign(SP.stratified_split(ML.with_label(Q.contacts(spark, SF))), k=5, seeds=(43, 44))
+    dev, test = Q._dev_test(spark, SF)
+    assert dev.columns == whole.where("split != 'test'").drop("split").columns
+    assert sorted(dev.collect()) == sorted(whole.where("split != 'test'").drop("split").collect())
+    assert sorted(test.collect()) == sorted(whole.where("split = 'test'").drop("split", "fold_43", "fold_44").collect())
