@@ -443,3 +443,11 @@ def test_split_and_folds_written_one_by_one_are_those_of_one_plan(spark):
     assert dev.columns == whole.where("split != 'test'").drop("split").columns
     assert sorted(dev.collect()) == sorted(whole.where("split != 'test'").drop("split").collect())
     assert sorted(test.collect()) == sorted(whole.where("split = 'test'").drop("split", "fold_43", "fold_44").collect())
+
+
+def test_large_training_sets_are_sent_to_fewer_pieces(made, monkeypatch):
+    rows, df, d, learnt = made
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    many = T._pieces(df, learnt, [0], 300)
+    monkeypatch.setattr(T, "PIECES_BYTES", 1)
+    assert many == T.PIECES_PER_CORE * cores and T._pieces(df, learnt, [0], 300) == cores and T._pieces(df, learnt, [0], 2) == 2
